@@ -1,0 +1,21 @@
+"""Join helpers: broadcast a side only after its size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound for a broadcast side. Dimension tables of the survey (reports,
+# segments, sample points, time slots, quarters) stay far below this; a side
+# above it is joined by shuffle instead, with AQE splitting skewed partitions.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check counts at most ``max_rows + 1`` rows, so it stays cheap even when
+    the side turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
