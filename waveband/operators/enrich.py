@@ -6,6 +6,8 @@ Join plan (designed for one large table, the diary rows):
   individuals x weights on (respid, quarter), then households on
   (household id, quarter). Those tables grow with respondents, not with diary
   rows.
+* Diary rows of stations that have no staged report are dropped first by a
+  broadcast semi-join on the (bounded) list of reported stations.
 * The diary rows are then shuffled **once**, on (respid, quarter), to meet the
   person side. The station metadata (reports x segments x sample points) is a
   dimension of bounded size and is broadcast after a row-count check, so the
@@ -88,8 +90,13 @@ def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) ->
         "file_quarter", "station_code", "sample_point", "reporting_period",
         "report_id", "report_name", "segment", "bbc_or_commercial", "platform_name",
     )
+    # Diary rows of stations without a staged report can never match the
+    # metadata; drop them before the shuffle (exact, and the key list is
+    # bounded by the report list).
+    reported = meta.select("station_code", "file_quarter").distinct()
     return (
         listening.select(*LISTENING.fieldNames())
+        .join(small_side(reported), ["station_code", "file_quarter"], "left_semi")
         .join(people, ["respid", "file_quarter"], "inner")
         .join(small_side(meta), ["station_code", "sample_point", "file_quarter", "reporting_period"], "inner")
         .select(*FACT_COLUMNS)

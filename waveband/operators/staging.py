@@ -47,15 +47,25 @@ def stage_postal(postal: DataFrame, quarters: Iterable[str], mode: str = "pendin
     return stage_distinct(postal, ["file_quarter", "sample_point", "segment"], quarters, mode)
 
 
+def _person_distinct(df: DataFrame, columns: list[str], quarters: Iterable[str], mode: str) -> DataFrame:
+    """Distinct person rows, hash-partitioned on (respid, quarter).
+
+    The distinct then runs inside that partitioning, and the joins on
+    (respid, quarter) that follow reuse it: one shuffle instead of two.
+    """
+    scoped = scope_quarters(df, quarters, mode).select(*columns)
+    return scoped.repartition("respid", "file_quarter").distinct()
+
+
 def stage_individuals(individuals: DataFrame, quarters: Iterable[str], mode: str = "pending") -> DataFrame:
     cols = ["file_quarter", "respid", "sample_point", "age_15plus", "sex", "age"]
-    return stage_distinct(individuals, cols, quarters, mode)
+    return _person_distinct(individuals, cols, quarters, mode)
 
 
 def stage_weights(weights: DataFrame, quarters: Iterable[str], mode: str = "pending") -> DataFrame:
     """Weights of the run; NULL weights are dropped (zero weights are kept)."""
     cols = ["file_quarter", "respid", "reporting_period", "weight"]
-    return stage_distinct(weights.filter(F.col("weight").isNotNull()), cols, quarters, mode)
+    return _person_distinct(weights.filter(F.col("weight").isNotNull()), cols, quarters, mode)
 
 
 def stage_listening(listening: DataFrame, quarters: Iterable[str], mode: str = "pending") -> DataFrame:

@@ -36,6 +36,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # partition values (quarters) are read back as strings, never guessed as numbers
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

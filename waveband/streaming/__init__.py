@@ -1,0 +1,5 @@
+"""Streaming entry point: build when a new quarter's weight files arrive."""
+
+from waveband.streaming.quarter_trigger import new_quarters, watch_weights
+
+__all__ = ["new_quarters", "watch_weights"]

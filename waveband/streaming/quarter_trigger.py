@@ -1,0 +1,66 @@
+"""Run the quarterly build when a new quarter's weights land.
+
+The survey has no event streams; its incremental behaviour is the control
+table: a quarter is registered once its weights exist, then loaded. This module
+expresses "run when new weight files arrive" with Structured Streaming: a file
+source over the weights folder, ``foreachBatch`` and an ``availableNow``
+trigger. Each micro-batch only carries the newly arrived weight files; the
+batch function looks at their quarters and, if any is not yet in the control
+table, runs :func:`waveband.plans.build.build` over the stored tables. The
+stream's checkpoint (file source offsets) records which files were seen, so a
+restarted job does not rebuild for old files.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waveband.plans.build import BuildResult, build, read_control, write_control
+from waveband.schemas import WEIGHTS
+from waveband.sources.tables import read_survey_tables
+
+
+def new_quarters(batch: DataFrame, control: DataFrame | None) -> list[str]:
+    """Quarters in a micro-batch of weight rows that the control table does not know."""
+    quarters = batch.select("file_quarter").distinct().filter(F.col("file_quarter").isNotNull())
+    if control is not None:
+        quarters = quarters.join(F.broadcast(control.select("file_quarter")), "file_quarter", "left_anti")
+    return sorted(r[0] for r in quarters.limit(10_000).collect())
+
+
+def watch_weights(spark: SparkSession, tables_root: str, out_root: str, stream_checkpoint: str,
+                  on_build: Callable[[BuildResult], None] | None = None):
+    """Start an ``availableNow`` stream over ``tables_root/weights``; returns the query.
+
+    ``tables_root`` holds the survey tables (see :mod:`waveband.sources.tables`);
+    the control table is read from ``out_root/quarters`` when it exists there,
+    else from ``tables_root/quarters``.
+    """
+    control_path = f"{out_root}/quarters"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        tables = read_survey_tables(spark, tables_root)
+        control = read_control(spark, control_path)
+        if control is None:
+            control = tables.quarters
+            write_control(spark, control, control_path)
+        if not new_quarters(batch, control):
+            return
+        result = build(spark, tables.replace(quarters=control), out_root, control_path=control_path)
+        if on_build is not None:
+            on_build(result)
+
+    stream = (
+        spark.readStream.schema(WEIGHTS)
+        .option("basePath", f"{tables_root}/weights")
+        .parquet(f"{tables_root}/weights")
+    )
+    return (
+        stream.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", stream_checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
