@@ -51,78 +51,80 @@ HOUSEHOLD_ID_LENGTH = 16
 WEIGHT_SCALE = 1000
 
 
-def ownership(report_name: Column | str = "report_name") -> Column:
+def _name(col: str) -> str:
+    if not isinstance(col, str):
+        raise TypeError("pass a column name")
+    return f"`{col}`"
+
+
+def quote(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def case(branches: list[tuple[str, str]], otherwise: str | None = None) -> Column:
+    """One SQL CASE expression: a single parse instead of one JVM call per branch."""
+    body = " ".join(f"WHEN {cond} THEN {value}" for cond, value in branches)
+    tail = f" ELSE {otherwise}" if otherwise is not None else ""
+    return F.expr(f"CASE {body}{tail} END")
+
+
+def ownership(report_name: str = "report_name") -> Column:
     """'BBC' when the report name contains "bbc" in any case, else 'Commercial' (NULL too)."""
-    name = F.col(report_name) if isinstance(report_name, str) else report_name
-    return F.when(name.ilike(BBC_PATTERN), F.lit("BBC")).otherwise(F.lit("Commercial"))
+    return case([(f"{_name(report_name)} ILIKE {quote(BBC_PATTERN)}", "'BBC'")], "'Commercial'")
 
 
-def age_band(age: Column | str = "age") -> Column:
+def age_band(age: str = "age") -> Column:
     """Published age band; NULL for a NULL age (the CASE has no ELSE)."""
-    col = F.col(age) if isinstance(age, str) else age
-    expr = None
+    col = _name(age)
+    branches = []
     for label, lo, hi in AGE_BANDS:
         if lo is None:
-            cond = col < hi + 1
+            cond = f"{col} < {hi + 1}"
         elif hi is None:
-            cond = col > lo - 1
+            cond = f"{col} > {lo - 1}"
         else:
-            cond = col.between(lo, hi)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
+            cond = f"{col} BETWEEN {lo} AND {hi}"
+        branches.append((cond, quote(label)))
+    return case(branches)
 
 
-def social_grade(grade: Column | str = "household_social_grade") -> Column:
+def social_grade(grade: str = "household_social_grade") -> Column:
     """ABC1 / C2DE, everything else (including NULL) 'Unknown'."""
-    col = F.col(grade) if isinstance(grade, str) else grade
-    expr = None
-    for label, members in GRADE_GROUPS:
-        cond = col.isin(members)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(GRADE_OTHER))
+    col = _name(grade)
+    branches = [(f"{col} IN ({', '.join(map(quote, members))})", quote(label)) for label, members in GRADE_GROUPS]
+    return case(branches, quote(GRADE_OTHER))
 
 
-def platform_label(platform: Column | str = "platform_name") -> Column:
+def platform_label(platform: str = "platform_name") -> Column:
     """Published platform label; unknown codes and NULL become 'Unknown'."""
-    col = F.col(platform) if isinstance(platform, str) else platform
-    expr = None
-    for code, label in PLATFORM_LABELS:
-        cond = col == code
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(PLATFORM_OTHER))
+    col = _name(platform)
+    return case([(f"{col} = {quote(code)}", quote(label)) for code, label in PLATFORM_LABELS],
+                 quote(PLATFORM_OTHER))
 
 
-def relabel_station(station: Column | str = "station") -> Column:
+def relabel_station(station: str = "station") -> Column:
     """Rename the stations listed in :data:`STATION_RELABELS`; others unchanged."""
-    col = F.col(station) if isinstance(station, str) else station
-    expr = None
-    for old, new in STATION_RELABELS:
-        cond = col == old
-        expr = F.when(cond, F.lit(new)) if expr is None else expr.when(cond, F.lit(new))
-    return expr.otherwise(col)
+    col = _name(station)
+    return case([(f"{col} = {quote(old)}", quote(new)) for old, new in STATION_RELABELS], col)
 
 
-def broadcast_day_end(hhmm: Column | str = "hhmm_end") -> Column:
+def broadcast_day_end(hhmm: str = "hhmm_end") -> Column:
     """Map the broadcast-day end '28:00' to the clock time '04:00'."""
-    col = F.col(hhmm) if isinstance(hhmm, str) else hhmm
     late, clock = BROADCAST_DAY_END
-    return F.when(col == late, F.lit(clock)).otherwise(col)
+    col = _name(hhmm)
+    return case([(f"{col} = {quote(late)}", quote(clock))], col)
 
 
-def slot_label(start: Column | str = "hhmm_start", end: Column | str = "hhmm_end") -> Column:
+def slot_label(start: str = "hhmm_start", end: str = "hhmm_end") -> Column:
     """'HH:MM - HH:MM'; NULL when either end is NULL."""
-    s = F.col(start) if isinstance(start, str) else start
-    e = F.col(end) if isinstance(end, str) else end
-    return F.concat(s, F.lit(" - "), e)
+    return F.concat(F.col(start), F.lit(" - "), F.col(end))
 
 
-def household_id(respid: Column | str = "respid") -> Column:
+def household_id(respid: str = "respid") -> Column:
     """The household id: the first 16 characters of the respondent id."""
-    col = F.col(respid) if isinstance(respid, str) else respid
-    return F.substring(col, 1, HOUSEHOLD_ID_LENGTH)
+    return F.substring(F.col(respid), 1, HOUSEHOLD_ID_LENGTH)
 
 
-def date_lookup_quarter(file_quarter: Column | str = "file_quarter") -> Column:
+def date_lookup_quarter(file_quarter: str = "file_quarter") -> Column:
     """'2020q1' -> '2020 Q1', the quarter key of the week calendar."""
-    col = F.col(file_quarter) if isinstance(file_quarter, str) else file_quarter
-    return F.replace(col, F.lit("q"), F.lit(" Q"))
+    return F.replace(F.col(file_quarter), F.lit("q"), F.lit(" Q"))

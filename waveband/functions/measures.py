@@ -36,11 +36,10 @@ def reach_aggregates(with_respondents: bool = True) -> list[Column]:
 def reach_measures(df: DataFrame) -> DataFrame:
     """Add time per account and its hours/minutes split after aggregation."""
     tpa = F.col("hours") / F.col("accounts")
-    return (
-        df.withColumn("time_per_account", tpa)
-        .withColumn("numerical_hours_account", F.floor("time_per_account").cast("double"))
-        .withColumn(
-            "numerical_minutes_account",
-            F.round((F.col("time_per_account") - F.col("numerical_hours_account")) * F.lit(60)).cast("double"),
-        )
+    whole = F.floor(tpa).cast("double")
+    return df.select(
+        "*",
+        tpa.alias("time_per_account"),
+        whole.alias("numerical_hours_account"),
+        F.round((tpa - whole) * F.lit(60)).cast("double").alias("numerical_minutes_account"),
     )

@@ -86,10 +86,10 @@ def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) ->
     person side, then (station, sample point, quarter, reporting period) to the
     metadata.
     """
-    meta = metadata.select(
+    meta = small_side(metadata.select(
         "file_quarter", "station_code", "sample_point", "reporting_period",
         "report_id", "report_name", "segment", "bbc_or_commercial", "platform_name",
-    )
+    ))
     # Diary rows of stations without a staged report can never match the
     # metadata; drop them before the shuffle (exact, and the key list is
     # bounded by the report list).
@@ -98,7 +98,7 @@ def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) ->
         listening.select(*LISTENING.fieldNames())
         .join(small_side(reported), ["station_code", "file_quarter"], "left_semi")
         .join(people, ["respid", "file_quarter"], "inner")
-        .join(small_side(meta), ["station_code", "sample_point", "file_quarter", "reporting_period"], "inner")
+        .join(meta, ["station_code", "sample_point", "file_quarter", "reporting_period"], "inner")
         .select(*FACT_COLUMNS)
     )
 

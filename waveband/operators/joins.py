@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,13 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The check counts at most ``max_rows + 1`` rows, so it stays cheap even when
-    the side turns out to be large.
+    the side turns out to be large. A side that passes is kept cached, so the
+    broadcast reuses the rows the check computed instead of recomputing the
+    (often multi-join) dimension.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df

@@ -27,7 +27,9 @@ from waveband.functions.expressions import (
     ANY_DIGITAL,
     DIGITAL_PLATFORMS,
     age_band,
+    case,
     platform_label,
+    quote,
     relabel_station,
     slot_label,
     social_grade,
@@ -106,9 +108,8 @@ def person_platform_time(facts: DataFrame, control: DataFrame) -> DataFrame:
         F.col("platform_name").isin(DIGITAL_PLATFORMS),
         F.struct(F.lit(ANY_DIGITAL).alias("platform_name"), F.lit(True).alias("pooled")),
     )
-    expanded = base.withColumn(
-        "_p", F.explode(F.filter(F.array(own, pooled), lambda p: p.isNotNull()))
-    ).withColumn("platform_name", F.col("_p.platform_name")).withColumn("pooled", F.col("_p.pooled"))
+    keep = [c for c in base.columns if c != "platform_name"]
+    expanded = base.select(*keep, F.inline(F.filter(F.array(own, pooled), lambda p: p.isNotNull())))
     return expanded.groupBy(*PLATFORM_PERSON_KEYS).agg(_minutes())
 
 
@@ -121,17 +122,13 @@ def person_slot_time(facts: DataFrame, control: DataFrame) -> DataFrame:
 def _age_breaks(df: DataFrame) -> DataFrame:
     """One row per age break the person qualifies for (none for a NULL age)."""
     breaks = F.array(*[F.when(F.col("age") >= lo, F.lit(label)) for label, lo in AGE_BREAKS])
-    return df.withColumn("age_break", F.explode(F.filter(breaks, lambda b: b.isNotNull())))
+    return df.select("*", F.explode(F.filter(breaks, lambda b: b.isNotNull())).alias("age_break"))
 
 
 def _cut(kind: str) -> Column:
     if kind == "all_adults":
-        kind_type = F.col("age_break")
-        dtype, label = None, None
-        for band, (t, d) in ALL_ADULTS_LABELS.items():
-            cond = kind_type == band
-            dtype = F.when(cond, F.lit(t)) if dtype is None else dtype.when(cond, F.lit(t))
-            label = F.when(cond, F.lit(d)) if label is None else label.when(cond, F.lit(d))
+        dtype = case([(f"age_break = {quote(b)}", quote(t)) for b, (t, _) in ALL_ADULTS_LABELS.items()])
+        label = case([(f"age_break = {quote(b)}", quote(d)) for b, (_, d) in ALL_ADULTS_LABELS.items()])
         return F.struct(dtype.alias("demographic_type"), label.alias("demographic"))
     values = {
         "age": age_band("age"),
@@ -143,11 +140,12 @@ def _cut(kind: str) -> Column:
     return F.struct(F.lit(CUT_TYPES[kind]).alias("demographic_type"), values[kind].cast("string").alias("demographic"))
 
 
-def _finish_summary_1(grouped: DataFrame, relabel: bool) -> DataFrame:
-    out = reach_measures(grouped).withColumnRenamed("file_quarter", "quarter").withColumnRenamed("report_name", "station")
-    if relabel:
-        out = out.withColumn("station", relabel_station("station"))
-    return out.select(*SUMMARY_1_COLUMNS)
+def _publish(grouped: DataFrame, columns: list[str], relabel: bool) -> DataFrame:
+    """Measures, published names (quarter, station), relabelled stations, column order."""
+    station = relabel_station("report_name") if relabel else F.col("report_name")
+    names = {"quarter": F.col("file_quarter"), "station": station}
+    out = reach_measures(grouped)
+    return out.select(*[names[c].alias(c) if c in names else F.col(c) for c in columns])
 
 
 def cut_summary(person_rows: DataFrame, cuts: list[str], relabel: bool = False) -> DataFrame:
@@ -157,12 +155,9 @@ def cut_summary(person_rows: DataFrame, cuts: list[str], relabel: bool = False)
     :func:`person_platform_time` for ``["platform"]``.
     """
     rows = _age_breaks(person_rows)
-    cut_rows = rows.withColumn("_cut", F.explode(F.array(*[_cut(c) for c in cuts])))
-    cut_rows = cut_rows.withColumn("demographic_type", F.col("_cut.demographic_type")).withColumn(
-        "demographic", F.col("_cut.demographic")
-    )
+    cut_rows = rows.select("*", F.inline(F.array(*[_cut(c) for c in cuts])))
     grouped = cut_rows.groupBy(*GROUP_KEYS).agg(*reach_aggregates())
-    return _finish_summary_1(grouped, relabel)
+    return _publish(grouped, SUMMARY_1_COLUMNS, relabel)
 
 
 def demographic_summary(person: DataFrame, person_platform: DataFrame, relabel: bool = True) -> DataFrame:
@@ -174,14 +169,11 @@ def demographic_summary(person: DataFrame, person_platform: DataFrame, relabel:
 
 def slot_summary(person_slot: DataFrame, relabel: bool = True) -> DataFrame:
     """Summary table 2: reach and hours by station, day of week and time slot."""
-    rows = _age_breaks(person_slot).withColumn("slot", slot_label("hhmm_start", "hhmm_end"))
-    keys = ["file_quarter", "bbc_or_commercial", "reporting_period", "report_name", "dayofweek", "slot",
-            "age_break", "quarter_date"]
+    rows = _age_breaks(person_slot)
+    keys = ["file_quarter", "bbc_or_commercial", "reporting_period", "report_name", "dayofweek",
+            slot_label("hhmm_start", "hhmm_end").alias("slot"), "age_break", "quarter_date"]
     grouped = rows.groupBy(*keys).agg(*reach_aggregates(with_respondents=False))
-    out = reach_measures(grouped).withColumnRenamed("file_quarter", "quarter").withColumnRenamed("report_name", "station")
-    if relabel:
-        out = out.withColumn("station", relabel_station("station"))
-    return out.select(*SUMMARY_2_COLUMNS)
+    return _publish(grouped, SUMMARY_2_COLUMNS, relabel)
 
 
 def relabel_stations(df: DataFrame, column: str = "station") -> DataFrame:

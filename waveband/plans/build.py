@@ -32,7 +32,6 @@ from waveband.operators import (
     append_quarter,
     listening_facts,
     mark_loaded,
-    pending_quarters,
     read_table,
     register_next_quarter,
     write_replacing,
@@ -128,7 +127,14 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
             registered = [r["file_quarter"] for r in new_rows]
             control = append_quarter(control, spark.createDataFrame(new_rows, QUARTERS))
 
-    pending = pending_quarters(control)
+    # Snapshot the control table once (bounded: one row per quarter). Every
+    # later step sees this state, whatever happens to the stored table.
+    control_rows = control.limit(MAX_QUARTERS + 1).collect()
+    if len(control_rows) > MAX_QUARTERS:
+        raise ValueError("control table larger than its bound")
+    control = spark.createDataFrame(control_rows, QUARTERS)
+    pending = sorted({r["file_quarter"] for r in control_rows
+                      if r["in_data"] == "No" and r["file_quarter"] is not None})
     run = Run(tables.replace(quarters=control), pending, mode)
 
     base = run.base.checkpoint(eager=True)
