@@ -30,6 +30,8 @@ def test_build_writes_outputs_and_is_rerunnable(spark, scratch):
     expected = Run(tables.replace(quarters=control), result.pending)
     for name, df in {
         "summary_table_1": expected.demographic_summary(),
+        "summary_table_2": expected.slot_summary(),
+        "second_summary": expected.sessions,
         "population": expected.population,
     }.items():
         key, cols = OUTPUTS[name]

@@ -2,6 +2,8 @@
 
 from waveband.operators.control import append_quarter, mark_loaded, register_next_quarter
 from waveband.operators.enrich import (
+    counted_facts,
+    expand_copies,
     diary_base,
     listening_facts,
     listening_with_people,
@@ -45,6 +47,8 @@ from waveband.operators.writes import (
 __all__ = [
     "PERSON_CUTS",
     "append_quarter",
+    "counted_facts",
+    "expand_copies",
     "cut_summary",
     "demographic_summary",
     "diary_base",

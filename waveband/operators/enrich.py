@@ -108,6 +108,23 @@ def listening_facts(base: DataFrame) -> DataFrame:
     return base.distinct()
 
 
+def counted_facts(base: DataFrame) -> DataFrame:
+    """Distinct enriched rows with ``copies``, how often each occurs in ``base``.
+
+    One aggregate serves both outputs: dropping ``copies`` gives the listening
+    facts (``distinct``), expanding it (:func:`expand_copies`) gives back the
+    enriched rows with their repeats for the sessions. It groups by all 25
+    columns, which include (respid, quarter), so it runs inside the join's
+    partitioning.
+    """
+    return base.groupBy(*FACT_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def expand_copies(counted: DataFrame) -> DataFrame:
+    """The enriched rows of :func:`counted_facts`, each repeated ``copies`` times."""
+    return counted.select(*FACT_COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
 def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame) -> DataFrame:
     """The second summary: enriched diary rows (not de-duplicated) with time-slot ids.
 

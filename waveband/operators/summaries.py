@@ -109,7 +109,8 @@ def person_platform_time(facts: DataFrame, control: DataFrame) -> DataFrame:
         F.struct(F.lit(ANY_DIGITAL).alias("platform_name"), F.lit(True).alias("pooled")),
     )
     keep = [c for c in base.columns if c != "platform_name"]
-    expanded = base.select(*keep, F.inline(F.filter(F.array(own, pooled), lambda p: p.isNotNull())))
+    expanded = base.select(*keep, F.explode(F.array(own, pooled)).alias("_p")).filter(F.col("_p").isNotNull())
+    expanded = expanded.select(*keep, "_p.platform_name", "_p.pooled")
     return expanded.groupBy(*PLATFORM_PERSON_KEYS).agg(_minutes())
 
 
@@ -122,7 +123,7 @@ def person_slot_time(facts: DataFrame, control: DataFrame) -> DataFrame:
 def _age_breaks(df: DataFrame) -> DataFrame:
     """One row per age break the person qualifies for (none for a NULL age)."""
     breaks = F.array(*[F.when(F.col("age") >= lo, F.lit(label)) for label, lo in AGE_BREAKS])
-    return df.select("*", F.explode(F.filter(breaks, lambda b: b.isNotNull())).alias("age_break"))
+    return df.select("*", F.explode(breaks).alias("age_break")).filter(F.col("age_break").isNotNull())
 
 
 def _cut(kind: str) -> Column:
@@ -161,12 +162,62 @@ def cut_summary(person_rows: DataFrame, cuts: list[str], relabel: bool = False)
 
 
 def demographic_summary(person: DataFrame, person_platform: DataFrame, relabel: bool = True) -> DataFrame:
-    """Summary table 1: the five person cuts and the platform cut, stations relabelled."""
+    """Summary table 1 from separate person and person-platform rows (two aggregates)."""
     people = cut_summary(person, PERSON_CUTS, relabel)
     platforms = cut_summary(person_platform, ["platform"], relabel)
     return people.unionByName(platforms)
 
 
+ALL_PERSON_KEYS = [
+    "file_quarter", "report_name", "reporting_period", "bbc_or_commercial", "age", "respid", "weight",
+    "quarter_date", "kind", "sex", "bbc_regions", "household_social_grade", "platform_name", "pooled",
+]
+
+
+def person_rows_all(facts: DataFrame, control: DataFrame) -> DataFrame:
+    """Person-level minutes of both kinds from **one** pass over the facts.
+
+    Each fact row is emitted as a ``person`` row (keyed by sex, region and
+    grade; no platform) and as a ``platform`` row (keyed by platform; no sex,
+    region or grade), plus a pooled ``anydigital`` row for digital platforms.
+    Grouping by all keys then gives exactly :func:`person_time` (kind
+    ``person``) and :func:`person_platform_time` (kind ``platform``).
+    """
+    base = with_quarter_date(facts, control).filter(F.col("weight") > 0)
+    none = F.lit(None).cast("string")
+    person = F.struct(
+        F.lit("person").alias("kind"), F.col("sex").alias("sex"), F.col("bbc_regions").alias("bbc_regions"),
+        F.col("household_social_grade").alias("household_social_grade"), none.alias("platform_name"),
+        F.lit(None).cast("boolean").alias("pooled"),
+    )
+    own = F.struct(
+        F.lit("platform").alias("kind"), none.alias("sex"), none.alias("bbc_regions"),
+        none.alias("household_social_grade"), F.col("platform_name").alias("platform_name"),
+        F.lit(False).alias("pooled"),
+    )
+    pooled = F.when(F.col("platform_name").isin(DIGITAL_PLATFORMS), F.struct(
+        F.lit("platform").alias("kind"), none.alias("sex"), none.alias("bbc_regions"),
+        none.alias("household_social_grade"), F.lit(ANY_DIGITAL).alias("platform_name"),
+        F.lit(True).alias("pooled"),
+    ))
+    common = ["file_quarter", "report_name", "reporting_period", "bbc_or_commercial", "age", "respid",
+              "weight", "quarter_date", "mins"]
+    rows = base.select(*common, F.explode(F.array(person, own, pooled)).alias("_k")).filter(F.col("_k").isNotNull())
+    rows = rows.select(*common, "_k.*")
+    return rows.groupBy(*ALL_PERSON_KEYS).agg(_minutes())
+
+
+def single_pass_summary(person_rows: DataFrame, relabel: bool = True) -> DataFrame:
+    """Summary table 1 from :func:`person_rows_all` with one generator and one aggregate."""
+    rows = _age_breaks(person_rows)
+    is_person = F.col("kind") == "person"
+    cuts = [F.when(is_person, _cut(c)) for c in PERSON_CUTS] + [F.when(~is_person, _cut("platform"))]
+    cut_rows = rows.select("*", F.explode(F.array(*cuts)).alias("_c")).filter(F.col("_c").isNotNull())
+    cut_rows = cut_rows.select("*", "_c.demographic_type", "_c.demographic")
+    grouped = cut_rows.groupBy(*GROUP_KEYS).agg(*reach_aggregates())
+    return _publish(grouped, SUMMARY_1_COLUMNS, relabel)
+
+
 def slot_summary(person_slot: DataFrame, relabel: bool = True) -> DataFrame:
     """Summary table 2: reach and hours by station, day of week and time slot."""
     rows = _age_breaks(person_slot)

@@ -6,14 +6,15 @@ gives the same end state):
 1. register the next quarter that has weights (one row, appended to the
    control table snapshot);
 2. snapshot the pending quarters once; every stage is scoped by that list;
-3. enrich the diary rows once and **checkpoint** them to the folder named by
+3. enrich the diary rows once, reduce them to distinct rows with a repeat
+   count in the same stage (the grouping keys contain the join key, so no
+   extra shuffle), and **checkpoint** that to the folder named by
    ``spark.checkpoint.dir`` (shared storage on a cluster). This cuts the
    lineage behind the one large shuffle, so a lost executor re-reads the
-   checkpoint instead of re-running the join; the checkpoint keeps the
-   (respid, quarter) partitioning, so the distinct and the person-level
-   aggregates after it need no exchange;
-4. the listening facts (distinct rows) are persisted (short lineage: a
-   partition-local distinct over the checkpoint) and feed the three summaries;
+   checkpoint instead of re-running the join;
+4. the listening facts are the checkpoint without the count and feed the
+   three summaries (each pre-aggregates map-side before its shuffle); the
+   sessions re-expand the count, so repeated diary rows stay repeated;
 5. write the four outputs, replacing the touched quarters;
 6. flip the control flag **last** (the original flips it before loading; doing
    it last means a failed run leaves the quarter pending, not "loaded but
@@ -24,13 +25,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waveband.operators import (
     append_quarter,
-    listening_facts,
+    counted_facts,
     mark_loaded,
     read_table,
     register_next_quarter,
@@ -137,11 +137,10 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
                       if r["in_data"] == "No" and r["file_quarter"] is not None})
     run = Run(tables.replace(quarters=control), pending, mode)
 
-    base = run.base.checkpoint(eager=True)
-    facts = listening_facts(base).persist(StorageLevel.MEMORY_AND_DISK)
-    run = Run(run.tables, pending, mode, facts_override=facts, base_override=base)
+    counted = counted_facts(run.base).checkpoint(eager=True)
+    run = Run(run.tables, pending, mode, counted_override=counted)
 
-    summary_quarters = _distinct_keys(facts, "file_quarter")
+    summary_quarters = _distinct_keys(run.facts, "file_quarter")
     report_quarters = _distinct_keys(run.reports, "file_quarter")
     results = {
         "summary_table_1": (run.demographic_summary(), summary_quarters),
@@ -155,7 +154,6 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
         path = f"{out_root}/{name}"
         write_replacing(spark, df, path, key, touched, columns)
         outputs[name] = path
-    facts.unpersist()
 
     version = write_control(spark, mark_loaded(control, run.reports, strict), control_path)
     return BuildResult(registered, pending, summary_quarters, report_quarters, version, outputs)

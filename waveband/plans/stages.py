@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waveband.operators import (
+    expand_copies,
     diary_base,
     listening_facts,
     listening_with_people,
@@ -35,7 +36,13 @@ from waveband.operators import (
     stage_weights,
     station_metadata,
 )
-from waveband.operators.summaries import cut_summary, demographic_summary, slot_summary, PERSON_CUTS
+from waveband.operators.summaries import (
+    PERSON_CUTS,
+    cut_summary,
+    person_rows_all,
+    single_pass_summary,
+    slot_summary,
+)
 from waveband.sources.tables import SurveyTables
 
 
@@ -48,6 +55,7 @@ class Run:
     mode: str = "pending"
     facts_override: DataFrame | None = field(default=None, repr=False)
     base_override: DataFrame | None = field(default=None, repr=False)
+    counted_override: DataFrame | None = field(default=None, repr=False)
 
     # ---- staging -------------------------------------------------------------
     @cached_property
@@ -114,11 +122,14 @@ class Run:
     def facts(self) -> DataFrame:
         if self.facts_override is not None:
             return self.facts_override
+        if self.counted_override is not None:
+            return self.counted_override.drop("copies")
         return listening_facts(self.base)
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return session_facts(self.base, self.tables.slots, self.control)
+        base = expand_copies(self.counted_override) if self.counted_override is not None else self.base
+        return session_facts(base, self.tables.slots, self.control)
 
     # ---- summaries -----------------------------------------------------------
     @cached_property
@@ -138,8 +149,13 @@ class Run:
             return cut_summary(self.person_platform_time, ["platform"], relabel)
         return cut_summary(self.person_time, [name], relabel)
 
+    @cached_property
+    def person_rows_all(self) -> DataFrame:
+        return person_rows_all(self.facts, self.control)
+
     def demographic_summary(self, relabel: bool = True) -> DataFrame:
-        return demographic_summary(self.person_time, self.person_platform_time, relabel)
+        """Summary table 1 in one pass over the facts (see :func:`single_pass_summary`)."""
+        return single_pass_summary(self.person_rows_all, relabel)
 
     def slot_summary(self, relabel: bool = True) -> DataFrame:
         return slot_summary(self.person_slot_time, relabel)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waveband.schemas import INPUT_SCHEMAS
 
@@ -49,10 +50,20 @@ def read_survey_tables(spark: SparkSession, root: str) -> SurveyTables:
     return SurveyTables(*frames)
 
 
-def write_survey_tables(tables: SurveyTables, root: str, mode: str = "errorifexists") -> None:
-    """Write the bundle as Parquet, quarterly tables partitioned by ``file_quarter``."""
+def write_survey_tables(tables: SurveyTables, root: str, mode: str = "errorifexists",
+                        files_per_quarter: int | None = None) -> None:
+    """Write the bundle as Parquet, quarterly tables partitioned by ``file_quarter``.
+
+    ``files_per_quarter`` compacts the layout: rows are spread over that many
+    files per quarter by a deterministic hash of the row (no ``rand()``, so a
+    retried task writes the same rows). ``None`` keeps the incoming
+    partitioning (one file per task and quarter).
+    """
     for name, df in tables.by_table_name().items():
-        writer = df.write.mode(mode)
-        if name not in UNPARTITIONED:
-            writer = writer.partitionBy("file_quarter")
-        writer.parquet(f"{root}/{name}")
+        if name in UNPARTITIONED:
+            df.coalesce(1).write.mode(mode).parquet(f"{root}/{name}")
+            continue
+        if files_per_quarter:
+            spread = F.pmod(F.hash(*df.columns), F.lit(files_per_quarter))
+            df = df.repartition("file_quarter", spread)
+        df.write.mode(mode).partitionBy("file_quarter").parquet(f"{root}/{name}")
