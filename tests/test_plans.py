@@ -61,7 +61,7 @@ def test_scan_reads_only_used_columns(stored):
     assert "PushedFilters: [IsNotNull(weight)]" in text
 
 
-def test_facts_shuffle_diary_rows_once(stored, spark):
+def test_diary_rows_meet_people_in_one_salted_shuffle(stored, spark):
     from waveband.operators import pending_quarters
     from waveband.plans.stages import Run
 
@@ -71,8 +71,9 @@ def test_facts_shuffle_diary_rows_once(stored, spark):
         text = plan_of(run.person_time)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # Diary rows, staged individuals and staged weights are each shuffled once on
-    # (respid, file_quarter); the distinct and the person-level aggregate reuse
-    # that partitioning, so no other exchange hashes on respid.
-    assert len(re.findall(r"Exchange hashpartitioning\(respid#\d+, file_quarter#\d+", text)) == 3, text
-    assert "hashpartitioning(file_quarter#" not in text.split("BroadcastExchange")[0]
+    # The diary rows meet the person side in one salted shuffle join on
+    # (respid, file_quarter, _salt); the 25-column distinct runs inside that
+    # partitioning (no exchange over all fact columns).
+    salted = re.findall(r"Exchange hashpartitioning\(respid#\d+, file_quarter#\d+, _salt#\d+", text)
+    assert len(salted) == 2, text
+    assert not re.search(r"Exchange hashpartitioning\(file_quarter#\d+, respid#\d+, dayofweek#", text), text

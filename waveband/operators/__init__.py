@@ -13,6 +13,8 @@ from waveband.operators.enrich import (
     station_metadata,
 )
 from waveband.operators.joins import small_side
+from waveband.operators import skew
+from waveband.operators.skew import hot_keys, salted_join
 from waveband.operators.scope import pending_quarters, registered_quarters, scope_quarters
 from waveband.operators.staging import (
     stage_distinct,
@@ -49,6 +51,8 @@ __all__ = [
     "append_quarter",
     "counted_facts",
     "expand_copies",
+    "hot_keys",
+    "salted_join",
     "cut_summary",
     "demographic_summary",
     "diary_base",

@@ -9,7 +9,9 @@ Join plan (designed for one large table, the diary rows):
 * Diary rows of stations that have no staged report are dropped first by a
   broadcast semi-join on the (bounded) list of reported stations.
 * The diary rows are then shuffled **once**, on (respid, quarter), to meet the
-  person side. The station metadata (reports x segments x sample points) is a
+  person side. A respondent with more rows than one task should join is split
+  over several tasks by salting (:mod:`waveband.operators.skew`); only that
+  respondent's person rows are repeated. The station metadata (reports x segments x sample points) is a
   dimension of bounded size and is broadcast after a row-count check, so the
   metadata join adds no shuffle.
 * The result stays hash-partitioned on (respid, quarter). The 25-column
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from waveband.functions.expressions import broadcast_day_end, household_id
 from waveband.operators.joins import small_side
+from waveband.operators.skew import SALT, salted_join
 from waveband.schemas import FACT_COLUMNS, LISTENING, METADATA_COLUMNS, SESSION_COLUMNS
 
 PERSON_COLUMNS = ["sample_point", "age_15plus", "age", "sex"]
@@ -80,7 +83,7 @@ def person_attributes(individuals: DataFrame, weights: DataFrame, households: Da
 
 
 def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Diary rows x person attributes x station metadata, 25 columns, duplicates kept.
+    """Diary rows x person attributes x station metadata, 25 columns + ``_salt``, duplicates kept.
 
     ``people`` is :func:`person_attributes`. Join keys: (respid, quarter) to the
     person side, then (station, sample point, quarter, reporting period) to the
@@ -94,18 +97,23 @@ def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) ->
     # metadata; drop them before the shuffle (exact, and the key list is
     # bounded by the report list).
     reported = meta.select("station_code", "file_quarter").distinct()
+    diary = listening.select(*LISTENING.fieldNames()).join(
+        small_side(reported), ["station_code", "file_quarter"], "left_semi"
+    )
     return (
-        listening.select(*LISTENING.fieldNames())
-        .join(small_side(reported), ["station_code", "file_quarter"], "left_semi")
-        .join(people, ["respid", "file_quarter"], "inner")
+        salted_join(diary, people, ["respid", "file_quarter"], "inner")
         .join(meta, ["station_code", "sample_point", "file_quarter", "reporting_period"], "inner")
-        .select(*FACT_COLUMNS)
+        .select(*FACT_COLUMNS, SALT)
     )
 
 
 def listening_facts(base: DataFrame) -> DataFrame:
-    """The first summary: distinct enriched diary rows (all 25 columns, row_id included)."""
-    return base.distinct()
+    """The first summary: distinct enriched diary rows (all 25 columns, row_id included).
+
+    ``_salt`` is a function of the diary columns, so keeping it in the distinct
+    changes nothing but lets the distinct run inside the join's partitioning.
+    """
+    return base.select(*FACT_COLUMNS, SALT).distinct().drop(SALT)
 
 
 def counted_facts(base: DataFrame) -> DataFrame:
@@ -117,7 +125,7 @@ def counted_facts(base: DataFrame) -> DataFrame:
     columns, which include (respid, quarter), so it runs inside the join's
     partitioning.
     """
-    return base.groupBy(*FACT_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    return base.groupBy(*FACT_COLUMNS, SALT).agg(F.count(F.lit(1)).alias("copies")).drop(SALT)
 
 
 def expand_copies(counted: DataFrame) -> DataFrame:
@@ -143,8 +151,9 @@ def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame) -> Data
     )
     qd = control.select("file_quarter", "quarter_date")
     same_day = F.col("_st_hour") <= F.col("_en_hour")
+    rows = base.select(*[broadcast_day_end("hhmm_end").alias(c) if c == "hhmm_end" else F.col(c) for c in FACT_COLUMNS])
     return (
-        base.withColumn("hhmm_end", broadcast_day_end("hhmm_end"))
+        rows
         .join(small_side(st), "hhmm_start", "left")
         .join(small_side(en), "hhmm_end", "left")
         .join(small_side(qd), "file_quarter", "inner")

@@ -1,0 +1,62 @@
+"""Explicit splitting of hot join keys (salting).
+
+A single respondent (or any join key) may hold a large share of the diary rows.
+AQE can split a skewed sort-merge join only when both of its children are plain
+shuffle stages; the diary join's other side is itself a join, so the split is
+done here, in the plan:
+
+1. :func:`hot_keys` counts rows per key (a partial aggregate, so the count
+   itself is skew-proof) and keeps keys above ``max_rows_per_task``, each with
+   the number of splits it needs. There are at most
+   ``total rows / max_rows_per_task`` such keys, so the list has a size bound
+   and is broadcast after a row-count check.
+2. :func:`salted_join` gives each big-side row a salt in ``[0, splits)`` from a
+   deterministic hash of the row (the same row always gets the same salt, so a
+   retried task reproduces its output), and repeats each small-side row of a hot
+   key once per salt. Cold keys keep salt 0 and are not repeated. The join runs
+   on ``keys + salt``, so a hot key's rows are spread over ``splits`` tasks.
+
+The salt is a function of the big side's columns, so grouping the join result
+by those columns plus ``_salt`` equals grouping by those columns alone: no
+extra shuffle is needed to remove the salt.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from waveband.operators.joins import small_side
+
+# Rows of one key that one task joins at most before the key is split.
+MAX_ROWS_PER_TASK = 200_000
+SALT = "_salt"
+SPLITS = "_splits"
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_rows_per_task: int | None = None) -> DataFrame:
+    """Keys with more than ``max_rows_per_task`` rows, with ``_splits`` = ceil(rows / max)."""
+    max_rows_per_task = max_rows_per_task or MAX_ROWS_PER_TASK
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > max_rows_per_task).select(
+        *keys, F.ceil(F.col("_rows") / F.lit(max_rows_per_task)).cast("int").alias(SPLITS)
+    )
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+                max_rows_per_task: int | None = None, salt_columns: list[str] | None = None) -> DataFrame:
+    """``big.join(small, keys, how)`` with hot keys of ``big`` spread over several tasks.
+
+    The result carries ``_salt``; drop it after grouping (see module notes).
+    ``salt_columns`` (default: all of ``big``'s columns) feed the row hash.
+    """
+    hot = small_side(hot_keys(big, keys, max_rows_per_task))
+    cols = salt_columns or big.columns
+    splits = F.coalesce(F.col(SPLITS), F.lit(1))
+    big_salted = big.join(hot, keys, "left").select(
+        *big.columns, F.pmod(F.xxhash64(*cols), splits.cast("long")).cast("int").alias(SALT)
+    )
+    small_salted = small.join(hot, keys, "left").select(
+        *small.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias(SALT)
+    )
+    return big_salted.join(small_salted, [*keys, SALT], how)
