@@ -1,0 +1,27 @@
+"""The weights file stream triggers one build for the newly landed quarter."""
+
+from __future__ import annotations
+
+from tests.conftest import SF_SMALL
+from waveband.plans.build import read_control
+from waveband.sources.fixture import survey_fixture
+from waveband.sources.tables import write_survey_tables
+from waveband.streaming import watch_weights
+
+
+def test_available_now_stream_runs_the_build(spark, scratch):
+    tables_root, out_root = f"{scratch}/in", f"{scratch}/out"
+    write_survey_tables(survey_fixture(spark, SF_SMALL), tables_root, files_per_quarter=1)
+    results = []
+    query = watch_weights(spark, tables_root, out_root, f"{scratch}/stream-ckpt", on_build=results.append)
+    assert query.awaitTermination(600)
+    assert query.exception() is None
+    assert len(results) == 1
+    assert results[0].registered == ["2001q3"]
+    control = {r.file_quarter: r.in_data for r in read_control(spark, f"{out_root}/quarters").collect()}
+    assert control["2001q3"] == "Yes" and control["1998q1"] == "Yes"
+
+    # a restart sees no new files: no second build
+    again = watch_weights(spark, tables_root, out_root, f"{scratch}/stream-ckpt", on_build=results.append)
+    assert again.awaitTermination(600)
+    assert len(results) == 1
