@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # above it is joined by shuffle instead, with AQE splitting skewed partitions.
 MAX_BROADCAST_ROWS = 2_000_000
 
+# Small sides cached by small_side(); a job releases them when it ends.
+_CACHED: list[DataFrame] = []
+
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
@@ -23,6 +26,15 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
+        _CACHED.append(cached)
         return F.broadcast(cached)
     cached.unpersist()
     return df
+
+
+def release_small_sides() -> int:
+    """Unpersist every side cached by :func:`small_side`; returns how many."""
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n

@@ -36,6 +36,7 @@ from waveband.operators import (
     register_next_quarter,
     write_replacing,
 )
+from waveband.operators.joins import release_small_sides
 from waveband.operators.scope import MAX_QUARTERS
 from waveband.plans.stages import Run
 from waveband.schemas import (
@@ -116,6 +117,14 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
     ``tables.quarters`` is the control table as it is now; the updated one is
     written as a new version to ``control_path`` (default ``out_root/quarters``).
     """
+    try:
+        return _build(spark, tables, out_root, mode, register, strict, control_path)
+    finally:
+        release_small_sides()
+
+
+def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str, register: bool,
+           strict: bool, control_path: str | None) -> BuildResult:
     ensure_checkpoint_dir(spark)
     control_path = control_path or f"{out_root}/quarters"
     control = tables.quarters.select(*QUARTERS.fieldNames())

@@ -36,6 +36,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable-checkpoint files once the checkpointed DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # partition values (quarters) are read back as strings, never guessed as numbers
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -71,7 +73,7 @@ def get_session(
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of :data:`DEFAULT_CONF` to an existing session."""
     for key, value in DEFAULT_CONF.items():
-        if key in ("spark.ui.enabled",):
+        if key in ("spark.ui.enabled", "spark.cleaner.referenceTracking.cleanCheckpoints"):
             continue
         try:
             spark.conf.set(key, value)
