@@ -14,10 +14,11 @@ Join plan (designed for one large table, the diary rows):
   respondent's person rows are repeated. The station metadata (reports x segments x sample points) is a
   dimension of bounded size and is broadcast after a row-count check, so the
   metadata join adds no shuffle.
-* The result stays hash-partitioned on (respid, quarter). The 25-column
-  ``distinct`` of the listening facts and the person-level aggregates that
-  follow all group by keys that include respid and quarter, so they run without
-  another exchange.
+* The result stays hash-partitioned on (respid, quarter, salt). The 25-column
+  ``distinct`` of the listening facts groups by keys that include all three
+  (the salt is a function of the diary columns), so it runs without another
+  exchange; the person-level aggregates that follow combine map-side before
+  their shuffle.
 
 The original statement is a chain of LEFT joins followed by
 ``weight IS NOT NULL``; that filter rejects every row in which the individual,

@@ -9,13 +9,13 @@ All listening summaries aggregate in two steps, as the original does:
    weighted hours per published cut.
 
 The original writes every cut and age band as its own UNION ALL branch (12
-branches re-reading the person-level CTE). Here one generator turns each
-person row into its (band, cut) rows and **one** aggregate computes all of
-them: a single pass over the person rows and a single small shuffle. The person
-rows arrive partitioned on (respid, quarter), so the distinct-count's first
-aggregation step needs no exchange; only the final, pre-aggregated per-group
-rows are shuffled. A hot group (a big station, "All Adults") is combined
-map-side before that shuffle.
+branches re-reading the person-level CTE). Here one pass over the facts emits
+both person-level kinds (:func:`person_rows_all`), one generator turns each
+person row into its (band, cut) rows and **one** aggregate computes all of them
+(:func:`single_pass_summary`). The exact distinct count is planned by Spark as
+a partial aggregate on (group keys, respid) and a final one on the group keys;
+both combine map-side before their shuffle, so a hot group (a big station,
+"All Adults") never reaches one task unreduced.
 """
 
 from __future__ import annotations
