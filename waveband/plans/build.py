@@ -145,6 +145,10 @@ def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str,
     pending = sorted({r["file_quarter"] for r in control_rows
                       if r["in_data"] == "No" and r["file_quarter"] is not None})
     run = Run(tables.replace(quarters=control), pending, mode)
+    if mode == "pending" and not pending:
+        # nothing registered and not loaded: the outputs stay as they are
+        version = write_control(spark, control, control_path)
+        return BuildResult(registered, pending, [], [], version, {})
 
     counted = counted_facts(run.base).checkpoint(eager=True)
     run = Run(run.tables, pending, mode, counted_override=counted)
