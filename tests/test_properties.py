@@ -50,3 +50,13 @@ def test_any_digital_within_all_adults(summary):
     adults = summary[summary.demographic_type.str.startswith("All Adults")].set_index(KEYS + ["age_break"]).respondents
     joined = anyd.to_frame("d").join(adults.to_frame("a"), how="left")
     assert (joined.d <= joined.a).all()
+
+
+def test_single_pass_equals_two_aggregates(spark, summary):
+    from waveband.operators.summaries import demographic_summary
+
+    run = fixture_run(spark, SF_SMALL)
+    two = demographic_summary(run.person_time, run.person_platform_time).toPandas()
+    cols = sorted(summary.columns)
+    key = lambda df: sorted(map(repr, df[cols].astype(object).where(df[cols].notna(), None).itertuples(index=False)))
+    assert key(two) == key(summary)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # above it is joined by shuffle instead, with AQE splitting skewed partitions.
 MAX_BROADCAST_ROWS = 2_000_000
 
-# Small sides cached by small_side(); a job releases them when it ends.
-_CACHED: list[DataFrame] = []
+# Sides cached by small_side() with their bound; a job releases them when it ends.
+_CHECKED: list[tuple[DataFrame, int, bool]] = []
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -21,20 +21,25 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     The check counts at most ``max_rows + 1`` rows, so it stays cheap even when
     the side turns out to be large. A side that passes is kept cached, so the
     broadcast reuses the rows the check computed instead of recomputing the
-    (often multi-join) dimension.
+    (often multi-join) dimension; a later check of a semantically equal plan
+    reuses that decision and cache instead of counting again.
     """
+    for checked, bound, passed in _CHECKED:
+        # sameSemantics ignores alias names, so the column names must match too
+        if bound >= max_rows and passed and checked.columns == df.columns and checked.sameSemantics(df):
+            return F.broadcast(checked)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
-        _CACHED.append(cached)
+        _CHECKED.append((cached, max_rows, True))
         return F.broadcast(cached)
     cached.unpersist()
     return df
 
 
 def release_small_sides() -> int:
-    """Unpersist every side cached by :func:`small_side`; returns how many."""
-    n = len(_CACHED)
-    while _CACHED:
-        _CACHED.pop().unpersist()
+    """Unpersist every side cached by :func:`small_side` and forget the decisions."""
+    n = len(_CHECKED)
+    while _CHECKED:
+        _CHECKED.pop()[0].unpersist()
     return n
