@@ -43,7 +43,11 @@ def report_segments(reports: DataFrame, tsa: DataFrame) -> DataFrame:
     """Survey-area segments of each staged report."""
     r = reports.select("file_quarter", "report_id")
     t = tsa.select("file_quarter", "report_id", "segment")
-    return r.join(t, ["report_id", "file_quarter"], "inner").select("file_quarter", "report_id", "segment").distinct()
+    return (
+        r.join(small_side(t), ["report_id", "file_quarter"], "inner")
+        .select("file_quarter", "report_id", "segment")
+        .distinct()
+    )
 
 
 def station_metadata(reports: DataFrame, segments: DataFrame, postal: DataFrame) -> DataFrame:
@@ -55,8 +59,8 @@ def station_metadata(reports: DataFrame, segments: DataFrame, postal: DataFrame)
     seg = segments.select("file_quarter", "report_id", "segment")
     pts = postal.select("file_quarter", "segment", "sample_point")
     return (
-        reports.join(seg, ["report_id", "file_quarter"], "left")
-        .join(pts, ["segment", "file_quarter"], "left")
+        reports.join(small_side(seg), ["report_id", "file_quarter"], "left")
+        .join(small_side(pts), ["segment", "file_quarter"], "left")
         .select(*METADATA_COLUMNS)
         .distinct()
     )
