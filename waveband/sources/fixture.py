@@ -90,6 +90,8 @@ def survey_fixture(spark: SparkSession, sf_dir: str) -> SurveyTables:
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
+    # nation (25 rows) and region (5 rows) have fixed sizes in the TPC-H schema
+    # at every scale factor, so broadcasting them needs no run-time check.
 
     # control table and calendar
     quarters = (
