@@ -42,7 +42,7 @@ def test_hot_keys_lists_only_keys_above_the_bound(spark):
     assert [(r.respid, r._splits) for r in hot] == [(person(0), 6)]
 
 
-def test_hot_respondent_is_split_and_results_are_whole(spark, monkeypatch):
+def test_hot_respondent_is_split_and_results_are_whole(spark):
     t = skewed_world(spark)
     pending = pending_quarters(t.quarters)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -51,7 +51,7 @@ def test_hot_respondent_is_split_and_results_are_whole(spark, monkeypatch):
         expected_facts = _bag(Run(t, pending).facts)
         expected_summary = _bag(Run(t, pending).demographic_summary())
 
-        monkeypatch.setattr(skew, "MAX_ROWS_PER_TASK", 1000)
+        spark.conf.set(skew.MAX_ROWS_PER_TASK_CONF, "1000")
         run = Run(t, pending)
         # partition id taken before the filter, so the filter cannot move below the join
         tagged = run.base.select("respid", F.spark_partition_id().alias("p"))
@@ -59,6 +59,7 @@ def test_hot_respondent_is_split_and_results_are_whole(spark, monkeypatch):
         got_facts = _bag(run.facts)
         got_summary = _bag(Run(t, pending).demographic_summary())
     finally:
+        spark.conf.unset(skew.MAX_ROWS_PER_TASK_CONF)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
 

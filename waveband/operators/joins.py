@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 # segments, sample points, time slots, quarters) stay far below this; a side
 # above it is joined by shuffle instead, with AQE splitting skewed partitions.
 MAX_BROADCAST_ROWS = 2_000_000
+# Session setting that overrides the bound.
+MAX_BROADCAST_ROWS_CONF = "waveband.broadcast.maxRows"
 
 # Sides cached by small_side() with their bound; a job releases them when it ends.
 _CHECKED: list[tuple[DataFrame, int, bool]] = []
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else default
+
+
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The check counts at most ``max_rows + 1`` rows, so it stays cheap even when
@@ -24,6 +31,8 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     (often multi-join) dimension; a later check of a semantically equal plan
     reuses that decision and cache instead of counting again.
     """
+    if max_rows is None:
+        max_rows = _conf_int(df, MAX_BROADCAST_ROWS_CONF, MAX_BROADCAST_ROWS)
     for checked, bound, passed in _CHECKED:
         # sameSemantics ignores alias names, so the column names must match too
         if bound >= max_rows and passed and checked.columns == df.columns and checked.sameSemantics(df):

@@ -30,13 +30,17 @@ from waveband.operators.joins import small_side
 
 # Rows of one key that one task joins at most before the key is split.
 MAX_ROWS_PER_TASK = 200_000
+# Session setting that overrides the bound.
+MAX_ROWS_PER_TASK_CONF = "waveband.skew.maxRowsPerTask"
 SALT = "_salt"
 SPLITS = "_splits"
 
 
 def hot_keys(df: DataFrame, keys: list[str], max_rows_per_task: int | None = None) -> DataFrame:
     """Keys with more than ``max_rows_per_task`` rows, with ``_splits`` = ceil(rows / max)."""
-    max_rows_per_task = max_rows_per_task or MAX_ROWS_PER_TASK
+    if not max_rows_per_task:
+        configured = df.sparkSession.conf.get(MAX_ROWS_PER_TASK_CONF, None)
+        max_rows_per_task = int(configured) if configured else MAX_ROWS_PER_TASK
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.filter(F.col("_rows") > max_rows_per_task).select(
         *keys, F.ceil(F.col("_rows") / F.lit(max_rows_per_task)).cast("int").alias(SPLITS)
