@@ -69,16 +69,21 @@ def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[s
 
 
 def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, touched: Iterable[str],
-                    columns: list[str]) -> None:
+                    columns: list[str], files_per_key: int | None = None) -> None:
     """Replace the touched quarters of the table at ``path`` with ``new``.
 
     ``new`` must hold only touched, non-NULL keys (the build scopes every table
     with ``IN``, which never yields a NULL quarter). The partition column is
     written last by Spark; readers re-select ``columns`` for the published
-    order (see :func:`read_table`).
+    order (see :func:`read_table`). ``files_per_key`` bounds the files per
+    quarter for small outputs (rows spread by a deterministic hash); leave it
+    ``None`` for large outputs, which keep one file per task and quarter.
     """
+    out = new.select(*columns)
+    if files_per_key:
+        out = out.repartition(key, F.pmod(F.xxhash64(*columns), F.lit(files_per_key)))
     drop_partitions(spark, path, key, touched)
-    new.select(*columns).write.mode("append").partitionBy(key).parquet(path)
+    out.write.mode("append").partitionBy(key).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

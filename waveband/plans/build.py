@@ -49,6 +49,8 @@ from waveband.schemas import (
 from waveband.session import ensure_checkpoint_dir
 from waveband.sources.tables import SurveyTables
 
+# files per quarter of the small outputs (None: one per task, for the large one)
+FILES_PER_QUARTER = {"summary_table_1": 1, "summary_table_2": 1, "second_summary": None, "population": 1}
 # output table -> (partition key, published column order)
 OUTPUTS = {
     "summary_table_1": ("quarter", SUMMARY_1_COLUMNS),
@@ -165,7 +167,7 @@ def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str,
     for name, (df, touched) in results.items():
         key, columns = OUTPUTS[name]
         path = f"{out_root}/{name}"
-        write_replacing(spark, df, path, key, touched, columns)
+        write_replacing(spark, df, path, key, touched, columns, FILES_PER_QUARTER[name])
         outputs[name] = path
 
     version = write_control(spark, mark_loaded(control, run.reports, strict), control_path)
@@ -184,6 +186,6 @@ def publish_outputs(spark: SparkSession, src_root: str, dst_root: str,
         key, columns = OUTPUTS[name]
         src = read_table(spark, f"{src_root}/{name}", columns)
         touched = _distinct_keys(src, key)
-        write_replacing(spark, src, f"{dst_root}/{name}", key, touched, columns)
+        write_replacing(spark, src, f"{dst_root}/{name}", key, touched, columns, FILES_PER_QUARTER[name])
         copied[name] = touched
     return copied
