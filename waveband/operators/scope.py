@@ -23,26 +23,22 @@ from pyspark.sql import functions as F
 MAX_QUARTERS = 10_000
 
 
+def control_rows(control: DataFrame) -> list:
+    """The control table's rows (bounded: one per quarter), read in a single task."""
+    rows = control.select("file_quarter", "in_data").coalesce(1).limit(MAX_QUARTERS + 1).collect()
+    if len(rows) > MAX_QUARTERS:
+        raise ValueError(f"control table has more than {MAX_QUARTERS} rows")
+    return rows
+
+
 def pending_quarters(control: DataFrame) -> list[str]:
     """Snapshot of the quarters registered but not loaded, sorted."""
-    rows = (
-        control.filter(F.col("in_data").isin("No"))
-        .select("file_quarter")
-        .distinct()
-        .limit(MAX_QUARTERS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_QUARTERS:
-        raise ValueError(f"more than {MAX_QUARTERS} pending quarters")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted({r[0] for r in control_rows(control) if r[1] == "No" and r[0] is not None})
 
 
 def registered_quarters(control: DataFrame) -> list[str]:
     """Snapshot of every quarter in the control table, loaded or not, sorted."""
-    rows = control.select("file_quarter").distinct().limit(MAX_QUARTERS + 1).collect()
-    if len(rows) > MAX_QUARTERS:
-        raise ValueError(f"more than {MAX_QUARTERS} registered quarters")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted({r[0] for r in control_rows(control) if r[0] is not None})
 
 
 def scope_quarters(df: DataFrame, quarters: Iterable[str], mode: str = "pending",

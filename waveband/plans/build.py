@@ -23,6 +23,7 @@ gives the same end state):
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,18 @@ class BuildResult:
     outputs: dict[str, str] = field(default_factory=dict)
 
 
+@contextmanager
+def _step(spark: SparkSession, description: str):
+    """Label the Spark jobs of one build step (shown in the event log and history server)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"waveband build: {description}")
+    try:
+        yield
+    finally:
+        sc.setLocalProperty("spark.job.description", previous)
+
+
 def _distinct_keys(df: DataFrame, column: str) -> list[str]:
     rows = df.select(column).distinct().limit(MAX_QUARTERS + 1).collect()
     if len(rows) > MAX_QUARTERS:
@@ -133,14 +146,16 @@ def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str,
 
     registered: list[str] = []
     if register:
-        new_rows = register_next_quarter(tables.weights, tables.date_lookup, control).collect()
-        if new_rows:
-            registered = [r["file_quarter"] for r in new_rows]
-            control = append_quarter(control, spark.createDataFrame(new_rows, QUARTERS))
+        with _step(spark, "register"):
+            new_rows = register_next_quarter(tables.weights, tables.date_lookup, control).collect()
+            if new_rows:
+                registered = [r["file_quarter"] for r in new_rows]
+                control = append_quarter(control, spark.createDataFrame(new_rows, QUARTERS))
 
     # Snapshot the control table once (bounded: one row per quarter). Every
     # later step sees this state, whatever happens to the stored table.
-    control_rows = control.limit(MAX_QUARTERS + 1).collect()
+    with _step(spark, "snapshot control"):
+        control_rows = control.coalesce(1).limit(MAX_QUARTERS + 1).collect()
     if len(control_rows) > MAX_QUARTERS:
         raise ValueError("control table larger than its bound")
     control = spark.createDataFrame(control_rows, QUARTERS)
@@ -152,25 +167,30 @@ def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str,
         version = write_control(spark, control, control_path)
         return BuildResult(registered, pending, [], [], version, {})
 
-    counted = counted_facts(run.base).checkpoint(eager=True)
+    with _step(spark, "enrich and checkpoint facts"):
+        counted = counted_facts(run.base).checkpoint(eager=True)
     run = Run(run.tables, pending, mode, counted_override=counted)
 
-    summary_quarters = _distinct_keys(run.facts, "file_quarter")
-    report_quarters = _distinct_keys(run.reports, "file_quarter")
-    results = {
-        "summary_table_1": (run.demographic_summary(), summary_quarters),
-        "summary_table_2": (run.slot_summary(), summary_quarters),
-        "second_summary": (run.sessions, report_quarters),
-        "population": (run.population, report_quarters),
-    }
+    with _step(spark, "touched quarters"):
+        summary_quarters = _distinct_keys(run.facts, "file_quarter")
+        report_quarters = _distinct_keys(run.reports, "file_quarter")
+    with _step(spark, "plan outputs"):
+        results = {
+            "summary_table_1": (run.demographic_summary(), summary_quarters),
+            "summary_table_2": (run.slot_summary(), summary_quarters),
+            "second_summary": (run.sessions, report_quarters),
+            "population": (run.population, report_quarters),
+        }
     outputs = {}
     for name, (df, touched) in results.items():
         key, columns = OUTPUTS[name]
         path = f"{out_root}/{name}"
-        write_replacing(spark, df, path, key, touched, columns, FILES_PER_QUARTER[name])
+        with _step(spark, f"write {name}"):
+            write_replacing(spark, df, path, key, touched, columns, FILES_PER_QUARTER[name])
         outputs[name] = path
 
-    version = write_control(spark, mark_loaded(control, run.reports, strict), control_path)
+    with _step(spark, "mark loaded"):
+        version = write_control(spark, mark_loaded(control, run.reports, strict), control_path)
     return BuildResult(registered, pending, summary_quarters, report_quarters, version, outputs)
 
 
