@@ -7,8 +7,8 @@ inserts the new rows. Two forms are provided:
   DataFrame (anti-join on the touched keys plus union). Exact, including NULL
   keys: a NULL quarter never matches ``IN``, so NULL-keyed target rows survive.
 * :func:`write_replacing` - the same on storage, for a Parquet table
-  partitioned by the key: the touched partitions are removed and the new rows
-  appended, partitioned by the key. Work is proportional to the touched
+  partitioned by the key: the new rows are written to a staging folder, then
+  the touched partitions are removed and the staged files moved in. Work is proportional to the touched
   quarters, not to the table's history. The touched list is a bounded
   per-run snapshot (one entry per quarter).
 
@@ -19,6 +19,7 @@ Plain Parquet tables have no DELETE; where a table format with
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +69,38 @@ def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[s
     return dropped
 
 
+def _move_partitions(spark: SparkSession, staging: str, path: str) -> list[str]:
+    """Move every ``key=value`` folder's files from ``staging`` into ``path``."""
+    fs, stage_root = _jvm_fs(spark, staging)
+    jvm = spark.sparkContext._jvm
+    moved = []
+    for part in fs.listStatus(stage_root):
+        name = part.getPath().getName()
+        if not part.isDirectory() or name.startswith(("_", ".")):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(path, name)
+        fs.mkdirs(target)
+        for f in fs.listStatus(part.getPath()):
+            fname = f.getPath().getName()
+            if fname.startswith(("_", ".")):
+                continue
+            if not fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(target, fname)):
+                raise OSError(f"could not move {f.getPath()} to {target}")
+        moved.append(name)
+    fs.delete(stage_root, True)
+    return moved
+
+
 def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, touched: Iterable[str],
                     columns: list[str], files_per_key: int | None = None) -> None:
     """Replace the touched quarters of the table at ``path`` with ``new``.
 
+    The new rows are computed and written first, to a hidden staging folder
+    inside the table (``_staging-…``, ignored by readers); only then are the
+    touched partitions dropped and the staged files moved in. A job that fails
+    while computing leaves the table as it was; the remaining window is the
+    file moves, and a rerun repairs it.
+
     ``new`` must hold only touched, non-NULL keys (the build scopes every table
     with ``IN``, which never yields a NULL quarter). The partition column is
     written last by Spark; readers re-select ``columns`` for the published
@@ -82,8 +111,10 @@ def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, to
     out = new.select(*columns)
     if files_per_key:
         out = out.repartition(key, F.pmod(F.xxhash64(*columns), F.lit(files_per_key)))
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    out.write.mode("overwrite").partitionBy(key).parquet(staging)
     drop_partitions(spark, path, key, touched)
-    out.write.mode("append").partitionBy(key).parquet(path)
+    _move_partitions(spark, staging, path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
