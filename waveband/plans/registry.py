@@ -64,6 +64,12 @@ def q_replace_partitions(spark, sf_dir):
     return replace_partitions(target, run.demographic_summary(), "quarter", touched)
 
 
+def q_publish_summary(spark, sf_dir):
+    run = fixture_run(spark, sf_dir)
+    reporting = _stale_run(run).demographic_summary(relabel=False)
+    return publish(run.demographic_summary(), reporting, "quarter")
+
+
 def q_publish_slot_summary(spark, sf_dir):
     run = fixture_run(spark, sf_dir)
     reporting = _stale_run(run).slot_summary(relabel=False)
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "population_summary": _run_query(lambda r: r.population),
     "mark_loaded": _run_query(lambda r: mark_loaded(r.tables.quarters, r.reports)),
     "replace_partitions": q_replace_partitions,
+    "publish_summary": q_publish_summary,
     "publish_slot_summary": q_publish_slot_summary,
     "publish_population": q_publish_population,
 }
