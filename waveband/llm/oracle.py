@@ -49,4 +49,31 @@ b AS (SELECT *, n_words < {_RULES.min_words} OR 100 * n_repeat_words > {_RULES.r
 SELECT *, NOT base_failed AND 100 * chars_left >= {_RULES.keep_percent} * word_chars AS kept FROM b
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_quality_rules": OP9}
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS m, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS k
+  FROM (SELECT item, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (
+  SELECT rid, i, m, array_to_string(ws[i:i + m - 1], ' ') AS k
+  FROM (
+    SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+    FROM d CROSS JOIN (SELECT DISTINCT m FROM bw) WHERE len(ws) >= m)),
+occ AS (SELECT rid, i, m, item FROM dw JOIN bw USING (m, k)),
+hit AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT rid, i, m FROM occ))
+  GROUP BY rid),
+it AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM occ)
+  GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op9_quality_rules": OP9}

@@ -34,3 +34,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
