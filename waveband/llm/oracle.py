@@ -76,4 +76,20 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op9_quality_rules": OP9}
+OP7 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT rid, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 2], ' ') END AS k
+  FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT x.rid AS a, y.rid AS b, count(*) AS common FROM s AS x JOIN s AS y ON x.k = y.k AND x.rid < y.rid GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n AS x ON x.rid = a JOIN n AS y ON y.rid = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (rid) JOIN r ON r.a = d.rid JOIN d AS o ON o.rid = r.b GROUP BY d.rid, d.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op7_jaccard_join": OP7, "op9_quality_rules": OP9}
