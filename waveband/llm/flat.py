@@ -51,10 +51,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, limit: int = SLICE_BYTES, max_rows: int = 1 << 16) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of consecutive rows; null counts as the empty text.
 
-    Every slice has at least one row and at most ``limit`` bytes, unless it is a single row.
+    Every slice has at most ``max_rows`` rows, and at most ``limit`` bytes unless it is a single row.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -67,7 +67,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
     start = 0
     while start < len(filled):
         end = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
-        end = min(max(end, start + 1), len(filled))
+        end = min(max(end, start + 1), start + max_rows, len(filled))
         yield start, end, data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
         start = end
 
@@ -100,3 +100,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * base[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def gram_buckets(data: np.ndarray, offsets: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash bucket (of a power of two) of every run of ``order`` (up to 7) bytes inside a row."""
+    n = max(len(data) - order + 1, 0)
+    gram = np.full(n, order, np.uint64)
+    for k in range(order):
+        gram = (gram << np.uint64(8)) | data[k : n + k]
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
+    inside = np.arange(n) + order <= offsets[1:][row]
+    bits = np.uint64(64 - int(buckets).bit_length() + 1)
+    return row[inside], ((gram[inside] * np.uint64(_BASE)) >> bits).astype(np.int64)

@@ -92,4 +92,51 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS com
 FROM d LEFT JOIN n USING (rid) JOIN r ON r.a = d.rid JOIN d AS o ON o.rid = r.b GROUP BY d.rid, d.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op7_jaccard_join": OP7, "op9_quality_rules": OP9}
+_IP_PART = "CAST(substr(regexp_replace(p, '^0+([0-9])', '\\1'), 1, 3) AS INT) <= 255 AND length(regexp_replace(p, '^0+([0-9])', '\\1')) <= 3"
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_NEAR = "regexp_matches(lower(right(pre, 40)), '(^|[^a-z])({0})')"
+_CONFIRMED = rf"""CASE kind
+  WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda p: NOT ({_IP_PART}))) = 0
+  WHEN 'card' THEN length({_DIGITS}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1),
+    lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({_DIGITS}), i, 1) AS INT)
+      ELSE (CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * 2) // 10 + (CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * 2) % 10 END)) % 10 = 0
+  WHEN 'phone' THEN length({_DIGITS}) BETWEEN 9 AND 15
+  WHEN 'iban' THEN length(replace(v, ' ', '')) BETWEEN 15 AND 34
+    AND list_reduce(list_prepend(0, list_transform(string_split(substr(replace(v, ' ', ''), 5) || left(v, 4), ''),
+      lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN CAST(ascii(c) - 48 AS BIGINT) ELSE CAST(ascii(c) - 55 AS BIGINT) END)),
+      lambda r, x: (r * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+  WHEN 'secret' THEN regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND {_NEAR.format("key|token|secret|password|passwd|bearer")}
+  ELSE true END"""
+#: plain patterns; for IBAN and secret the neighbours are taken into the match and left out again
+_PLAIN = (
+    ("email", r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"),
+    ("ip", r"([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)"),
+    ("card", r"([0-9](?:[\x20-]?[0-9])+)"),
+    ("phone", r"(\+[0-9][\x20().0-9-]+[0-9])"),
+    ("iban", r"\b([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b"),
+    ("secret", r"([A-Za-z0-9+/_-]{32,})"),
+)
+
+OP10 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+parts AS ({" UNION ALL ".join(
+    f"SELECT rid, {r} AS rank, '{k}' AS kind, string_split(regexp_replace(t, '{p}', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS ps FROM d"
+    for r, (k, p) in enumerate(_PLAIN))}),
+one AS (
+  SELECT rid, rank, kind, ps[i] AS v, ps[i - 1] AS pre, list_sum(list_transform(ps[:i - 1], lambda x: length(x))) AS s
+  FROM (SELECT *, unnest(range(2, len(ps) + 1, 2)) AS i FROM parts)),
+ok AS (
+  SELECT rid, rank, kind, CAST(s AS BIGINT) AS s, CAST(s + length(v) AS BIGINT) AS e FROM one
+  WHERE {_CONFIRMED} AND (kind <> 'secret' OR length(v) <= 64)),
+per AS (
+  SELECT rid, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip, count(*) FILTER (rank = 2) AS n_card,
+    count(*) FILTER (rank = 3) AS n_phone,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 4) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+  FROM ok GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (rid)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op7_jaccard_join": OP7, "op9_quality_rules": OP9, "op10_personal_data": OP10}

@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waveband.llm import decontamination, jaccard_join, quality_rules, sentencepiece_coding
+from waveband.llm import decontamination, jaccard_join, language_id, personal_data, quality_neighbours, quality_rules, samples, sentencepiece_coding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predicted = language_id.predict(table(spark, sf_dir, "documents"))
+    return predicted.select("doc_id", samples.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_coding.round_trip(table(spark, sf_dir, "documents"))
 
@@ -25,14 +31,26 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_neighbours.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", samples.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.digest(decontamination.locate(docs, benchmark))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_neighbours": op1_quality_neighbours,
     "op3_decontamination": op3_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
+    "op10_personal_data": op10_personal_data,
 }
