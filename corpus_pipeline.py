@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waveband.llm import quality_rules
-from waveband.llm.shared import written
+from waveband.llm import decontamination, jaccard_join, personal_data, quality_rules, sentencepiece_coding
+from waveband.llm.shared import fresh_name, written
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +20,43 @@ def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.clean(docs)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest id stays; of rows that repeat an id, one.
+
+    Rows without an id, which link with nothing, all stay.
+    """
+    own, group = "doc_id", fresh_name(docs, "group")
+    first = (
+        jaccard_join.join(docs.select("doc_id", "text"))
+        .where("doc_id = component_id").select(F.col("doc_id").alias(group)).distinct()
+    )
+    kept = docs.join(first, docs[own] == first[group], "left_semi")
+    row, order = F.struct(*(F.col(c) for c in docs.columns)), F.coalesce("text", F.lit(""))
+    one = kept.groupBy(own).agg(F.min_by(row, order).alias(group)).select(f"{group}.*")
+    return one.select(*docs.columns).unionByName(docs.where(F.col(own).isNull()))
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark go from the texts; the documents stay."""
+    return decontamination.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts becomes its kind."""
+    return personal_data.mask(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts and digests of the ids, and of the text that they decode to."""
+    return sentencepiece_coding.round_trip(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", keep_good_documents),
+    ("jaccard_join", keep_one_of_each_group),
+    ("decontamination", remove_benchmark),
+    ("personal_data", mask_personal_data),
+    ("sentencepiece", encode),
 ]
 
 #: SentencePiece encoding cannot be stated in SQL; tests hold the pipeline against a brute-force version.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waveband.llm import quality_rules
+from waveband.llm import license_scan, quality_rules
 
 _PHRASES = "|".join(quality_rules.BOILERPLATE)
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -139,4 +139,50 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM d LEFT JOIN per USING (rid)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3, "op7_jaccard_join": OP7, "op9_quality_rules": OP9, "op10_personal_data": OP10}
+OP6 = """
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS h FROM pages),
+b AS (
+  SELECT *, strlen(h) AS payload_bytes, array_to_string(list_transform(string_split(sha1(h), ''), lambda c:
+    substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (position(c IN '0123456789abcdef') - 1) + 1, 4)), '') AS bits
+  FROM p),
+d AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(
+    list_transform(range(1, 6), lambda k: CAST(substr(bits, 5 * i + k, 1) AS INT) * (1 << (5 - k)))) AS BIGINT), 1)), '') AS payload_digest
+  FROM b),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS original FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM m
+"""
+
+_KNOWN = "CASE x " + " ".join(f"WHEN '{s}' THEN '{i}'" for s, i in license_scan.SENTENCES.items()) + " END"
+_LICENSE = "CASE r " + " ".join(f"WHEN '{','.join(r)},' THEN '{n}'" for r, n in license_scan.RULES) + " END"
+_SEQUENCES = "|".join(sorted((",".join(r) + "," for r, _ in license_scan.RULES), key=lambda x: (-x.count(","), x))) + "|[a-z0-9-]+,"
+
+OP8 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (
+  SELECT rid, doc_id, list_filter(list_transform(
+      string_split(regexp_replace(regexp_replace(t, '[.;:]([\x20\t\r\n])', chr(10) || '\1', 'g'), '[.;:]$', ''), chr(10)),
+      lambda x: translate(trim(regexp_replace(x, '[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+    lambda x: x <> '') AS ss
+  FROM d),
+i AS (SELECT *, list_filter(list_transform(ss, lambda x: {_KNOWN}), lambda x: x IS NOT NULL) AS ids FROM s),
+m AS (
+  SELECT *, list_filter(list_transform(regexp_extract_all(array_to_string(ids, ',') || ',', '{_SEQUENCES}'), lambda r: {_LICENSE}), lambda x: x IS NOT NULL) AS found
+  FROM i)
+SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_sentences, CAST(len(found) AS BIGINT) AS n_matches, array_to_string(ids, ',') AS sentence_ids,
+  array_to_string(list_sort(list_distinct(found)), ',') AS licenses,
+  len(list_filter(found, lambda x: x IN ('CC-BY-NC-4.0', 'GPL', 'GPL-3.0'))) > 0 AS restricted
+FROM m
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": OP3,
+    "op6_warc": OP6,
+    "op7_jaccard_join": OP7,
+    "op8_license_scan": OP8,
+    "op9_quality_rules": OP9,
+    "op10_personal_data": OP10,
+}

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waveband.llm import decontamination, jaccard_join, language_id, personal_data, quality_neighbours, quality_rules, samples, sentencepiece_coding
+from waveband.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    license_scan,
+    personal_data,
+    quality_neighbours,
+    quality_rules,
+    samples,
+    sentencepiece_coding,
+    url_filter,
+    warc,
+)
+from waveband.llm.shared import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +36,21 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_coding.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    resolved = warc.resolve(warc.read(spark, path, with_payload=False))
+    return resolved.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -36,6 +60,10 @@ def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", samples.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.digest(decontamination.locate(docs, benchmark))
@@ -47,10 +75,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
+    "op2_url_filter": op2_url_filter,
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_warc": op6_warc,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
 }

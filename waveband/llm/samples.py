@@ -16,17 +16,24 @@ def order_hash(doc_id: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
 
 
-def bounded(rows: DataFrame, doc_id: str, label: str, per_label: int) -> Column:
-    """A filter that keeps the ``per_label`` (at most 1000) rows of each label with the smallest hash of the id.
+def _smallest(rows: DataFrame, label: Column, order: Column, per_label: int) -> Column:
+    """A filter for the ``per_label`` rows of each label that come first by ``order``.
 
-    Only ids and labels are read for it, and Spark limits each group before the shuffle; the bounds
-    that come to the driver are one number for each label. Rows that share a bound's hash all stay.
+    Only labels and orders are read for it, and Spark limits each group before the shuffle (up to 1000
+    rows a group); what comes to the driver is one number for each label. Rows that tie at a bound stay.
     """
-    labelled = rows.where(~held_out(doc_id) & F.col(label).isNotNull())
-    hashed = labelled.select(F.col(label).alias("label"), order_hash(doc_id).alias("hash"))
-    first = hashed.withColumn("at", F.row_number().over(Window.partitionBy("label").orderBy("hash"))).where(F.col("at") <= per_label)
-    bounds = first.groupBy("label").agg(F.max("hash").alias("hash")).collect()
+    ordered = rows.select(label.alias("label"), order.alias("order")).where("label IS NOT NULL")
+    first = ordered.withColumn("at", F.row_number().over(Window.partitionBy("label").orderBy("order"))).where(F.col("at") <= per_label)
     kept = F.lit(False)
-    for row in sorted(bounds, key=lambda r: str(r["label"])):
-        kept = kept | ((F.col(label) == row["label"]) & (order_hash(doc_id) <= row["hash"]))
-    return ~held_out(doc_id) & F.col(label).isNotNull() & kept
+    for row in sorted(first.groupBy("label").agg(F.max("order").alias("order")).collect(), key=lambda r: str(r["label"])):
+        kept = kept | ((label == row["label"]) & (order <= row["order"]))
+    return label.isNotNull() & kept
+
+
+def smallest(rows: DataFrame, label: str, order: Column, per_label: int) -> DataFrame:
+    return rows.where(_smallest(rows, F.col(label), order, per_label))
+
+
+def bounded(rows: DataFrame, doc_id: str, label: str, per_label: int) -> Column:
+    """A filter that keeps, of the rows to learn from, those of each label with the smallest hash of the id."""
+    return ~held_out(doc_id) & _smallest(rows.where(~held_out(doc_id)), F.col(label), order_hash(doc_id), per_label)
