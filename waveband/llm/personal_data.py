@@ -158,8 +158,10 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", window: i
 
     cut = F.aggregate(F.col(name), start, step, lambda s: F.concat(s["out"], F.substr(F.col(text), s["at"] + 1, F.length(text))))
     changed = F.size(name) > 0
-    masked = F.when(changed, cut).otherwise(F.col(text))
-    columns = {c: F.col(c) for c in docs.columns} | {text: masked.alias(text)}
+    # a column of its own first: in one select, Spark would take the new text for the one that the lambdas read
+    masked = fresh_name(listed, "masked")
+    listed = listed.withColumn(masked, F.when(changed, cut).otherwise(F.col(text)))
+    columns = {c: F.col(c) for c in docs.columns} | {text: F.col(masked).alias(text)}
     if length in docs.columns:
         kind = docs.schema[length].dataType
         columns[length] = F.when(changed, F.length(masked)).otherwise(F.col(length)).cast(kind).alias(length)
