@@ -61,19 +61,64 @@ def test_scan_reads_only_used_columns(stored):
     assert "PushedFilters: [IsNotNull(weight)]" in text
 
 
-def test_diary_rows_meet_people_in_one_salted_shuffle(stored, spark):
+def test_diary_rows_meet_people_in_one_shuffle(stored, spark):
     from waveband.operators import pending_quarters
     from waveband.plans.stages import Run
 
     run = Run(stored, pending_quarters(stored.quarters))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are too large for it
     try:
-        text = plan_of(run.person_time)
+        text = plan_of(run.facts)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # The diary rows meet the person side in one salted shuffle join on
-    # (respid, file_quarter, _salt); the 25-column distinct runs inside that
-    # partitioning (no exchange over all fact columns).
-    salted = re.findall(r"Exchange hashpartitioning\(respid#\d+, file_quarter#\d+, _salt#\d+", text)
-    assert len(salted) == 2, text
-    assert not re.search(r"Exchange hashpartitioning\(file_quarter#\d+, respid#\d+, dayofweek#", text), text
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the diary is scanned once, and is shuffled to the people on (respid, file_quarter) before anything else
+    assert text.count("row_id") and len(re.findall(r"FileScan parquet \[[^\]]*row_id", text)) == 1, text
+    assert re.search(r"Exchange hashpartitioning\(respid#\d+, file_quarter#\d+", text), text
+
+
+def test_no_task_gathers_a_whole_side(stored, spark):
+    from waveband.operators import pending_quarters
+    from waveband.plans.stages import Run
+
+    run = Run(stored, pending_quarters(stored.quarters))
+    for df in (run.facts, run.sessions, run.demographic_summary(), run.slot_summary(), run.population):
+        assert "SinglePartition" not in plan_of(df)
+
+
+def test_no_job_runs_before_an_action(stored, spark):
+    from waveband.operators import pending_quarters
+    from waveband.plans.stages import Run
+
+    pending = pending_quarters(stored.quarters)
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "queries that are only made")
+    try:
+        run = Run(stored, pending)
+        made = [run.facts, run.sessions, run.demographic_summary(), run.slot_summary(), run.population]
+        assert made and not sc.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+def test_summary_moves_the_facts_once_and_no_exploded_rows(stored, spark, scratch):
+    from waveband.operators import counted_facts, pending_quarters
+    from waveband.plans.stages import Run
+    from waveband.sources.stored import handed_over
+
+    pending = pending_quarters(stored.quarters)
+    counted = handed_over(counted_facts(Run(stored, pending).base), "facts", "file_quarter")
+    run = Run(stored, pending, counted_override=counted)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_of(run.demographic_summary())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2, text
+    # from the top: the reduced groups, then the facts below both generators
+    assert "demographic_type" in exchanges[0] and "respid" in exchanges[1] and "Generate" not in text[text.index(exchanges[1]):]
+    scan = next(line for line in text.split("\n") if "FileScan parquet" in line and "respid" in line)
+    assert "row_id" not in scan and "hhmm_start" not in scan

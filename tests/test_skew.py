@@ -1,12 +1,11 @@
 """A respondent holding a third of all diary rows is split over several join tasks
-(salting), and the results equal those computed without the split."""
+(AQE's skew join), and the results equal those computed without the split."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tests.tiny import individual, listen, person, weight, world
-from waveband.operators import pending_quarters, skew
+from waveband.operators import pending_quarters
 from waveband.plans.stages import Run
 
 HOT_ROWS = 6000
@@ -36,34 +35,34 @@ def _bag(df):
     return sorted(map(repr, (tuple(r) for r in df.collect())))
 
 
-def test_hot_keys_lists_only_keys_above_the_bound(spark):
-    t = skewed_world(spark)
-    hot = skew.hot_keys(t.listening, ["respid", "file_quarter"], max_rows_per_task=1000).collect()
-    assert [(r.respid, r._splits) for r in hot] == [(person(0), 6)]
-
-
 def test_hot_respondent_is_split_and_results_are_whole(spark):
     t = skewed_world(spark)
     pending = pending_quarters(t.quarters)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")  # keep the shuffle join
+    expected_facts = _bag(Run(t, pending).facts)
+    expected_summary = _bag(Run(t, pending).demographic_summary())
+    conf = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",  # keep the shuffle join
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        expected_facts = _bag(Run(t, pending).facts)
-        expected_summary = _bag(Run(t, pending).demographic_summary())
-
-        spark.conf.set(skew.MAX_ROWS_PER_TASK_CONF, "1000")
-        run = Run(t, pending)
-        # partition id taken before the filter, so the filter cannot move below the join
-        tagged = run.base.select("respid", F.spark_partition_id().alias("p"))
-        hot_parts = tagged.filter(F.col("respid") == person(0)).select("p").distinct().count()
-        got_facts = _bag(run.facts)
+        base = Run(t, pending).base
+        got_base = base.count()
+        joined = base.select("respid", "mins")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got_facts = _bag(Run(t, pending).facts)
         got_summary = _bag(Run(t, pending).demographic_summary())
     finally:
-        spark.conf.unset(skew.MAX_ROWS_PER_TASK_CONF)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
-    assert hot_parts > 1
-    assert len(got_facts) == HOT_ROWS + COLD_PEOPLE * COLD_ROWS_EACH
+    assert "skew=true" in plan, plan
+    assert got_base == HOT_ROWS + COLD_PEOPLE * COLD_ROWS_EACH == len(got_facts)
     assert got_facts == expected_facts
     assert got_summary == expected_summary

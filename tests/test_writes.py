@@ -1,31 +1,83 @@
-"""Replace-by-quarter on storage (partitioned Parquet)."""
+"""Replace-by-quarter on storage: versions, what readers see, failures between the steps."""
 
 from __future__ import annotations
 
 import os
 
-from waveband.operators import read_table, write_replacing
+import pytest
 
-COLS = ["v", "quarter"]
+from waveband.operators import read_table, write_replacing, writes
+from waveband.schemas import _struct, I, S
+
+SCHEMA = _struct(("v", I), ("quarter", S))
+
+
+def _table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def _rows(spark, path):
-    return sorted((r.quarter, r.v) for r in read_table(spark, path, COLS).collect())
+    return sorted((r.quarter, r.v) for r in read_table(spark, path, "quarter", SCHEMA).collect())
 
 
 def test_write_replacing_on_storage(spark, scratch):
     path = f"{scratch}/t"
-    first = spark.createDataFrame([(1, "2020q1"), (2, "2020q2"), (3, "2020q3")], "v int, quarter string")
-    write_replacing(spark, first, path, "quarter", ["2020q1", "2020q2", "2020q3"], COLS)
+    assert _rows(spark, path) == []
+    first = _table(spark, [(1, "2020q1"), (2, "2020q2"), (3, "2020q3")])
+    write_replacing(spark, first, path, "quarter", ["2020q1", "2020q2", "2020q3"], SCHEMA)
     assert _rows(spark, path) == [("2020q1", 1), ("2020q2", 2), ("2020q3", 3)]
 
     # 2020q2 replaced, 2020q3 touched without new rows (deleted), 2020q1 untouched (kept)
-    new = spark.createDataFrame([(20, "2020q2"), (21, "2020q2")], "v int, quarter string")
-    write_replacing(spark, new, path, "quarter", ["2020q2", "2020q3"], COLS, files_per_key=1)
-    assert _rows(spark, path) == [("2020q1", 1), ("2020q2", 20), ("2020q2", 21)]
-    assert not [d for d in os.listdir(path) if d.startswith("_staging")]
-    assert len([f for f in os.listdir(f"{path}/quarter=2020q2") if f.endswith(".parquet")]) == 1
-
-    # rerun: same state
-    write_replacing(spark, new, path, "quarter", ["2020q2", "2020q3"], COLS, files_per_key=1)
-    assert _rows(spark, path) == [("2020q1", 1), ("2020q2", 20), ("2020q2", 21)]
+    new = _table(spark, [(20, "2020q2"), (21, "2020q2")])
+    for _ in range(2):  # the rerun gives the same state
+        write_replacing(spark, new, path, "quarter", ["2020q2", "2020q3"], SCHEMA)
+        assert _rows(spark, path) == [("2020q1", 1), ("2020q2", 20), ("2020q2", 21)]
+
+
+def test_table_without_rows_can_be_read(spark, scratch):
+    path = f"{scratch}/t"
+    write_replacing(spark, _table(spark, []), path, "quarter", ["2020q1"], SCHEMA)
+    assert _rows(spark, path) == []
+    write_replacing(spark, _table(spark, [(1, "2020q1")]), path, "quarter", [], SCHEMA)
+    write_replacing(spark, _table(spark, []), path, "quarter", ["2020q1"], SCHEMA)
+    assert _rows(spark, path) == []
+
+
+def test_reader_during_the_switch_and_failure_before_it(spark, scratch, monkeypatch):
+    path = f"{scratch}/t"
+    write_replacing(spark, _table(spark, [(1, "2020q1"), (2, "2020q2")]), path, "quarter", [], SCHEMA)
+    before = read_table(spark, path, "quarter", SCHEMA)
+    seen = []
+
+    def failing(*_):
+        seen.append(_rows(spark, path))  # the new rows are written, the index isn't switched yet
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(writes, "_add_version", failing)
+        with pytest.raises(OSError):
+            write_replacing(spark, _table(spark, [(9, "2020q2")]), path, "quarter", [], SCHEMA)
+    assert seen == [[("2020q1", 1), ("2020q2", 2)]] == [_rows(spark, path)]
+    write_replacing(spark, _table(spark, [(9, "2020q2")]), path, "quarter", [], SCHEMA)
+    assert _rows(spark, path) == [("2020q1", 1), ("2020q2", 9)]
+    assert sorted(r.v for r in before.collect()) == [1, 2]  # a reader that began before still reads the old files
+
+
+def test_one_version_is_written_once(spark, scratch):
+    path = f"{scratch}/t"
+    write_replacing(spark, _table(spark, [(1, "2020q1")]), path, "quarter", [], SCHEMA)
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        writes._add_version(spark, path, 1, [("2020q1", "other")])
+    assert _rows(spark, path) == [("2020q1", 1)]
+
+
+def test_damaged_index_is_an_error(spark, scratch):
+    path = f"{scratch}/t"
+    write_replacing(spark, _table(spark, [(1, "2020q1")]), path, "quarter", [], SCHEMA)
+    folder = f"{path}/current/version=1"
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/{name}", "wb") as file:
+                file.write(b"damaged")
+    with pytest.raises(Exception):
+        _rows(spark, path)

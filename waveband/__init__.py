@@ -6,7 +6,6 @@ Packages:
 * ``functions`` - column expressions and reach measures
 * ``operators`` - staging, enrichment, summaries, control table, writes
 * ``plans``     - the quarterly build job and the release-day publish job
-* ``streaming`` - running the build when a new quarter's files land
 """
 
 __version__ = "0.1.0"

@@ -12,9 +12,6 @@ from waveband.operators.enrich import (
     session_facts,
     station_metadata,
 )
-from waveband.operators.joins import small_side
-from waveband.operators import skew
-from waveband.operators.skew import hot_keys, salted_join
 from waveband.operators.scope import pending_quarters, registered_quarters, scope_quarters
 from waveband.operators.staging import (
     stage_distinct,
@@ -34,12 +31,12 @@ from waveband.operators.summaries import (
     person_slot_time,
     person_time,
     population_summary,
+    relabel_history,
     relabel_stations,
     slot_summary,
     with_quarter_date,
 )
 from waveband.operators.writes import (
-    drop_partitions,
     publish,
     read_table,
     replace_partitions,
@@ -51,12 +48,9 @@ __all__ = [
     "append_quarter",
     "counted_facts",
     "expand_copies",
-    "hot_keys",
-    "salted_join",
     "cut_summary",
     "demographic_summary",
     "diary_base",
-    "drop_partitions",
     "listening_facts",
     "listening_with_people",
     "mark_loaded",
@@ -70,13 +64,13 @@ __all__ = [
     "read_table",
     "registered_quarters",
     "register_next_quarter",
+    "relabel_history",
     "relabel_stations",
     "replace_partitions",
     "report_segments",
     "scope_quarters",
     "session_facts",
     "slot_summary",
-    "small_side",
     "stage_distinct",
     "stage_individuals",
     "stage_listening",

@@ -1,8 +1,7 @@
 """The control table of survey quarters: registration and the loaded flag.
 
 The control table (``file_quarter, in_data, quarter_date``) has one row per
-survey quarter, so it is a small, bounded table; joins against it broadcast
-after a size check.
+survey quarter; Spark broadcasts it by its file size.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waveband.functions.expressions import date_lookup_quarter
-from waveband.operators.joins import small_side
 from waveband.schemas import QUARTERS
 
 # ---- fixed values ------------------------------------------------------------
@@ -29,10 +27,10 @@ def register_next_quarter(weights: DataFrame, dates: DataFrame, control: DataFra
     """
     quarters = weights.select("file_quarter").distinct()
     known = control.select("file_quarter").distinct()
-    unregistered = quarters.join(small_side(known), "file_quarter", "left_anti")
+    unregistered = quarters.join(known, "file_quarter", "left_anti")
     calendar = dates.select(F.col("quarter").alias("_cal_quarter"), "week_beginning")
     dated = unregistered.join(
-        small_side(calendar), date_lookup_quarter("file_quarter") == F.col("_cal_quarter"), "inner"
+        calendar, date_lookup_quarter("file_quarter") == F.col("_cal_quarter"), "inner"
     )
     first = dated.groupBy("file_quarter").agg(F.min("week_beginning").alias("quarter_date"))
     return (
@@ -47,6 +45,13 @@ def append_quarter(control: DataFrame, new_rows: DataFrame) -> DataFrame:
     return control.select(*QUARTERS.fieldNames()).unionByName(new_rows.select(*QUARTERS.fieldNames()))
 
 
+def check_single_quarter(reports: DataFrame) -> None:
+    """The error of the original's scalar subquery: more than one staged quarter."""
+    staged = reports.select("file_quarter").distinct().filter(F.col("file_quarter").isNotNull())
+    if staged.limit(2).count() > 1:
+        raise ValueError("more than one quarter staged; the loaded flag takes a single quarter")
+
+
 def mark_loaded(control: DataFrame, reports: DataFrame, strict: bool = False) -> DataFrame:
     """Set ``in_data = 'Yes'`` for the quarters present in the staged reports.
 
@@ -55,12 +60,12 @@ def mark_loaded(control: DataFrame, reports: DataFrame, strict: bool = False) ->
     the default flags every staged quarter, which is what a multi-quarter
     backfill needs.
     """
+    if strict:
+        check_single_quarter(reports)
     loaded = reports.select("file_quarter").distinct().filter(F.col("file_quarter").isNotNull())
-    if strict and loaded.limit(2).count() > 1:
-        raise ValueError("more than one quarter staged; the loaded flag takes a single quarter")
     hits = loaded.withColumn("_hit", F.lit(True))
     return (
-        control.join(small_side(hits), "file_quarter", "left")
+        control.join(hits, "file_quarter", "left")
         .withColumn("in_data", F.when(F.col("_hit"), F.lit(LOADED)).otherwise(F.col("in_data")))
         .select(*QUARTERS.fieldNames())
     )

@@ -4,21 +4,18 @@ Join plan (designed for one large table, the diary rows):
 
 * Person attributes are joined together first, on the person side:
   individuals x weights on (respid, quarter), then households on
-  (household id, quarter). Those tables grow with respondents, not with diary
-  rows.
+  (household id, quarter), all by shuffle, as they grow with respondents.
 * Diary rows of stations that have no staged report are dropped first by a
-  broadcast semi-join on the (bounded) list of reported stations.
+  semi-join on the staged reports' stations, a small table by its file sizes.
 * The diary rows are then shuffled **once**, on (respid, quarter), to meet the
-  person side. A respondent with more rows than one task should join is split
-  over several tasks by salting (:mod:`waveband.operators.skew`); only that
-  respondent's person rows are repeated. The station metadata (reports x segments x sample points) is a
-  dimension of bounded size and is broadcast after a row-count check, so the
-  metadata join adds no shuffle.
-* The result stays hash-partitioned on (respid, quarter, salt). The 25-column
-  ``distinct`` of the listening facts groups by keys that include all three
-  (the salt is a function of the diary columns), so it runs without another
-  exchange; the person-level aggregates that follow combine map-side before
-  their shuffle.
+  person side. Both children of that join are plain shuffle stages, so a
+  respondent with a large share of the rows is split by AQE's skew join, by
+  measured sizes. The build hands the person side and the station metadata over
+  as Parquet first, so the metadata join is planned by its real size: a broadcast,
+  or beyond the threshold a shuffle join that AQE can split.
+* Unless AQE has split a partition, the result stays hash-partitioned on
+  (respid, quarter), and the 25-column ``distinct`` of the listening facts groups
+  by keys that include both, so it runs without another exchange.
 
 The original statement is a chain of LEFT joins followed by
 ``weight IS NOT NULL``; that filter rejects every row in which the individual,
@@ -32,8 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waveband.functions.expressions import broadcast_day_end, household_id
-from waveband.operators.joins import small_side
-from waveband.operators.skew import SALT, salted_join
 from waveband.schemas import FACT_COLUMNS, LISTENING, METADATA_COLUMNS, SESSION_COLUMNS
 
 PERSON_COLUMNS = ["sample_point", "age_15plus", "age", "sex"]
@@ -44,7 +39,7 @@ def report_segments(reports: DataFrame, tsa: DataFrame) -> DataFrame:
     r = reports.select("file_quarter", "report_id")
     t = tsa.select("file_quarter", "report_id", "segment")
     return (
-        r.join(small_side(t), ["report_id", "file_quarter"], "inner")
+        r.join(t, ["report_id", "file_quarter"], "inner")
         .select("file_quarter", "report_id", "segment")
         .distinct()
     )
@@ -59,8 +54,8 @@ def station_metadata(reports: DataFrame, segments: DataFrame, postal: DataFrame)
     seg = segments.select("file_quarter", "report_id", "segment")
     pts = postal.select("file_quarter", "segment", "sample_point")
     return (
-        reports.join(small_side(seg), ["report_id", "file_quarter"], "left")
-        .join(small_side(pts), ["segment", "file_quarter"], "left")
+        reports.join(seg, ["report_id", "file_quarter"], "left")
+        .join(pts, ["segment", "file_quarter"], "left")
         .select(*METADATA_COLUMNS)
         .distinct()
     )
@@ -82,43 +77,36 @@ def person_attributes(individuals: DataFrame, weights: DataFrame, households: Da
     return (
         people.join(w, ["respid", "file_quarter"], "inner")
         .withColumn("hhid", household_id("respid"))
-        .join(small_side(hh), ["hhid", "file_quarter"], "left")
+        .join(hh, ["hhid", "file_quarter"], "left")
         .drop("hhid")
     )
 
 
-def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Diary rows x person attributes x station metadata, 25 columns + ``_salt``, duplicates kept.
+def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame, reports: DataFrame) -> DataFrame:
+    """Diary rows x person attributes x station metadata, 25 columns, duplicates kept.
 
     ``people`` is :func:`person_attributes`. Join keys: (respid, quarter) to the
     person side, then (station, sample point, quarter, reporting period) to the
     metadata.
     """
-    meta = small_side(metadata.select(
+    meta = metadata.select(
         "file_quarter", "station_code", "sample_point", "reporting_period",
         "report_id", "report_name", "segment", "bbc_or_commercial", "platform_name",
-    ))
-    # Diary rows of stations without a staged report can never match the
-    # metadata; drop them before the shuffle (exact, and the key list is
-    # bounded by the report list).
-    reported = meta.select("station_code", "file_quarter").distinct()
-    diary = listening.select(*LISTENING.fieldNames()).join(
-        small_side(reported), ["station_code", "file_quarter"], "left_semi"
     )
+    # Diary rows of stations without a staged report can never match the
+    # metadata, which has the stations of the reports; drop them before the shuffle.
+    reported = reports.select("station_code", "file_quarter").distinct()
+    diary = listening.select(*LISTENING.fieldNames()).join(reported, ["station_code", "file_quarter"], "left_semi")
     return (
-        salted_join(diary, people, ["respid", "file_quarter"], "inner")
+        diary.join(people, ["respid", "file_quarter"], "inner")
         .join(meta, ["station_code", "sample_point", "file_quarter", "reporting_period"], "inner")
-        .select(*FACT_COLUMNS, SALT)
+        .select(*FACT_COLUMNS)
     )
 
 
 def listening_facts(base: DataFrame) -> DataFrame:
-    """The first summary: distinct enriched diary rows (all 25 columns, row_id included).
-
-    ``_salt`` is a function of the diary columns, so keeping it in the distinct
-    changes nothing but lets the distinct run inside the join's partitioning.
-    """
-    return base.select(*FACT_COLUMNS, SALT).distinct().drop(SALT)
+    """The first summary: distinct enriched diary rows (all 25 columns, row_id included)."""
+    return base.select(*FACT_COLUMNS).distinct()
 
 
 def counted_facts(base: DataFrame) -> DataFrame:
@@ -130,7 +118,7 @@ def counted_facts(base: DataFrame) -> DataFrame:
     columns, which include (respid, quarter), so it runs inside the join's
     partitioning.
     """
-    return base.groupBy(*FACT_COLUMNS, SALT).agg(F.count(F.lit(1)).alias("copies")).drop(SALT)
+    return base.groupBy(*FACT_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def expand_copies(counted: DataFrame) -> DataFrame:
@@ -159,9 +147,9 @@ def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame) -> Data
     rows = base.select(*[broadcast_day_end("hhmm_end").alias(c) if c == "hhmm_end" else F.col(c) for c in FACT_COLUMNS])
     return (
         rows
-        .join(small_side(st), "hhmm_start", "left")
-        .join(small_side(en), "hhmm_end", "left")
-        .join(small_side(qd), "file_quarter", "inner")
+        .join(st, "hhmm_start", "left")
+        .join(en, "hhmm_end", "left")
+        .join(qd, "file_quarter", "inner")
         .withColumn("optional_start_id", F.when(same_day, F.col("_st_slot_id")).otherwise(F.col("_st_clock_id")))
         .withColumn("optional_end_id", F.when(same_day, F.col("_en_slot_id")).otherwise(F.col("_en_clock_id")))
         .select(*SESSION_COLUMNS)

@@ -12,10 +12,11 @@ The original writes every cut and age band as its own UNION ALL branch (12
 branches re-reading the person-level CTE). Here one pass over the facts emits
 both person-level kinds (:func:`person_rows_all`), one generator turns each
 person row into its (band, cut) rows and **one** aggregate computes all of them
-(:func:`single_pass_summary`). The exact distinct count is planned by Spark as
-a partial aggregate on (group keys, respid) and a final one on the group keys;
-both combine map-side before their shuffle, so a hot group (a big station,
-"All Adults") never reaches one task unreduced.
+(:func:`single_pass_summary`). The facts are shuffled once, on :data:`CLUSTER`:
+these columns are part of the person keys and of (group keys, respid), so the
+person aggregate and the distinct step both run inside that partitioning and the
+exploded rows are never shuffled; only rows reduced by group are, at the end. A
+respondent's or a station's rows are spread by the other columns of the cluster.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from waveband.functions.expressions import (
     social_grade,
 )
 from waveband.functions.measures import reach_aggregates, reach_measures
-from waveband.operators.joins import small_side
+from waveband.operators.writes import replace_partitions
 from waveband.schemas import POPULATION_COLUMNS, SUMMARY_1_COLUMNS, SUMMARY_2_COLUMNS
 
 # ---- fixed values (must equal the published survey outputs) -------------------
@@ -72,6 +73,8 @@ SLOT_PERSON_KEYS = [
     "file_quarter", "report_name", "bbc_or_commercial", "reporting_period", "respid", "dayofweek",
     "hhmm_start", "hhmm_end", "weight", "age", "quarter_date",
 ]
+# what the facts are clustered by: common to the person keys and to (group keys, respid)
+CLUSTER = ["file_quarter", "report_name", "reporting_period", "bbc_or_commercial", "respid", "quarter_date"]
 GROUP_KEYS = [
     "file_quarter", "demographic_type", "demographic", "age_break", "report_name",
     "reporting_period", "bbc_or_commercial", "quarter_date",
@@ -79,9 +82,9 @@ GROUP_KEYS = [
 
 
 def with_quarter_date(facts: DataFrame, control: DataFrame) -> DataFrame:
-    """Attach the quarter's first week from the control table (inner join, broadcast)."""
+    """Attach the quarter's first week from the control table (inner join)."""
     qd = control.select("file_quarter", "quarter_date")
-    return facts.join(small_side(qd), "file_quarter", "inner")
+    return facts.join(qd, "file_quarter", "inner")
 
 
 def _minutes() -> Column:
@@ -202,6 +205,8 @@ def person_rows_all(facts: DataFrame, control: DataFrame) -> DataFrame:
     ))
     common = ["file_quarter", "report_name", "reporting_period", "bbc_or_commercial", "age", "respid",
               "weight", "quarter_date", "mins"]
+    used = [*common, "sex", "bbc_regions", "household_social_grade", "platform_name"]
+    base = base.select(*used).repartition(*CLUSTER)
     rows = base.select(*common, F.explode(F.array(person, own, pooled)).alias("_k")).filter(F.col("_k").isNotNull())
     rows = rows.select(*common, "_k.*")
     return rows.groupBy(*ALL_PERSON_KEYS).agg(_minutes())
@@ -229,7 +234,20 @@ def slot_summary(person_slot: DataFrame, relabel: bool = True) -> DataFrame:
 
 def relabel_stations(df: DataFrame, column: str = "station") -> DataFrame:
     """Rename stations in an already aggregated table (applied after aggregation)."""
-    return df.withColumn(column, relabel_station(column))
+    return df.withColumn(column, relabel_station(column).alias(column)).select(*df.columns)
+
+
+def old_names(df: DataFrame, column: str = "station") -> DataFrame:
+    """The rows whose station still has an old name."""
+    return df.where(relabel_station(column) != F.col(column))
+
+
+def relabel_history(stored: DataFrame, new: DataFrame, touched: DataFrame, key: str = "quarter") -> DataFrame:
+    """The whole summary table after a load: the touched quarters are replaced, then every row is relabelled.
+
+    The original renames the stations of the whole table, so earlier quarters get the new names too.
+    """
+    return relabel_stations(replace_partitions(stored, new, key, touched))
 
 
 def population_summary(weights: DataFrame, individuals: DataFrame, control: DataFrame) -> DataFrame:
@@ -242,7 +260,7 @@ def population_summary(weights: DataFrame, individuals: DataFrame, control: Data
     w = weights.select("file_quarter", "respid", "reporting_period", "weight")
     i = individuals.select("file_quarter", "respid", "age")
     qd = control.select("file_quarter", "quarter_date")
-    joined = w.join(i, ["respid", "file_quarter"], "inner").join(small_side(qd), "file_quarter", "inner")
+    joined = w.join(i, ["respid", "file_quarter"], "inner").join(qd, "file_quarter", "inner")
     grouped = joined.groupBy("file_quarter", "reporting_period", "age", "quarter_date").agg(
         F.countDistinct("respid").alias("sample_size"),
         (F.sum("weight") * F.lit(1000)).alias("weight_total"),

@@ -6,14 +6,13 @@ inserts the new rows. Two forms are provided:
 * :func:`replace_partitions` / :func:`publish` - the resulting table as a
   DataFrame (anti-join on the touched keys plus union). Exact, including NULL
   keys: a NULL quarter never matches ``IN``, so NULL-keyed target rows survive.
-* :func:`write_replacing` - the same on storage, for a Parquet table
-  partitioned by the key: the new rows are written to a staging folder, then
-  the touched partitions are removed and the staged files moved in. Work is proportional to the touched
-  quarters, not to the table's history. The touched list is a bounded
-  per-run snapshot (one entry per quarter).
-
-Plain Parquet tables have no DELETE; where a table format with
-``replaceWhere``/MERGE is available it can stand behind the same function.
+* :func:`write_replacing` - the same on storage. Files are never changed: each
+  write puts its rows in a folder of its own (``data/run=…/<key>=…``), and then
+  adds one small version of the table's index (``current/version=n``), which says
+  for each quarter which run holds it. The index version is one file that appears
+  when its job commits, so a reader sees the table before or after, never between,
+  and a write that fails before leaves the table as it was. Work is in proportion
+  to the touched quarters, not to the table's history.
 """
 
 from __future__ import annotations
@@ -24,9 +23,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from waveband.operators.joins import small_side
+from waveband.sources.stored import read_if_there
 
+INDEX = T.StructType([
+    T.StructField("value", T.StringType()), T.StructField("run", T.StringType()), T.StructField("version", T.IntegerType()),
+])
 # characters Spark escapes in partition directory names
 _UNSAFE = re.compile(r"[\"#%'*/:=?\\\x00-\x1f\x7f{}\[\]^]")
 
@@ -34,7 +37,7 @@ _UNSAFE = re.compile(r"[\"#%'*/:=?\\\x00-\x1f\x7f{}\[\]^]")
 def replace_partitions(target: DataFrame, new: DataFrame, key: str, touched: DataFrame) -> DataFrame:
     """``target`` minus rows whose ``key`` is in ``touched``, plus all ``new`` rows."""
     keys = touched.select(F.col(key)).distinct()
-    survivors = target.join(small_side(keys), key, "left_anti")
+    survivors = target.join(keys, key, "left_anti")
     return survivors.unionByName(new.select(*target.columns))
 
 
@@ -46,77 +49,52 @@ def publish(src: DataFrame, dst: DataFrame, key: str) -> DataFrame:
     return replace_partitions(dst, src, key, src)
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[str]) -> list[str]:
-    """Delete the ``key=value`` partition folders of a partitioned Parquet table."""
-    fs, root = _jvm_fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    dropped = []
-    if not fs.exists(root):
-        return dropped
-    for value in sorted({v for v in values if v is not None}):
-        if _UNSAFE.search(value):
-            raise ValueError(f"partition value needs escaping: {value!r}")
-        part = jvm.org.apache.hadoop.fs.Path(root, f"{key}={value}")
-        if fs.exists(part):
-            fs.delete(part, True)
-            dropped.append(value)
-    return dropped
-
-
-def _move_partitions(spark: SparkSession, staging: str, path: str) -> list[str]:
-    """Move every ``key=value`` folder's files from ``staging`` into ``path``."""
-    fs, stage_root = _jvm_fs(spark, staging)
-    jvm = spark.sparkContext._jvm
-    moved = []
-    for part in fs.listStatus(stage_root):
-        name = part.getPath().getName()
-        if not part.isDirectory() or name.startswith(("_", ".")):
-            continue
-        target = jvm.org.apache.hadoop.fs.Path(path, name)
-        fs.mkdirs(target)
-        for f in fs.listStatus(part.getPath()):
-            fname = f.getPath().getName()
-            if fname.startswith(("_", ".")):
-                continue
-            if not fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(target, fname)):
-                raise OSError(f"could not move {f.getPath()} to {target}")
-        moved.append(name)
-    fs.delete(stage_root, True)
-    return moved
+def _index(spark: SparkSession, path: str) -> tuple[int, list[tuple[str, str]]]:
+    """The table's version (0: no table) and, for each quarter, the run that holds it."""
+    stored = read_if_there(spark, INDEX, f"{path}/current")
+    version = None if stored is None else stored.agg(F.max("version")).collect()[0][0]
+    if version is None:
+        return 0, []
+    rows = stored.where(F.col("version") == version).where("run IS NOT NULL").collect()
+    return version, sorted((r["value"], r["run"]) for r in rows)
+
+
+def _add_version(spark: SparkSession, path: str, version: int, entries: list[tuple[str, str]]) -> None:
+    """Switch to a new index version; it is an error if another writer has added that version."""
+    rows = [(value, run) for value, run in entries] or [(None, None)]
+    index = spark.createDataFrame(rows, "value string, run string")
+    index.coalesce(1).write.mode("errorifexists").parquet(f"{path}/current/version={version}")
 
 
 def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, touched: Iterable[str],
-                    columns: list[str], files_per_key: int | None = None) -> None:
+                    schema: T.StructType) -> None:
     """Replace the touched quarters of the table at ``path`` with ``new``.
 
-    The new rows are computed and written first, to a hidden staging folder
-    inside the table (``_staging-…``, ignored by readers); only then are the
-    touched partitions dropped and the staged files moved in. A job that fails
-    while computing leaves the table as it was; the remaining window is the
-    file moves, and a rerun repairs it.
-
     ``new`` must hold only touched, non-NULL keys (the build scopes every table
-    with ``IN``, which never yields a NULL quarter). The partition column is
-    written last by Spark; readers re-select ``columns`` for the published
-    order (see :func:`read_table`). ``files_per_key`` bounds the files per
-    quarter for small outputs (rows spread by a deterministic hash); leave it
-    ``None`` for large outputs, which keep one file per task and quarter.
+    with ``IN``, which never yields a NULL quarter). Rows are rebalanced by the
+    key, so that files have the advisory partition size: large quarters are split,
+    small ones share a task.
     """
-    out = new.select(*columns)
-    if files_per_key:
-        out = out.repartition(key, F.pmod(F.xxhash64(*columns), F.lit(files_per_key)))
-    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    out.write.mode("overwrite").partitionBy(key).parquet(staging)
-    drop_partitions(spark, path, key, touched)
-    _move_partitions(spark, staging, path)
-
-
-def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Read a table written by :func:`write_replacing` in its published column order."""
-    return spark.read.parquet(path).select(*columns)
+    path, run = path.rstrip("/"), uuid.uuid4().hex
+    data = f"{path}/data/run={run}"
+    version, entries = _index(spark, path)
+    new.select(*schema.fieldNames()).hint("rebalance", key).write.partitionBy(key).parquet(data)
+    written = spark.read.schema(schema).parquet(data).select(key).distinct().collect()
+    values = sorted(r[0] for r in written)
+    for value in values:
+        if value is None or _UNSAFE.search(value):
+            raise ValueError(f"a quarter that can't name a folder: {value!r}")
+    gone = {v for v in touched if v is not None} | set(values)
+    kept = [(value, of) for value, of in entries if value not in gone]
+    _add_version(spark, path, version + 1, sorted(kept + [(value, run) for value in values]))
+
+
+def read_table(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
+    """A table written by :func:`write_replacing` in its published column order; empty if there is none."""
+    path = path.rstrip("/")
+    _, entries = _index(spark, path)
+    if not entries:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/run={run}/{key}={value}" for value, run in entries]
+    stored = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders)
+    return stored.select(*schema.fieldNames())

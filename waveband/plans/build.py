@@ -6,17 +6,18 @@ gives the same end state):
 1. register the next quarter that has weights (one row, appended to the
    control table snapshot);
 2. snapshot the pending quarters once; every stage is scoped by that list;
-3. enrich the diary rows once, reduce them to distinct rows with a repeat
-   count in the same stage (the grouping keys contain the join key, so no
-   extra shuffle), and **checkpoint** that to the folder named by
-   ``spark.checkpoint.dir`` (shared storage on a cluster). This cuts the
-   lineage behind the one large shuffle, so a lost executor re-reads the
-   checkpoint instead of re-running the join;
-4. the listening facts are the checkpoint without the count and feed the
-   three summaries (each pre-aggregates map-side before its shuffle); the
-   sessions re-expand the count, so repeated diary rows stay repeated;
-5. write the four outputs, replacing the touched quarters;
-6. flip the control flag **last** (the original flips it before loading; doing
+3. hand over the person side, the station metadata and the enriched diary rows
+   (reduced to distinct rows with a repeat count in the same stage) as Parquet
+   in the folder named by ``spark.checkpoint.dir`` (shared storage on a cluster).
+   This cuts the lineage behind the large shuffle, and each later step reads only
+   its own columns;
+4. the listening facts are the stored rows without the count and feed the
+   three summaries; the sessions re-expand the count, so repeated diary rows stay
+   repeated;
+5. check the strict rule (one staged quarter) before anything is written;
+6. write the four outputs, replacing the touched quarters; earlier quarters of the
+   two summaries in which a station still has an old name are rewritten with them;
+7. flip the control flag **last** (the original flips it before loading; doing
    it last means a failed run leaves the quarter pending, not "loaded but
    empty").
 """
@@ -28,6 +29,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waveband.operators import (
     append_quarter,
@@ -35,30 +37,26 @@ from waveband.operators import (
     mark_loaded,
     read_table,
     register_next_quarter,
+    relabel_stations,
     write_replacing,
 )
-from waveband.operators.joins import release_small_sides
-from waveband.operators.scope import MAX_QUARTERS
+from waveband.operators.control import check_single_quarter
+from waveband.operators.summaries import old_names
 from waveband.plans.stages import Run
-from waveband.schemas import (
-    POPULATION_COLUMNS,
-    QUARTERS,
-    SESSION_COLUMNS,
-    SUMMARY_1_COLUMNS,
-    SUMMARY_2_COLUMNS,
-)
+from waveband.schemas import POPULATION, QUARTERS, SESSIONS, SUMMARY_1, SUMMARY_2
 from waveband.session import ensure_checkpoint_dir
+from waveband.sources.stored import handed_over, read_if_there
 from waveband.sources.tables import SurveyTables
 
-# files per quarter of the small outputs (None: one per task, for the large one)
-FILES_PER_QUARTER = {"summary_table_1": 1, "summary_table_2": 1, "second_summary": None, "population": 1}
-# output table -> (partition key, published column order)
+# output table -> (partition key, columns in published order)
 OUTPUTS = {
-    "summary_table_1": ("quarter", SUMMARY_1_COLUMNS),
-    "summary_table_2": ("quarter", SUMMARY_2_COLUMNS),
-    "second_summary": ("file_quarter", SESSION_COLUMNS),
-    "population": ("file_quarter", POPULATION_COLUMNS),
+    "summary_table_1": ("quarter", SUMMARY_1),
+    "summary_table_2": ("quarter", SUMMARY_2),
+    "second_summary": ("file_quarter", SESSIONS),
+    "population": ("file_quarter", POPULATION),
 }
+# the outputs whose stations are renamed, over the whole table
+RELABELLED = ("summary_table_1", "summary_table_2")
 # tables copied to the reporting area on release day
 PUBLISHED = ["summary_table_1", "summary_table_2", "population"]
 
@@ -86,40 +84,33 @@ def _step(spark: SparkSession, description: str):
 
 
 def _distinct_keys(df: DataFrame, column: str) -> list[str]:
-    rows = df.select(column).distinct().limit(MAX_QUARTERS + 1).collect()
-    if len(rows) > MAX_QUARTERS:
-        raise ValueError(f"more than {MAX_QUARTERS} distinct {column} values")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
-# ---- control table storage: append-only versions -------------------------------
+# ---- control table storage: versions that are only ever added ------------------
 
-def read_control(spark: SparkSession, path: str) -> DataFrame | None:
-    """Latest version of the control table stored at ``path`` (None if there is none)."""
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:  # no table yet
-        return None
-    latest = stored.agg(F.max(F.col("version").cast("int"))).collect()[0][0]
-    return stored.filter(F.col("version").cast("int") == latest).select(*QUARTERS.fieldNames())
+_VERSIONED = T.StructType([*QUARTERS.fields, T.StructField("version", T.IntegerType())])
 
 
 def control_version(spark: SparkSession, path: str) -> int:
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:
-        return 0
-    return stored.agg(F.max(F.col("version").cast("int"))).collect()[0][0] or 0
+    """The latest version of the control table at ``path``, 0 if there is none; a damaged table is an error."""
+    stored = read_if_there(spark, _VERSIONED, path)
+    return 0 if stored is None else stored.agg(F.max("version")).collect()[0][0] or 0
+
+
+def read_control(spark: SparkSession, path: str) -> DataFrame | None:
+    """Latest version of the control table stored at ``path`` (None if there is none)."""
+    version = control_version(spark, path)
+    if not version:
+        return None
+    stored = spark.read.schema(_VERSIONED).parquet(path)
+    return stored.filter(F.col("version") == version).select(*QUARTERS.fieldNames())
 
 
 def write_control(spark: SparkSession, control: DataFrame, path: str) -> int:
-    """Append the control table as a new version; readers see it once the write commits."""
-    rows = control.select(*QUARTERS.fieldNames()).limit(MAX_QUARTERS + 1).collect()
-    if len(rows) > MAX_QUARTERS:
-        raise ValueError("control table larger than its bound")
+    """Add the control table as a new version, which must not exist; readers see it once the write commits."""
     version = control_version(spark, path) + 1
-    snapshot = spark.createDataFrame(rows, QUARTERS).withColumn("version", F.lit(version))
-    snapshot.coalesce(1).write.mode("append").partitionBy("version").parquet(path)
+    control.select(*QUARTERS.fieldNames()).coalesce(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
     return version
 
 
@@ -132,14 +123,6 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
     ``tables.quarters`` is the control table as it is now; the updated one is
     written as a new version to ``control_path`` (default ``out_root/quarters``).
     """
-    try:
-        return _build(spark, tables, out_root, mode, register, strict, control_path)
-    finally:
-        release_small_sides()
-
-
-def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str, register: bool,
-           strict: bool, control_path: str | None) -> BuildResult:
     ensure_checkpoint_dir(spark)
     control_path = control_path or f"{out_root}/quarters"
     control = tables.quarters.select(*QUARTERS.fieldNames())
@@ -147,53 +130,68 @@ def _build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str,
     registered: list[str] = []
     if register:
         with _step(spark, "register"):
-            new_rows = register_next_quarter(tables.weights, tables.date_lookup, control).collect()
+            new_rows = register_next_quarter(tables.weights, tables.date_lookup, control).collect()  # one at most
             if new_rows:
                 registered = [r["file_quarter"] for r in new_rows]
                 control = append_quarter(control, spark.createDataFrame(new_rows, QUARTERS))
 
-    # Snapshot the control table once (bounded: one row per quarter). Every
-    # later step sees this state, whatever happens to the stored table.
+    # The control table is read once; every later step sees this state, whatever
+    # happens to the stored table.
     with _step(spark, "snapshot control"):
-        control_rows = control.coalesce(1).limit(MAX_QUARTERS + 1).collect()
-    if len(control_rows) > MAX_QUARTERS:
-        raise ValueError("control table larger than its bound")
-    control = spark.createDataFrame(control_rows, QUARTERS)
-    pending = sorted({r["file_quarter"] for r in control_rows
-                      if r["in_data"] == "No" and r["file_quarter"] is not None})
+        control = handed_over(control, "control")
+        pending = _distinct_keys(control.where("in_data = 'No'"), "file_quarter")
     run = Run(tables.replace(quarters=control), pending, mode)
     if mode == "pending" and not pending:
         # nothing registered and not loaded: the outputs stay as they are
         version = write_control(spark, control, control_path)
         return BuildResult(registered, pending, [], [], version, {})
+    if strict:
+        with _step(spark, "strict check"):
+            check_single_quarter(run.reports)
 
-    with _step(spark, "enrich and checkpoint facts"):
-        counted = counted_facts(run.base).checkpoint(eager=True)
-    run = Run(run.tables, pending, mode, counted_override=counted)
+    with _step(spark, "hand over people and stations"):
+        people, metadata = handed_over(run.people, "people"), handed_over(run.metadata, "metadata")
+    run = Run(run.tables, pending, mode, metadata_override=metadata, people_override=people)
+    with _step(spark, "enrich and hand over facts"):
+        counted = handed_over(counted_facts(run.base), "facts", "file_quarter")
+    run = Run(run.tables, pending, mode, metadata_override=metadata, people_override=people, counted_override=counted)
 
     with _step(spark, "touched quarters"):
-        summary_quarters = _distinct_keys(run.facts, "file_quarter")
+        summary_quarters = _distinct_keys(counted, "file_quarter")
         report_quarters = _distinct_keys(run.reports, "file_quarter")
-    with _step(spark, "plan outputs"):
-        results = {
-            "summary_table_1": (run.demographic_summary(), summary_quarters),
-            "summary_table_2": (run.slot_summary(), summary_quarters),
-            "second_summary": (run.sessions, report_quarters),
-            "population": (run.population, report_quarters),
-        }
+    results = {
+        "summary_table_1": (run.demographic_summary(), summary_quarters),
+        "summary_table_2": (run.slot_summary(), summary_quarters),
+        "second_summary": (run.sessions, report_quarters),
+        "population": (run.population, report_quarters),
+    }
     outputs = {}
     for name, (df, touched) in results.items():
-        key, columns = OUTPUTS[name]
+        key, schema = OUTPUTS[name]
         path = f"{out_root}/{name}"
         with _step(spark, f"write {name}"):
-            write_replacing(spark, df, path, key, touched, columns, FILES_PER_QUARTER[name])
+            if name in RELABELLED:
+                df, touched = _with_relabelled_history(spark, df, path, key, schema, touched)
+            write_replacing(spark, df, path, key, touched, schema)
         outputs[name] = path
 
     with _step(spark, "mark loaded"):
-        version = write_control(spark, mark_loaded(control, run.reports, strict), control_path)
+        version = write_control(spark, mark_loaded(control, run.reports), control_path)
     return BuildResult(registered, pending, summary_quarters, report_quarters, version, outputs)
 
 
+def _with_relabelled_history(spark: SparkSession, new: DataFrame, path: str, key: str, schema: T.StructType,
+                             touched: list[str]) -> tuple[DataFrame, list[str]]:
+    """The new rows and those of untouched quarters that hold an old station name, renamed; all quarters to replace."""
+    history = read_table(spark, path, key, schema)
+    history = history.where(~F.col(key).isin(touched)) if touched else history
+    stale = _distinct_keys(old_names(history), key)
+    if not stale:
+        return new, touched
+    renamed = relabel_stations(history.where(F.col(key).isin(stale)))
+    return new.select(*schema.fieldNames()).unionByName(renamed), [*touched, *stale]
+
+
 def publish_outputs(spark: SparkSession, src_root: str, dst_root: str,
                     tables: list[str] | None = None) -> dict[str, list[str]]:
     """Release day: copy every row of the built tables to the reporting area.
@@ -203,9 +201,9 @@ def publish_outputs(spark: SparkSession, src_root: str, dst_root: str,
     """
     copied = {}
     for name in tables or PUBLISHED:
-        key, columns = OUTPUTS[name]
-        src = read_table(spark, f"{src_root}/{name}", columns)
+        key, schema = OUTPUTS[name]
+        src = read_table(spark, f"{src_root}/{name}", key, schema)
         touched = _distinct_keys(src, key)
-        write_replacing(spark, src, f"{dst_root}/{name}", key, touched, columns, FILES_PER_QUARTER[name])
+        write_replacing(spark, src, f"{dst_root}/{name}", key, touched, schema)
         copied[name] = touched
     return copied

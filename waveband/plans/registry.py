@@ -1,12 +1,15 @@
 """One DataFrame per operator, over the survey fixture derived from a test-data folder.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame. All of them
-read the whole derived tables; the run's scope is the control table's pending
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Apart from the list of
+pending quarters, which is read first, they are lazy; ``publish_stored`` and
+``build_not_pending`` run a job that stores tables, and return what it stored. All of
+them read the whole derived tables; the run's scope is the control table's pending
 quarters (14 of 27 fixture quarters), as in a production run.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +19,19 @@ from waveband.operators import (
     mark_loaded,
     pending_quarters,
     publish,
+    read_table,
     register_next_quarter,
     registered_quarters,
+    relabel_history,
     replace_partitions,
     scope_quarters,
+    write_replacing,
 )
+from waveband.plans.build import build, publish_outputs
 from waveband.plans.stages import Run
-from waveband.sources.fixture import survey_fixture
+from waveband.schemas import SUMMARY_1, SUMMARY_2
+from waveband.session import ensure_checkpoint_dir
+from waveband.sources.fixture import SILENT_QUARTER, survey_fixture
 from waveband.sources.tables import SurveyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +87,56 @@ def q_publish_slot_summary(spark, sf_dir):
 
 def q_publish_population(spark, sf_dir):
     run = fixture_run(spark, sf_dir)
-    reporting = _stale_run(run).population.filter(F.col("reporting_period") != "Y")
-    return publish(run.population, reporting, "file_quarter")
+    return publish(run.population, _stale_run(run).population, "file_quarter")
+
+
+def q_relabel_history(spark, sf_dir):
+    run = fixture_run(spark, sf_dir)
+    stored = _stale_run(run).demographic_summary(relabel=False)
+    return relabel_history(stored, run.demographic_summary(), run.facts.select(F.col("file_quarter").alias("quarter")))
+
+
+def q_relabel_slot_history(spark, sf_dir):
+    run = fixture_run(spark, sf_dir)
+    stored = _stale_run(run).slot_summary(relabel=False)
+    return relabel_history(stored, run.slot_summary(), run.facts.select(F.col("file_quarter").alias("quarter")))
+
+
+def _left_over(stale: DataFrame) -> DataFrame:
+    """An earlier load's rows, also for the quarter that now has reports but no diary rows."""
+    silent = stale.where("file_quarter = '1999q1'").withColumn("file_quarter", F.lit(SILENT_QUARTER))
+    return stale.unionByName(silent)
+
+
+def q_replace_sessions(spark, sf_dir):
+    run = fixture_run(spark, sf_dir)
+    return replace_partitions(_left_over(_stale_run(run).sessions), run.sessions, "file_quarter", run.reports)
+
+
+def q_replace_population(spark, sf_dir):
+    run = fixture_run(spark, sf_dir)
+    return replace_partitions(_left_over(_stale_run(run).population), run.population, "file_quarter", run.reports)
+
+
+def _root(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_publish_stored(spark, sf_dir):
+    """Stored tables: an earlier load in the reporting area, then the new build's table read back and published."""
+    run, name = fixture_run(spark, sf_dir), "summary_table_2"
+    src, dst = _root(spark, "built"), _root(spark, "reporting")
+    for root, df in ((src, run.slot_summary()), (dst, _stale_run(run).slot_summary(relabel=False))):
+        write_replacing(spark, df, f"{root}/{name}", "quarter", [], SUMMARY_2)
+    publish_outputs(spark, src, dst, [name])
+    return read_table(spark, f"{dst}/{name}", "quarter", SUMMARY_2)
+
+
+def q_build_not_pending(spark, sf_dir):
+    """The build job over every quarter that isn't pending; its stored summary."""
+    root = _root(spark, "backfill")
+    build(spark, _tables(spark, sf_dir), root, mode="not_pending", register=False)
+    return read_table(spark, f"{root}/summary_table_1", "quarter", SUMMARY_1)
 
 
 def _run_query(fn: Callable[[Run], DataFrame]) -> Query:
@@ -118,6 +175,12 @@ QUERIES: dict[str, Query] = {
     "population_summary": _run_query(lambda r: r.population),
     "mark_loaded": _run_query(lambda r: mark_loaded(r.tables.quarters, r.reports)),
     "replace_partitions": q_replace_partitions,
+    "relabel_history": q_relabel_history,
+    "relabel_slot_history": q_relabel_slot_history,
+    "replace_sessions": q_replace_sessions,
+    "replace_population": q_replace_population,
+    "publish_stored": q_publish_stored,
+    "build_not_pending": q_build_not_pending,
     "publish_summary": q_publish_summary,
     "publish_slot_summary": q_publish_slot_summary,
     "publish_population": q_publish_population,

@@ -53,8 +53,9 @@ class Run:
     tables: SurveyTables
     quarters: list[str]
     mode: str = "pending"
-    facts_override: DataFrame | None = field(default=None, repr=False)
-    base_override: DataFrame | None = field(default=None, repr=False)
+    # handed over by the build as stored tables
+    metadata_override: DataFrame | None = field(default=None, repr=False)
+    people_override: DataFrame | None = field(default=None, repr=False)
     counted_override: DataFrame | None = field(default=None, repr=False)
 
     # ---- staging -------------------------------------------------------------
@@ -102,6 +103,8 @@ class Run:
 
     @cached_property
     def metadata(self) -> DataFrame:
+        if self.metadata_override is not None:
+            return self.metadata_override
         return station_metadata(self.reports, self.report_segments, self.postal)
 
     @cached_property
@@ -110,18 +113,16 @@ class Run:
 
     @cached_property
     def people(self) -> DataFrame:
+        if self.people_override is not None:
+            return self.people_override
         return person_attributes(self.individuals, self.weights, self.households)
 
     @cached_property
     def base(self) -> DataFrame:
-        if self.base_override is not None:
-            return self.base_override
-        return diary_base(self.listening, self.people, self.metadata)
+        return diary_base(self.listening, self.people, self.metadata, self.reports)
 
     @cached_property
     def facts(self) -> DataFrame:
-        if self.facts_override is not None:
-            return self.facts_override
         if self.counted_override is not None:
             return self.counted_override.drop("copies")
         return listening_facts(self.base)

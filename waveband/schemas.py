@@ -3,7 +3,8 @@
 The source tables have no published DDL; the types below follow how each column
 is used (compared with integers, concatenated, summed, joined). Outputs are
 written positionally by the original load, so their column order is part of the
-contract and every writer selects these lists before writing.
+contract and every writer selects these lists before writing. The lists of columns
+are fixed values.
 """
 
 from __future__ import annotations
@@ -101,3 +102,22 @@ POPULATION_COLUMNS = [
     "file_quarter", "reporting_period", "age", "quarter_date", "sample_size", "weight_total",
     "weight_a15",
 ]
+
+# ---- output schemas, for reading stored outputs (also empty ones) ---------------
+
+_MEASURES = [(name, D) for name in MEASURE_COLUMNS]
+SUMMARY_1 = _struct(
+    ("quarter", S), ("demographic_type", S), ("demographic", S), ("age_break", S), ("station", S), ("reporting_period", S),
+    ("bbc_or_commercial", S), ("quarter_date", DT), ("respondents", L), *_MEASURES,
+)
+SUMMARY_2 = _struct(
+    ("quarter", S), ("bbc_or_commercial", S), ("reporting_period", S), ("station", S), ("dayofweek", I), ("slot", S),
+    ("age_break", S), ("quarter_date", DT), *_MEASURES,
+)
+POPULATION = _struct(
+    ("file_quarter", S), ("reporting_period", S), ("age", I), ("quarter_date", DT), ("sample_size", L), ("weight_total", D), ("weight_a15", D),
+)
+_TYPES = {f.name: f.dataType for table in (REPLIST, LISTENING, INDIVIDUALS, POSTAL_SECTOR, WEIGHTS, HOUSEHOLDS) for f in table}
+SESSIONS = _struct(
+    *((name, _TYPES.get(name, S)) for name in FACT_COLUMNS), ("optional_start_id", I), ("optional_end_id", I), ("quarter_date", DT),
+)

@@ -7,10 +7,9 @@ The job relies on three engine features rather than hand-written scheduling:
   a large share of the diary rows). ``forceOptimizeSkewedJoin`` lets AQE split a
   hot partition even when the plan downstream relied on the join's
   partitioning; it then adds the shuffle that is needed.
-* Static broadcast by size *estimate* is switched off. Estimates for derived
-  tables can be far too small at scale. Broadcasts happen either where the code
-  has checked the row count (:func:`waveband.operators.joins.small_side`) or
-  where AQE has measured the real shuffle size at run time.
+* Broadcasts are bounded by bytes: up front by file sizes (Spark multiplies the
+  sizes of a join's sides, so a joined table counts as large), and at run time,
+  by AQE, by the measured size of a shuffle.
 * The session time zone is pinned to UTC so date functions do not depend on
   the machine.
 """
@@ -30,7 +29,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128MB",
@@ -73,12 +72,8 @@ def get_session(
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of :data:`DEFAULT_CONF` to an existing session."""
     for key, value in DEFAULT_CONF.items():
-        if key in ("spark.ui.enabled", "spark.cleaner.referenceTracking.cleanCheckpoints"):
-            continue
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf of a session we did not build
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -20,7 +20,8 @@ Shape (27 quarters, 1995q1-2001q3):
 * 24 stations in 6 reports per quarter, one station excluded by source, two
   stations on platforms that map to "Unknown", one report without a name;
 * 25 sample points, three of them in two segments (fan-out);
-* a few diary rows repeated with the same row id.
+* a few diary rows repeated with the same row id;
+* one pending quarter (1999q2) that has reports and people but no diary rows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from waveband.sources.tables import SurveyTables
 # ---- fixed values of the derived fixture -----------------------------------
 FIRST_PENDING_QUARTER = "1998q1"
 LAST_REGISTERED_QUARTER = "2001q2"
+SILENT_QUARTER = "1999q2"
 REPORTING_PERIODS = ["H", "Q", "Y"]
 REPORT_NAMES = {
     0: "BBC Radio 2",
@@ -149,7 +151,7 @@ def survey_fixture(spark: SparkSession, sf_dir: str) -> SurveyTables:
     diary = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     k = (F.col("l_partkey") + F.col("l_orderkey")) % SLOTS_PER_DAY
     repeat = F.when((F.col("l_orderkey") % 50 == 0) & (F.col("l_linenumber") == 1), 2).otherwise(1)
-    listening = diary.select(
+    listening = diary.where(F.col("file_quarter") != SILENT_QUARTER).select(
         "file_quarter",
         _respid(F.col("o_custkey")).alias("respid"),
         (F.lit(1) + F.col("l_orderkey") % 7).alias("dayofweek"),

@@ -10,7 +10,7 @@ Keep this text and the DataFrame derivation in step.
 
 from __future__ import annotations
 
-from waveband.sources.fixture import FIRST_PENDING_QUARTER, LAST_REGISTERED_QUARTER
+from waveband.sources.fixture import FIRST_PENDING_QUARTER, LAST_REGISTERED_QUARTER, SILENT_QUARTER
 
 
 def _hhmm(k: str) -> str:
@@ -85,7 +85,7 @@ listening AS MATERIALIZED (
          cast(l_quantity as integer) AS mins,
          cast(l_orderkey * 10 + l_linenumber as bigint) AS row_id
   FROM (SELECT *, unnest(generate_series(1, CASE WHEN l_orderkey % 50 = 0 AND l_linenumber = 1 THEN 2 ELSE 1 END)) AS copy_no
-        FROM fx_diary) z
+        FROM fx_diary WHERE file_quarter <> '{SILENT_QUARTER}') z
 ),
 slots AS MATERIALIZED (
   SELECT {_hhmm('k')} AS slot_time, cast(4 + (k - k % 4) / 4 as integer) % 24 AS slot_hour,
