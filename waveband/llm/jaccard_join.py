@@ -8,17 +8,22 @@ among the first ``n - overlap + l`` of each. The steps:
 1. One pass hashes all shingles. Equal sets get one node; a node keeps its first tokens, one
    and a half times the shortest prefix and eight more (the *pool*).
 2. Tokens of one node only are dropped. At the longest prefix, a linked node shares
-   ``pool - n + overlap + 1`` pool tokens with its partner; nodes with fewer shared ones go.
+   ``pool - n + overlap`` pool tokens with its partner; nodes with fewer shared ones go. The
+   full sets of the others are written once.
 3. Groups of near copies: each node is compared with up to three other nodes, those of smallest
    (seeded) hash among the sharers of its first tokens. Verified links make first components,
-   at a cost linear in a group's size. Only links between components are still wanted.
-4. The cost of a token is its number of components. Each node lengthens its prefix by one token
-   for every one that costs more than ``heavy`` and by up to two more by the cost of the rest;
-   with the prefix, the required matches grow alike. Of the l matches of a pair at most l - k are
-   costly, so pairs come from the cheap tokens alone and need k of them (the smaller k of the two).
-   A node without enough cheap tokens in its pool is paired by all pool tokens instead, and needs
-   as many matches as the whole pool implies: an exact way for the rest, without a cap.
-5. Candidates are verified on the full sets; final components come from all links.
+   at a cost linear in a group's size. Only links between components are still wanted; nodes whose
+   tokens are not shared between components go as in step 2.
+4. The rest are ordered by cost (how many nodes have a token), then by hash, and a node's prefix is
+   lengthened by the estimated number of candidates that its shortest prefix would bring, with
+   ``steps`` as bounds: l = 1, 2 or 3. A pair needs as many shared prefix tokens as the smaller l of
+   the two. The smaller set of a pair needs the prefix for ``2 * percent / (100 + percent)`` of its
+   size only, as its partner is no smaller.
+   Every set also has a sketch of :data:`SKETCH_WORDS` 64-bit words: the parity of its tokens' buckets.
+   A token that only one of two sets has turns one bit, so the bits that differ are at most the
+   tokens that differ; pairs with more than a link allows are dropped inside the join, not after it.
+5. Candidates are verified on the full sets; final components come from all links. There is no
+   cap on a token's documents, on candidates or on partners.
 
 Tokens and nodes are 64-bit hashes of words; the chance that any two of N different sets share
 one is N squared over 2 to the power of 65. Words are compared after lower-casing A-Z.
@@ -31,7 +36,6 @@ linked with nothing and gets no component; rows that repeat an id are linked by
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +49,12 @@ from waveband.llm.shared import written
 
 #: bits of the sketch that tells which rows' full sets are needed; it only saves work
 SKETCH_BITS = 1 << 22
+SKETCH_WORDS = 8
 STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
+#: SQL of what a set of n needs, for a percentage
+_OVERLAP = "((n * {0} + 99) div 100)"
+_POOL = "least(n, (n - ((n * {0} + 99) div 100) + 1) + (n - ((n * {0} + 99) div 100) + 1) div 2 + 8)"
+_NEED = _POOL + " - n + ((n * {0} + 99) div 100)"
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
@@ -88,6 +97,13 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
+def _parities(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set the parity of its tokens in each of 64 * SKETCH_WORDS buckets, as 64-bit words."""
+    n = 64 * SKETCH_WORDS
+    odd = [np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1 for s in sets]
+    return [np.packbits(o.astype(np.uint8), bitorder="little").view(np.uint64) for o in odd]
+
+
 def _pools(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     source = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("id"))
     schema = T.StructType([source.schema["id"], T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("pool", T.ArrayType(T.LongType()))])
@@ -109,7 +125,7 @@ def _pools(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
 
 
 def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataFrame) -> DataFrame:
-    """``(node, n, tokens)`` of the given nodes; a sketch of fixed size keeps most other rows out of the shuffle.
+    """``(node, tokens, sketch)`` of the given nodes; a sketch of fixed size keeps most other rows out of the shuffle.
 
     The sketch has one bit for each value of a node's low bits, so it is at most SKETCH_BITS large for any input.
     """
@@ -119,7 +135,8 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
         marked[at] = word
     sketch = docs.sparkSession.sparkContext.broadcast(marked.view(np.uint64))
     source = docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", longs), T.StructField("sketch", longs)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,9 +145,10 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
                 taken = np.flatnonzero(sketch.value[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1))
                 seen = {int(hashes[i]): i for i in taken}  # equal sets of a slice once
                 taken = np.array(sorted(seen.values()), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[taken].view(np.int64)), _lists([sets[i] for i in taken])], names=schema.names)
+                chosen = [sets[i] for i in taken]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[taken].view(np.int64)), _lists(chosen), _lists(_parities(chosen))], names=schema.names)
 
-    return source.mapInArrow(run, schema).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    return source.mapInArrow(run, schema).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -141,15 +159,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * shared >= percent * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
 
 
-def _sized(percent: int, n_a: str = "n_a", n_b: str = "n_b") -> Column:
-    """Sets whose sizes differ too much can't link."""
-    a, b = F.col(n_a), F.col(n_b)
-    return (100 * a >= percent * b) & (100 * b >= percent * a)
-
-
-def _star_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _star_links(sets: DataFrame, percent: int) -> DataFrame:
     """Verified links of each node with one leading sharer of its first tokens for each seed."""
-    first = postings.where(F.col("pos") < STAR_TOKENS)
+    first = sets.select("node", F.explode(F.slice("tokens", 1, STAR_TOKENS)).alias("token"))
     leads = [F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"].alias(f"lead_{seed}") for seed in STAR_SEEDS]
     led = first.join(first.groupBy("token").agg(*leads), "token")
     each = F.explode(F.array(*(F.struct(F.lit(seed).alias("seed"), F.col(f"lead_{seed}").alias("lead")) for seed in STAR_SEEDS)))
@@ -159,72 +171,82 @@ def _star_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _verified(pairs, sets, percent)
 
 
-def _across(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
-    """Node pairs ``(a, b)`` of different components that share a token, once for each token.
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """By sizes, order (the smaller set is a, ties by node) and sketches; true where a sketch is missing."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    differ = sum((F.bit_count(F.col(f"sketch_{a}")[i].bitwiseXOR(F.col(f"sketch_{b}")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    ordered = (n_a < n_b) | ((n_a == n_b) & (F.col(f"node_{a}") < F.col(f"node_{b}")))
+    near = (100 * n_a >= percent * n_b) & (differ * (100 + percent) <= (n_a + n_b) * (100 - percent))
+    return ordered & near
+
+
+def _across(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Node pairs of different components that share a token and may link, once for each token; the smaller set is a.
 
-    Components of a token are paired first, so nodes of one component never meet.
+    Components are paired first, so the nodes of one never meet; a component of one node is tested at once.
     """
-    at_left = left.select("token", F.col("comp").alias("comp_a")).distinct()
-    at_right = right.select("token", F.col("comp").alias("comp_b")).distinct()
-    groups = at_left.join(at_right, "token").where("comp_a < comp_b" if ordered else "comp_a <> comp_b")
-    named = lambda rows, x: rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("comp", "node", "n", "k")))
-    return groups.join(named(left, "a"), ["token", "comp_a"]).join(named(right, "b"), ["token", "comp_b"])
-
-
-def _cross_links(postings: DataFrame, sets: DataFrame, percent: int, heavy: int) -> DataFrame:
-    """Verified links between nodes of different components; ``postings`` has a row for each shared pool token."""
-    costs = postings.select("token", "comp").distinct().groupBy("token").agg(F.count("*").alias("cost")).where("cost > 1")
-    own, by_node = Window.partitionBy("node").orderBy("pos"), Window.partitionBy("node")
-    costly = (F.col("cost") > heavy).cast("int")
-    base = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    pool = F.least(F.col("n"), F.expr("base + base div 2 + 8"))
-    rows = (
-        postings.join(costs, "token").withColumn("base", base).withColumn("pool", pool)
-        .withColumn("costly", costly).withColumn("cheap_before", F.col("pos") - F.sum("costly").over(own) + F.col("costly"))
-        .withColumn("cheap", F.col("pool") - F.sum("costly").over(by_node))
-        .withColumn("estimate", F.sum(F.when((F.col("costly") == 0) & (F.col("cheap_before") < F.col("base")), F.col("cost") - 1)).over(by_node))
-        .withColumn("wanted", F.when(F.col("estimate") > 64, 3).when(F.col("estimate") > 8, 2).otherwise(1))
-        .withColumn("k", F.least(F.col("wanted"), F.col("cheap") - F.col("base") + 1))
+    columns = ("comp", "node", "n", "l", "sketch")
+    named = lambda rows, x: rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns))
+    smaller, larger = prefixes.where("short"), prefixes
+    one = F.col("members") == 1
+    entity = lambda rows, x: rows.select(
+        "token", F.col("comp").alias(f"comp_{x}"), *(F.when(one, F.col(c)).alias(f"{c}_{x}") for c in ("node", "n", "sketch"))).distinct()
+    pair = F.col("comp_a") != F.col("comp_b")
+    groups = entity(smaller, "a").join(entity(larger, "b"), "token").where(pair & F.coalesce(_may_link("a", "b", percent), F.lit(True)))
+    # the nodes of a's component, against b at once where that is one node
+    of_a = groups.drop("node_a", "n_a", "sketch_a").join(named(smaller, "a"), ["token", "comp_a"]).where(
+        F.coalesce(_may_link("a", "b", percent), F.lit(True)))
+    return of_a.drop("node_b", "n_b", "sketch_b").join(named(larger, "b"), ["token", "comp_b"]).where(_may_link("a", "b", percent))
+
+
+def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[int, int]) -> DataFrame:
+    """Verified links between nodes of different components."""
+    placed = sets.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("comp"), F.size("tokens").cast("long").alias("n"), "tokens", "sketch")
+    pooled = placed.select("node", "comp", "n", F.explode(F.expr(f"slice(tokens, 1, CAST({_POOL.format(percent)} AS INT))")).alias("token"))
+    live = pooled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_NEED.format(percent)}").select("node")
+    able = written(placed.join(able, "node"), "able")
+    tokens = able.select("node", "comp", F.explode("tokens").alias("token"))
+    costs = tokens.groupBy("token").agg(F.count("*").alias("cost"), (F.min("comp") < F.max("comp")).alias("live"))
+    members = able.groupBy("comp").agg(F.count("*").alias("members"))
+    held = able.join(members, "comp").select("node", "comp", "n", "sketch", "members")
+    own, by_node = Window.partitionBy("node").orderBy("cost", "token"), Window.partitionBy("node")
+    ordered = (
+        tokens.select("node", "token").join(costs, "token").withColumn("pos", F.row_number().over(own) - 1)
+        .withColumn("n_live", F.sum(F.col("live").cast("int")).over(by_node)).where("live").join(able.select("node", "n"), "node")
+        .withColumn("first", F.expr(f"n - {_OVERLAP.format(percent)} + 1"))
+        .withColumn("estimate", F.sum(F.when(F.col("pos") < F.col("first"), F.col("cost") - 1)).over(by_node))
+        .withColumn("l", F.when(F.col("estimate") > steps[1], 3).when(F.col("estimate") > steps[0], 2).otherwise(1))
+        .where(f"pos < first + l - 1 AND n_live >= {_OVERLAP.format(percent)}")
     )
-    rows = written(rows.select("token", "node", "n", "comp", "costly", "cheap_before", "base", "pool", "k"), "prefixes")
-    prefix = rows.where("k >= 1 AND costly = 0 AND cheap_before < base + k - 1")
-    light = _across(prefix, prefix, ordered=True)
-    # nodes without enough cheap tokens: every pool token, and the matches that the whole pool implies
-    whole = rows.withColumn("k", F.expr("pool - base + 1"))
-    rest = _across(whole.join(rows.where("k < 1").select("node").distinct(), "node", "left_semi"), whole, ordered=False)
-    found = [
-        pairs.where(_sized(percent)).groupBy("node_a", "node_b").agg(F.count("*").alias("shared"), F.first(F.least("k_a", "k_b")).alias("k"))
-        .where("shared >= k").select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-        for pairs in (light, rest)
-    ]
-    return _verified(reduce(DataFrame.union, found).distinct(), sets, percent)
-
-
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90, heavy: int = 24) -> DataFrame:
+    # as the smaller of a pair, a set of n shares at least 2 * percent * n / (100 + percent)
+    short = f"pos < n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + l"
+    prefixes = ordered.select("token", "node", "l", F.expr(short).alias("short")).join(held, "node")
+    pairs = _across(written(prefixes, "prefixes"), percent)
+    found = pairs.groupBy("node_a", "node_b").agg(F.count("*").alias("shared"), F.first(F.least("l_a", "l_b")).alias("l")).where("shared >= l")
+    return _verified(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90,
+         steps: tuple[int, int] = (8, 64)) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row: the smallest id that its links reach."""
     pools = written(_pools(docs, doc_id, text, words, percent), "pools")
-    every = pools.where("id IS NOT NULL").select("node", "n", F.posexplode("pool").alias("pos", "token"))
+    every = pools.where("id IS NOT NULL").select("node", F.explode("pool").alias("token"))
     shared = every.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("token")
-    postings = written(every.join(shared, "token").distinct(), "postings")
-    base = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    enough = (
-        postings.groupBy("node", "n").agg(F.count("*").alias("n_shared")).withColumn("base", base)
-        .where("n_shared >= least(n, base + base div 2 + 8) - base + 1").select("node")
-    )
-    nodes = written(enough, "nodes")
-    postings = written(postings.join(nodes, "node", "left_semi"), "postings")
+    # rows with equal sets bring the same tokens, so a node's count is a multiple of its rows
+    hits = every.join(shared, "token").groupBy("node").agg(F.count("*").alias("n_hits"))
+    sizes = pools.where("id IS NOT NULL AND n > 0").groupBy("node").agg(F.min("n").alias("n"), F.count("*").alias("n_rows"))
+    nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * ({_NEED.format(percent)})").select("node"), "nodes")
     sets = written(_full_sets(docs, doc_id, text, words, nodes), "sets")
 
-    links = written(_star_links(postings, sets, percent), "links")
+    links = written(_star_links(sets, percent), "links")
+    labels = smallest_reachable(links)
+    links = written(links.union(_cross_links(sets, labels, percent, steps)), "links")
     labels = smallest_reachable(links)
-    comp = F.coalesce("label", "node")
-    placed = written(postings.join(labels, "node", "left").withColumn("comp", comp).drop("label"), "placed")
-    cross = _cross_links(placed, sets, percent, heavy)
-    labels = smallest_reachable(written(links.union(cross), "links"))
 
     rows = pools.select("id", "n", "node")
-    named = rows.where("id IS NOT NULL").join(labels, "node", "left").withColumn("comp", comp)
-    names = named.groupBy("comp").agg(F.min("id").alias("first_id"))
-    placed = rows.join(labels, "node", "left").withColumn("comp", comp).join(names, "comp", "left")
+    comp = F.coalesce("label", "node")
+    placed = rows.join(labels, "node", "left").withColumn("comp", comp)
+    names = placed.where("id IS NOT NULL").groupBy("comp").agg(F.min("id").alias("first_id"))
     component = F.when(F.col("id").isNull(), None).when(F.col("n") == 0, F.col("id")).otherwise(F.col("first_id"))
-    return placed.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return placed.join(names, "comp", "left").select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"))
