@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tests.tiny import world
 from waveband.operators import pending_quarters
-from waveband.plans.oracle import PENDING, population_cte, run_ctes, summary_1_cte, summary_2_cte, CUTS
+from waveband.plans.oracle import population, run_parts, summary_1, summary_2
 from waveband.plans.stages import Run
 from waveband.schemas import INPUT_SCHEMAS
 
@@ -117,13 +117,13 @@ def test_random_world_matches_sql(spark, rows):
               quarters=rows["quarters"], date_lookup=[], slots=rows["slots"], segs=[])
     run = Run(t, pending_quarters(t.quarters))
     con = duck_world(rows)
-    body = run_ctes("", PENDING)
+    body = run_parts("pending")
     sql = {
-        "facts": (run.facts, f"WITH {body} SELECT * FROM first_summary"),
+        "facts": (run.facts, f"WITH {body} FROM facts"),
         "summary_1": (run.demographic_summary(),
-                      f"WITH {body}, {summary_1_cte('', list(CUTS), True, 's1')} SELECT * FROM s1"),
-        "summary_2": (run.slot_summary(), f"WITH {body}, {summary_2_cte('', True, 's2')} SELECT * FROM s2"),
-        "population": (run.population, f"WITH {body}, {population_cte('', 'p')} SELECT * FROM p"),
+                      f"WITH {body}, {summary_1('s1')} FROM s1"),
+        "summary_2": (run.slot_summary(), f"WITH {body}, {summary_2('s2')} FROM s2"),
+        "population": (run.population, f"WITH {body}, {population('p')} FROM p"),
     }
     for name, (df, query) in sql.items():
         got = df.collect()
