@@ -13,7 +13,7 @@ among the first ``n - overlap + l`` of each. The steps:
 3. Groups of near copies: each node is compared with up to three other nodes, those of smallest
    (seeded) hash among the sharers of its first tokens. Verified links make first components,
    at a cost linear in a group's size. Only links between components are still wanted; nodes whose
-   tokens are not shared between components go as in step 2.
+   tokens are not shared between components go as in step 2, by twice as many tokens.
 4. The rest are ordered by cost (how many nodes have a token), then by hash, and a node's prefix is
    lengthened by the estimated number of candidates that its shortest prefix would bring, with
    ``steps`` as bounds: l = 1, 2 or 3. A pair needs as many shared prefix tokens as the smaller l of
@@ -55,6 +55,9 @@ STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
 _OVERLAP = "((n * {0} + 99) div 100)"
 _POOL = "least(n, (n - ((n * {0} + 99) div 100) + 1) + (n - ((n * {0} + 99) div 100) + 1) div 2 + 8)"
 _NEED = _POOL + " - n + ((n * {0} + 99) div 100)"
+#: the second time full sets are there, and more of their tokens tell more
+_SECOND = "least(n, 3 * (n - ((n * {0} + 99) div 100) + 1) + 8)"
+_SECOND_NEED = _SECOND + " - n + ((n * {0} + 99) div 100)"
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
@@ -202,9 +205,9 @@ def _across(prefixes: DataFrame, percent: int) -> DataFrame:
 def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[int, int]) -> DataFrame:
     """Verified links between nodes of different components."""
     placed = sets.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("comp"), F.size("tokens").cast("long").alias("n"), "tokens", "sketch")
-    pooled = placed.select("node", "comp", "n", F.explode(F.expr(f"slice(tokens, 1, CAST({_POOL.format(percent)} AS INT))")).alias("token"))
+    pooled = placed.select("node", "comp", "n", F.explode(F.expr(f"slice(tokens, 1, CAST({_SECOND.format(percent)} AS INT))")).alias("token"))
     live = pooled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_NEED.format(percent)}").select("node")
+    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_SECOND_NEED.format(percent)}").select("node")
     able = written(placed.join(able, "node"), "able")
     tokens = able.select("node", "comp", F.explode("tokens").alias("token"))
     costs = tokens.groupBy("token").agg(F.count("*").alias("cost"), (F.min("comp") < F.max("comp")).alias("live"))
