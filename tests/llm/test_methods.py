@@ -96,6 +96,36 @@ def test_jaccard_join_equals_all_pairs(spark, steps):
     assert got == brute.components(dict(enumerate(texts)))
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_pools_need_no_more_than_any_partner_can_give(spark, percent):
+    sizes = range(1, 160)
+    rows = spark.range(1, 160).withColumnRenamed("id", "n")
+    for pool, plain in ((jaccard_join._POOL, lambda n, f: min(n, f + f // 2 + 8)), (jaccard_join._SECOND, lambda n, f: min(n, 3 * f + 8))):
+        pools = {n: plain(n, n - (n * percent + 99) // 100 + 1) for n in range(1, 400)}
+        want = {n: min(
+            min(pools[n] - n + i, pools[m] - m + i, i)
+            for m in range(1, 400) if 100 * min(m, n) >= percent * max(m, n) for i in [-(-percent * (n + m) // (100 + percent))]) for n in sizes}
+        assert {r[0]: r[1] for r in rows.selectExpr("n", jaccard_join._need(pool, percent)).collect()} == want
+
+
+def test_jaccard_join_of_short_texts_that_share_a_passage(spark):
+    pick = random.Random(2)
+    new = lambda n: [f"w{pick.randrange(10**9)}" for _ in range(n)]
+    texts = []
+    for shared, own in ((18, (0, 2)), (19, (0, 1)), (19, (0, 2)), (28, (1, 2))) * 12:
+        base = new(shared + 2)
+        texts += [base + new(n) for n in own]
+        for _ in range(12):  # near copies of each other that share the passage only
+            other = base[: 2 + shared * 7 // 10] + new(20)
+            texts += [other + new(1), other + new(1)]
+    texts = [" ".join(t) for t in texts]
+    pick.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4, "doc_id")
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.join(docs).collect()}
+    want = brute.components(dict(enumerate(texts)))
+    assert [i for i in want if got[i] != want[i]] == []
+
+
 def test_personal_data_equals_the_plain_patterns(spark):
     pick = random.Random(5)
     parts = ["a.b@c-d.co.uk", "@x.y", "a@b", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "001.02.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112",

@@ -7,9 +7,9 @@ among the first ``n - overlap + l`` of each. The steps:
 
 1. One pass hashes all shingles. Equal sets get one node; a node keeps its first tokens, one
    and a half times the shortest prefix and eight more (the *pool*).
-2. Tokens of one node only are dropped. At the longest prefix, a linked node shares
-   ``pool - n + overlap`` pool tokens with its partner; nodes with fewer shared ones go. The
-   full sets of the others are written once.
+2. Tokens of one node only are dropped. A linked node shares pool tokens with its partner, at
+   least as many as the two pools have in common for any size of the partner; nodes with fewer
+   shared ones go. The full sets of the others are written once.
 3. Groups of near copies: each node is compared with up to three other nodes, those of smallest
    (seeded) hash among the sharers of its first tokens. Verified links make first components,
    at a cost linear in a group's size. Only links between components are still wanted; nodes whose
@@ -35,6 +35,7 @@ linked with nothing and gets no component; rows that repeat an id are linked by
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -54,10 +55,20 @@ STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
 #: SQL of what a set of n needs, for a percentage
 _OVERLAP = "((n * {0} + 99) div 100)"
 _POOL = "least(n, (n - ((n * {0} + 99) div 100) + 1) + (n - ((n * {0} + 99) div 100) + 1) div 2 + 8)"
-_NEED = _POOL + " - n + ((n * {0} + 99) div 100)"
 #: the second time full sets are there, and more of their tokens tell more
 _SECOND = "least(n, 3 * (n - ((n * {0} + 99) div 100) + 1) + 8)"
-_SECOND_NEED = _SECOND + " - n + ((n * {0} + 99) div 100)"
+
+
+def _need(pool: str, percent: int) -> str:
+    """SQL of the shared tokens that a linked set of n has in its pool at least, over all sizes m of a partner.
+
+    The partner shares tokens from its own pool only, which can be the smaller of the two.
+    """
+    both = f"(({percent} * (n + m) + {99 + percent}) div {100 + percent})"
+    size = pool.format(percent)
+    of_m = re.sub(r"\bn\b", "m", size)
+    partners = f"sequence((n * {percent} + 99) div 100, n * 100 div {percent})"
+    return f"aggregate({partners}, CAST(n AS BIGINT), (least_m, m) -> least(least_m, {size} - n + {both}, {of_m} - m + {both}, {both}))"
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
@@ -207,7 +218,7 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     placed = sets.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("comp"), F.size("tokens").cast("long").alias("n"), "tokens", "sketch")
     pooled = placed.select("node", "comp", "n", F.explode(F.expr(f"slice(tokens, 1, CAST({_SECOND.format(percent)} AS INT))")).alias("token"))
     live = pooled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_SECOND_NEED.format(percent)}").select("node")
+    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_need(_SECOND, percent)}").select("node")
     able = written(placed.join(able, "node"), "able")
     tokens = able.select("node", "comp", F.explode("tokens").alias("token"))
     costs = tokens.groupBy("token").agg(F.count("*").alias("cost"), (F.min("comp") < F.max("comp")).alias("live"))
@@ -239,7 +250,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     # rows with equal sets bring the same tokens, so a node's count is a multiple of its rows
     hits = every.join(shared, "token").groupBy("node").agg(F.count("*").alias("n_hits"))
     sizes = pools.where("id IS NOT NULL AND n > 0").groupBy("node").agg(F.min("n").alias("n"), F.count("*").alias("n_rows"))
-    nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * ({_NEED.format(percent)})").select("node"), "nodes")
+    nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * {_need(_POOL, percent)}").select("node"), "nodes")
     sets = written(_full_sets(docs, doc_id, text, words, nodes), "sets")
 
     links = written(_star_links(sets, percent), "links")
