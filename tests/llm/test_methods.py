@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -176,3 +177,45 @@ def test_licence_sentences_are_normalised():
     for sentence in license_scan.SENTENCES:
         assert license_scan._sentences(sentence.upper() + ".") == [sentence]
     assert {i for rule, _ in license_scan.RULES for i in rule} == set(license_scan.SENTENCES.values())
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."""
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD3 = BSD2 + """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+GPL = "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} Public License as published by the Free Software Foundation{3} either version {4} of the License, or (at your option) any later version."
+TEXTS = {
+    "MIT": MIT, "BSD-2-Clause": BSD2, "BSD-3-Clause": BSD3, "Apache-2.0": APACHE,
+    "GPL-2.0": GPL.format("program", ";", "General", ";", "2"), "GPL-3.0": GPL.format("program", ":", "General", ",", "3"),
+    "LGPL-2.1": GPL.format("library", ";", "Lesser General", ";", "2.1"), "AGPL-3.0": GPL.format("program", ":", "Affero General", ",", "3"),
+    "CC-BY-SA-4.0": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+
+
+def test_canonical_licences_wrapped_or_not(spark):
+    rows = []
+    for name, text in TEXTS.items():
+        for width in (20, 40, 72, 10**6):
+            for begin in ("", "# ", " * "):
+                lines = [begin + line for part in text.split("\n") for line in (textwrap.wrap(part, width, break_long_words=False, break_on_hyphens=False) or [""])]
+                rows.append((name, "\n".join(["a line before", *lines, "a line behind"])))
+    rows.append(("MIT", "a line\nReleased under the MIT License\nand another"))
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    for r in license_scan.scan(docs).collect():
+        assert (r["licenses"], r["n_matches"], r["restricted"]) == (r["doc_id"], 1, "GPL" in r["doc_id"])
+    assert {i for rule, _ in license_scan.ALL_RULES for i in rule} == set(license_scan.ALL_SENTENCES.values())
+    assert all(license_scan._sentences(s.upper() + ".") == [s] for s in license_scan.ALL_SENTENCES)

@@ -48,7 +48,9 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # the contract's sentences, cut at every line end
+    return license_scan.scan(docs, sentences=license_scan.SENTENCES, rules=license_scan.RULES, restricted=license_scan.RESTRICTED, wrapped=False)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
