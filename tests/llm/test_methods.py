@@ -15,7 +15,7 @@ from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 from tests.llm import brute  # noqa: E402
-from waveband.llm import flat, jaccard_join, license_scan, personal_data, sentencepiece_coding  # noqa: E402
+from waveband.llm import flat, jaccard_join, license_scan, personal_data, sentencepiece_coding, url_filter  # noqa: E402
 from waveband.llm.fm_index import FMIndex  # noqa: E402
 from waveband.llm.piece_bpe import PieceCoder  # noqa: E402
 from waveband.llm.queries import QUERIES  # noqa: E402
@@ -173,6 +173,18 @@ def test_url_verdicts_learn_the_rules(spark):
         assert sum(v == verdict for v in of_host) >= 0.9 * len(of_host) > 100
 
 
+@pytest.mark.parametrize("broadcast_rows", [50_000, 0])
+def test_url_suffixes_count_beyond_the_sample(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", broadcast_rows)
+    # the mark in the path decides; but for it, the URLs of blocked and allowed hosts look the same
+    urls = [f"http://h{i:04}.net/x{'ab'[i * 7919 % 1009 % 2]}/{k}" for i in range(400) for k in range(8)]
+    urls += [f"http://h{i:04}.net/xc/9" for i in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, rules=(("net/xa", "block"), ("net/xb", "allow")), per_label=40).collect()}
+    want = {3200 + i: "block" if i * 7919 % 1009 % 2 == 0 else "allow" for i in range(400)}
+    assert len(got) == len(urls) and sum(got[i] == v for i, v in want.items()) >= 390
+
+
 def test_licence_sentences_are_normalised():
     for sentence in license_scan.SENTENCES:
         assert license_scan._sentences(sentence.upper() + ".") == [sentence]

@@ -5,9 +5,10 @@ of it where the URL's path starts with the rule's; the longest fitting rule deci
 rule decides are the labelled ones: a bounded sample of them (at most ``per_label`` of each verdict,
 1000 at most, those of smallest hash) trains Spark ML's gradient-boosted trees, which decide the
 others. Features: lengths, depth, digit ratio, entropy, parameters, marks, labels of the host, and
-suffix statistics: of the sample's URLs with the same last two host labels the share that is blocked
-(smoothed) and their number. In training, a row's suffix statistics come from the other half of the
-sample, so a row doesn't see its own label.
+suffix statistics: of all rule-decided URLs with the same last two host labels the share that is
+blocked (smoothed) and their number. In training, a row's suffix statistics come from the other half
+of those URLs, so a row doesn't see its own label. The table of suffixes is broadcast where it is
+counted to have at most :data:`BROADCAST_ROWS` rows, and joined by shuffle otherwise.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, no rule, and is judged
 by its features; without a sample of both verdicts the undecided get the one verdict that there is,
@@ -31,6 +32,8 @@ FEATURES = (
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "has_fragment",
     "has_file", "secure", "suffix_share", "suffix_count",
 )
+#: so many suffixes are some MB
+BROADCAST_ROWS = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,11 +76,15 @@ def with_features(rows: DataFrame) -> DataFrame:
         "hyphens": _count(host, "-"), "has_fragment": url.contains("#").cast("int"), "has_file": path.rlike(r"\.[A-Za-z0-9]{1,5}$").cast("int"),
         "secure": url.startswith("https://").cast("int"),
     }
-    return rows.withColumns({n: c.cast("double") for n, c in number.items()} | {"suffix": F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0)})
+    return rows.withColumns({n: c.cast("double") for n, c in number.items()} | {"suffix": _suffix(host)})
 
 
-def _with_suffix(rows: DataFrame, stats: DataFrame, on: list[str]) -> DataFrame:
-    joined = rows.join(F.broadcast(stats), on, "left")  # at most a row for each row of the bounded sample
+def _suffix(host: Column) -> Column:
+    return F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0)
+
+
+def _with_suffix(rows: DataFrame, stats: DataFrame, on: list[str], small: bool) -> DataFrame:
+    joined = rows.join(F.broadcast(stats) if small else stats, on, "left")
     total, blocked = F.coalesce("total", F.lit(0)), F.coalesce("blocked", F.lit(0))
     return joined.withColumns({"suffix_share": (blocked + 1.0) / (total + 2.0), "suffix_count": F.log1p(total.cast("double"))})
 
@@ -92,21 +99,23 @@ def judge(pages: DataFrame, keep: tuple[str, ...] = ("page_id",), key: str = "pa
 
     labelled = rows.where(F.col("decided").isNotNull())
     ordered = F.xxhash64("url", F.coalesce(F.col("key").cast("string"), F.lit("")))
-    sample = written(with_features(samples.smallest(labelled, "decided", ordered, per_label)), "labelled").withColumns(
-        {"label": (F.col("decided") == "block").cast("double"), "fold": F.pmod(F.xxhash64("url"), F.lit(2))})
+    learnt = {"label": (F.col("decided") == "block").cast("double"), "fold": F.pmod(F.xxhash64("url"), F.lit(2))}
+    sample = written(with_features(samples.smallest(labelled, "decided", ordered, per_label)), "labelled").withColumns(learnt)
     verdicts = sorted(r[0] for r in sample.select("decided").distinct().collect())
     of_rule = F.col("decided")
     if len(verdicts) < 2:
         only = F.lit(verdicts[0] if verdicts else "allow")
         result = rows.withColumns({"verdict": F.coalesce(of_rule, only), "block_score": F.lit(None).cast("double")})
     else:
-        stats = written(sample.groupBy("suffix", "fold").agg(F.count("*").alias("total"), F.sum("label").alias("blocked")), "suffixes")
+        counted = labelled.select(_suffix(F.col("host")).alias("suffix"), "url", "decided").withColumns(learnt)
+        stats = written(counted.groupBy("suffix", "fold").agg(F.count("*").alias("total"), F.sum("label").alias("blocked")), "suffixes")
+        small = stats.count() <= BROADCAST_ROWS
         other = stats.withColumn("fold", 1 - F.col("fold"))
         every = stats.groupBy("suffix").agg(F.sum("total").alias("total"), F.sum("blocked").alias("blocked"))
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        train = vectors.transform(_with_suffix(sample, other, ["suffix", "fold"])).select("label", "features").repartition(4, "features")
+        train = vectors.transform(_with_suffix(sample, other, ["suffix", "fold"], small)).select("label", "features").repartition(4, "features")
         model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(train)
-        undecided = _with_suffix(with_features(rows), every, ["suffix"])
+        undecided = _with_suffix(with_features(rows), every, ["suffix"], small)
         scored = model.transform(vectors.transform(undecided))
         score = F.when(of_rule.isNull(), vector_to_array("probability")[1])
         result = scored.withColumn("block_score", score).withColumn(
