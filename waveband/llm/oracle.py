@@ -178,6 +178,47 @@ SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_sentences, CAST(len(found) AS BIGINT
 FROM m
 """
 
+_FROM = "".join(map(chr, range(0xC0, 0x100)))
+#: DuckDB's levenshtein counts bytes, so each letter beyond ASCII stands as one ASCII character of its own
+_TO = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.islower() and c not in "'")[: len(_FROM)]
+
+OP11 = rf"""
+WITH RECURSIVE bits AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+each_run AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hexed AS (SELECT run, n, hex(encode(id || ':' || run)) AS x FROM each_run),
+summed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS h
+  FROM hexed, bits),
+cut AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+  FROM summed),
+v AS (
+  SELECT word, n, translate(word, '{_FROM}', '{_TO}') AS flat FROM (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM v a JOIN v b
+  ON abs(length(a.word) - length(b.word)) <= 1 AND a.word <> b.word AND levenshtein(a.flat, b.flat) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+led AS (
+  SELECT word, word AS spot, 0 AS step FROM formed
+  UNION ALL SELECT led.word, formed.form, step + 1 FROM led JOIN formed ON formed.word = led.spot WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, ended.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(spot, step) AS root FROM led GROUP BY word) ended USING (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": OP3,
     "op6_warc": OP6,
@@ -185,4 +226,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_license_scan": OP8,
     "op9_quality_rules": OP9,
     "op10_personal_data": OP10,
+    "op11_spelling_variants": OP11,
 }

@@ -17,8 +17,11 @@ from waveband.llm import (
     quality_rules,
     samples,
     sentencepiece_coding,
+    spelling,
+    toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from waveband.llm.shared import new_folder
 
@@ -75,6 +78,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(table(spark, sf_dir, "documents")))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", samples.held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
     "op2_url_filter": op2_url_filter,
@@ -86,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_toxicity": op12_toxicity,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
