@@ -1,0 +1,314 @@
+"""Releases: dead jobs, writers at once, one switch for all outputs, retention, what is copied and what is looked at."""
+
+from __future__ import annotations
+
+import os
+import threading
+
+import pytest
+
+from tests.test_build import _bag, _stored, _two_quarters
+from tests.tiny import Q, QDATE, report, world
+from waveband.operators import read_table, write_replacing
+from waveband.operators.control import listed_quarters
+from waveband.plans import build as jobs
+from waveband.plans.build import OUTPUTS, RULES, backfill, build, publish_outputs, read_control
+from waveband.schemas import _struct, I, S
+from waveband.sources import releases
+from waveband.sources.fixture import survey_fixture
+from waveband.sources.releases import Folder, Part, Release, commit, latest, sweep
+from waveband.sources.stored import handed_over, handover_folder, sweep_handovers
+from waveband.sources.tables import read_survey_tables, write_survey_tables
+
+SCHEMA = _struct(("v", I), ("quarter", S))
+LATER = "2020q2"
+
+
+def _write(spark, path, rows, touched=()):
+    write_replacing(spark, spark.createDataFrame(rows, SCHEMA), path, "quarter", list(touched), SCHEMA)
+
+
+def _rows(spark, path):
+    return sorted((r.quarter, r.v) for r in read_table(spark, path, "quarter", SCHEMA).collect())
+
+
+def _files(root):
+    return sorted(os.path.join(at, name) for at, _, names in os.walk(root) for name in names if name.endswith(".parquet"))
+
+
+def test_what_a_dead_job_left_is_stepped_over(spark, scratch):
+    path = f"{scratch}/t"
+    _write(spark, path, [(1, "2020q1")])
+    # a job that died: while it wrote rows, with its attempt half written, in a version folder of its own
+    for folder in (f"{path}/data/run=dead/_temporary/0", f"{path}/data/run=dead2/quarter=2020q1", f"{scratch}/_releases/version=2", f"{scratch}/_releases/_temporary"):
+        os.makedirs(folder)
+    for name in ("_attempt-dead", "2.json", "0000000002.json.tmp"):
+        with open(f"{scratch}/_releases/{name}", "w") as file:
+            file.write('{"tab')
+    assert _rows(spark, path) == [("2020q1", 1)]
+    _write(spark, path, [(2, "2020q2")])
+    _write(spark, path, [(3, "2020q1")])
+    assert _rows(spark, path) == [("2020q1", 3), ("2020q2", 2)] and latest(spark, scratch)[0] == 3
+
+
+def test_writers_at_once_all_get_in(spark, scratch, monkeypatch):
+    """Each reads the same release first; one takes the number, the others make their change again on the new one."""
+    path, together = f"{scratch}/t", threading.Barrier(4)
+    waits, real = threading.local(), releases.latest
+
+    def at_once(spark_, root):
+        found = real(spark_, root)
+        if not getattr(waits, "over", False):
+            waits.over = True
+            together.wait(60)
+        return found
+
+    monkeypatch.setattr(releases, "latest", at_once)
+    failed = []
+
+    def write(k):
+        try:
+            _write(spark, path, [(k, f"2020q{k}")])
+        except Exception as error:
+            failed.append(error)
+
+    threads = [threading.Thread(target=write, args=(k,)) for k in range(1, 5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    monkeypatch.undo()
+    assert _rows(spark, path) == [(f"2020q{k}", k) for k in range(1, 5)] and latest(spark, scratch)[0] == 4
+
+
+def test_a_rename_takes_a_name_once_as_well(spark, scratch):
+    folder = Folder(spark, scratch)
+    assert folder._renamed("one", "_releases", "_attempt-a", "0000000001.json")
+    assert not folder._renamed("two", "_releases", "_attempt-b", "0000000001.json")
+    assert folder.text("_releases", "0000000001.json") == "one" and list(folder.names("_releases")) == ["0000000001.json"]
+
+
+def test_a_release_reads_back(spark, scratch):
+    made = Release({"t": {"2020q1": Part("a", "b", "c"), "é": Part("d")}}, {"quarters": [[None, "No", None], ["2020q1", "Yes", "2020-01-06"]]}, {"b": ["x"]})
+    assert Release.parsed(made.text()) == made
+    commit(spark, scratch, lambda release: vars(release).update(vars(made)))
+    assert latest(spark, scratch) == (1, made)
+
+
+def test_a_reader_sees_all_outputs_and_the_flags_of_one_state(spark, scratch, monkeypatch):
+    out = f"{scratch}/out"
+    tables = _two_quarters(spark)
+    build(spark, tables.replace(quarters=tables.quarters.where("file_quarter = '2020q1'")), out, register=False)
+    state = lambda: {name: _bag(_stored(spark, out, name)) for name in OUTPUTS} | {"control": _bag(read_control(spark, f"{out}/quarters"))}
+    old, seen, real = state(), [], jobs._written
+
+    def watched(*args):
+        change = real(*args)
+        seen.append(state())  # this output's rows are written
+        return change
+
+    monkeypatch.setattr(jobs, "_written", watched)
+    build(spark, tables.replace(quarters=spark.createDataFrame([(Q, "Yes", QDATE), (LATER, "No", QDATE)], tables.quarters.schema)), out, register=False)
+    assert seen == [old] * 4
+    new = state()
+    assert all(new[name] != old[name] for name in new)
+    assert latest(spark, out)[0] == 2
+
+
+def test_a_build_that_dies_before_its_release_leaves_everything_pending(spark, scratch, monkeypatch):
+    out = f"{scratch}/out"
+    tables = _two_quarters(spark)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "commit", dies)
+        with pytest.raises(OSError):
+            build(spark, tables, out, register=False)
+    assert latest(spark, out) == (0, Release()) and read_control(spark, f"{out}/quarters") is None
+    build(spark, tables, out, register=False)
+    assert {r.in_data for r in read_control(spark, f"{out}/quarters").collect()} == {"Yes"}
+
+
+def test_two_builds_of_different_quarters_keep_each_others_flags(spark, scratch, monkeypatch):
+    """The second commits while the first has its rows written: both quarters and both flags are there in the end."""
+    out, real, once = f"{scratch}/out", jobs._released, []
+    tables = _two_quarters(spark)
+    control = lambda q: spark.createDataFrame([(q, "No", QDATE)], tables.quarters.schema)
+
+    def meanwhile(*args):
+        if not once:
+            once.append(1)
+            build(spark, tables.replace(quarters=control(LATER)), out, register=False)
+        return real(*args)
+
+    monkeypatch.setattr(jobs, "_released", meanwhile)
+    build(spark, tables.replace(quarters=control(Q)), out, register=False)
+    assert {(r.file_quarter, r.in_data) for r in read_control(spark, f"{out}/quarters").collect()} == {(Q, "Yes"), (LATER, "Yes")}
+    assert {r.quarter for r in _stored(spark, out, "summary_table_1").collect()} == {Q, LATER}
+
+
+def test_a_control_table_kept_elsewhere_is_switched_last(spark, scratch):
+    result = build(spark, _two_quarters(spark), f"{scratch}/out", register=False, control_path=f"{scratch}/own/flags")
+    assert result.control_version == 1 and latest(spark, f"{scratch}/out")[1].control == {}
+    assert {r.in_data for r in read_control(spark, f"{scratch}/own/flags").collect()} == {"Yes"}
+
+
+def test_sweep_removes_what_no_kept_release_names(spark, scratch):
+    path = f"{scratch}/t"
+    _write(spark, path, [(0, "2019q4")])
+    for k in range(5):
+        _write(spark, path, [(k, "2020q1")])
+    os.makedirs(f"{path}/data/run=dead/_temporary")
+    with open(f"{scratch}/_releases/_attempt-dead", "w") as file:
+        file.write("{")
+    many = len(_files(path))
+    assert sweep(spark, scratch, keep=1) == [] and len(_files(path)) == many == 6  # all of it is too young
+    gone = sweep(spark, scratch, keep=2, grace_hours=0)
+    assert len(_files(path)) == 3 and sum(name.startswith("t/data/") for name in gone) == 4
+    assert sorted(os.listdir(f"{scratch}/_releases")) == ["0000000005.json", "0000000006.json"]
+    assert sweep(spark, scratch, keep=1, grace_hours=0) and len(_files(path)) == 2
+    assert _rows(spark, path) == [("2019q4", 0), ("2020q1", 4)]
+    _write(spark, path, [(9, "2020q1")])
+    assert latest(spark, scratch)[0] == 7
+    with pytest.raises(ValueError):
+        sweep(spark, scratch, keep=0)
+    assert sweep(spark, f"{scratch}/nothing") == []
+
+
+def test_handed_over_tables_go_with_their_job(spark, scratch):
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    with handover_folder(spark) as folder:
+        assert handed_over(df, "x", folder=folder).count() == 1
+        inside = folder.removeprefix("file:")
+        assert os.path.isdir(inside)
+    assert not os.path.exists(inside)
+    with pytest.raises(OSError), handover_folder(spark) as folder:
+        handed_over(df, "x", folder=folder)
+        raise OSError("lost")
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert sweep_handovers(spark) == []  # nothing is old enough
+
+
+def test_reruns_do_not_add_up_on_disk(spark, scratch):
+    out = f"{scratch}/out"
+    counts = []
+    for _ in range(3):
+        build(spark, _two_quarters(spark), out, register=False)
+        sweep(spark, out, keep=1, grace_hours=0)
+        counts.append(len(_files(out)))
+    assert counts[0] == counts[1] == counts[2] > 0
+
+
+def test_publish_copies_only_what_changed(spark, scratch):
+    out, rep = f"{scratch}/out", f"{scratch}/rep"
+    tables = _two_quarters(spark)
+    build(spark, tables, out, register=False)
+    first = publish_outputs(spark, out, rep)
+    files, number = _files(rep), latest(spark, rep)[0]
+    assert number == 1  # one switch for the three tables
+    assert publish_outputs(spark, out, rep) == first
+    assert _files(rep) == files and latest(spark, rep)[0] == number
+    build(spark, tables.replace(quarters=spark.createDataFrame([(Q, "Yes", QDATE), (LATER, "No", QDATE)], tables.quarters.schema)), out, register=False)
+    publish_outputs(spark, out, rep)
+    added = set(_files(rep)) - set(files)
+    assert added and all(f"quarter={LATER}" in name for name in added)
+    for name in first:
+        assert _bag(_stored(spark, rep, name)) == _bag(_stored(spark, out, name))
+    # a quarter that someone wrote into the reporting copy is the source's again after the next publish
+    key, schema = OUTPUTS["population"]
+    write_replacing(spark, _stored(spark, rep, "population").where(f"{key} = '{Q}'").limit(0), f"{rep}/population", key, [Q], schema)
+    publish_outputs(spark, out, rep)
+    assert _bag(_stored(spark, rep, "population")) == _bag(_stored(spark, out, "population"))
+
+
+def test_history_under_the_present_names_is_not_read(spark, scratch):
+    out = f"{scratch}/out"
+    tables = _two_quarters(spark)
+    build(spark, tables, out, register=False)
+    only_later = tables.replace(quarters=spark.createDataFrame([(Q, "Yes", QDATE), (LATER, "No", QDATE)], tables.quarters.schema))
+    # a quarter from before the rules is looked at once, and written anew if it has an old name
+    for name in ("summary_table_1", "summary_table_2"):
+        key, schema = OUTPUTS[name]
+        rows = _stored(spark, out, name).where(f"{key} = '{Q}'")
+        old = rows.replace({Q: "2019q3"}, subset=[key]).replace({"Test FM": "1Xtra from the BBC"}, subset=["station"])
+        write_replacing(spark, old.unionByName(rows.replace({Q: "2019q4"}, subset=[key])), f"{out}/{name}", key, [], schema)
+    build(spark, only_later, out, register=False)
+    parts = latest(spark, out)[1].tables["summary_table_1"]
+    assert {q: p.rules for q, p in parts.items()} == dict.fromkeys(["2019q3", "2019q4", Q, LATER], RULES)
+    assert parts["2019q3"].run == parts[LATER].run != parts["2019q4"].run
+    assert {r.station for r in _stored(spark, out, "summary_table_1").where("quarter = '2019q3'").collect()} == {"BBC Radio 1Xtra"}
+    # no file of the history is opened any more: this build runs although they can't be read
+    for name in ("summary_table_1", "summary_table_2"):
+        for file in _files(f"{out}/{name}"):
+            if f"quarter={LATER}" not in file:
+                with open(file, "wb") as damaged:
+                    damaged.write(b"damaged")
+    build(spark, only_later, out, register=False)
+    with pytest.raises(Exception):
+        _bag(_stored(spark, out, "summary_table_1"))
+
+
+def test_a_quarter_replaced_meanwhile_is_not_taken_back_to_its_renamed_rows(spark, scratch, monkeypatch):
+    out, real = f"{scratch}/out", jobs._released
+    tables = _two_quarters(spark)
+    build(spark, tables, out, register=False)
+    key, schema = OUTPUTS["summary_table_1"]
+    rows = _stored(spark, out, "summary_table_1").where(f"{key} = '{Q}'").replace({Q: "2019q3"}, subset=[key])
+    old = rows.replace({"Test FM": "1Xtra from the BBC"}, subset=["station"])
+    write_replacing(spark, old, f"{out}/summary_table_1", key, [], schema)
+
+    def meanwhile(*args):
+        write_replacing(spark, rows, f"{out}/summary_table_1", key, [], schema)
+        return real(*args)
+
+    monkeypatch.setattr(jobs, "_released", meanwhile)
+    build(spark, tables, out, register=False)
+    assert {r.station for r in _stored(spark, out, "summary_table_1").where("quarter = '2019q3'").collect()} == {"Test FM"}
+
+
+def test_quarters_come_from_the_listing(spark, scratch):
+    tables = survey_fixture(spark, "/root/testdata/sf0.001")
+    write_survey_tables(tables, f"{scratch}/in", files_per_quarter=1)
+    stored = read_survey_tables(spark, f"{scratch}/in")
+    want = sorted(r[0] for r in tables.weights.select("file_quarter").distinct().collect())
+    assert listed_quarters(stored.weights) == want == listed_quarters(tables.weights)
+    assert spark.conf.get("spark.sql.optimizer.metadataOnly", "false") == "false"
+    # the weights' files needn't even be readable
+    for file in _files(f"{scratch}/in/weights"):
+        with open(file, "wb") as damaged:
+            damaged.write(b"damaged")
+    assert listed_quarters(stored.weights) == want
+
+
+def test_a_backfill_goes_on_where_it_failed(spark, scratch, monkeypatch):
+    tables = _two_quarters(spark)
+    third = "2020q3"
+    more = world(spark, replist=[report(quarter=third)], tsa=[(third, 1, 1)], postal=[(third, 100, 1)], quarters=[(third, "Yes", QDATE)])
+    union = {n: getattr(tables, n).unionByName(getattr(more, n)) for n in ("replist", "tsa", "postal_sector")}
+    tables = tables.replace(**union, quarters=spark.createDataFrame([(Q, "Yes", QDATE), (LATER, "Yes", QDATE), (third, "Yes", QDATE)], tables.quarters.schema))
+    build(spark, tables, f"{scratch}/whole", mode="not_pending", register=False)
+
+    out, real, loads = f"{scratch}/out", jobs._load, []
+
+    def fails_third(*args):
+        loads.append(args[3])
+        if len(loads) == 3:
+            raise OSError("lost")
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_load", fails_third)
+        with pytest.raises(OSError):
+            backfill(spark, tables, out, step=1)
+    assert loads == [[Q], [LATER], [third]] and latest(spark, out)[1].done == {"backfill": [Q, LATER]}
+
+    loads.clear()
+    monkeypatch.setattr(jobs, "_load", lambda *args: loads.append(args[3]) or real(*args))
+    result = backfill(spark, tables, out, step=1)
+    assert loads == [[third]] and result.report_quarters == [third] and latest(spark, out)[1].done == {}
+    for name in OUTPUTS:
+        assert _bag(_stored(spark, out, name)) == _bag(_stored(spark, f"{scratch}/whole", name))
+    assert backfill(spark, tables.replace(quarters=spark.createDataFrame([(q, "No", QDATE) for q in (Q, LATER, third)], tables.quarters.schema)), out).report_quarters == []

@@ -8,6 +8,7 @@ import pytest
 
 from waveband.operators import read_table, write_replacing, writes
 from waveband.schemas import _struct, I, S
+from waveband.sources.releases import Folder
 
 SCHEMA = _struct(("v", I), ("quarter", S))
 
@@ -50,11 +51,11 @@ def test_reader_during_the_switch_and_failure_before_it(spark, scratch, monkeypa
     seen = []
 
     def failing(*_):
-        seen.append(_rows(spark, path))  # the new rows are written, the index isn't switched yet
+        seen.append(_rows(spark, path))  # the new rows are written, no release names them yet
         raise OSError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(writes, "_add_version", failing)
+        m.setattr(writes, "commit", failing)
         with pytest.raises(OSError):
             write_replacing(spark, _table(spark, [(9, "2020q2")]), path, "quarter", [], SCHEMA)
     assert seen == [[("2020q1", 1), ("2020q2", 2)]] == [_rows(spark, path)]
@@ -63,21 +64,28 @@ def test_reader_during_the_switch_and_failure_before_it(spark, scratch, monkeypa
     assert sorted(r.v for r in before.collect()) == [1, 2]  # a reader that began before still reads the old files
 
 
-def test_one_version_is_written_once(spark, scratch):
+def test_one_release_is_taken_once(spark, scratch):
     path = f"{scratch}/t"
     write_replacing(spark, _table(spark, [(1, "2020q1")]), path, "quarter", [], SCHEMA)
-    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
-        writes._add_version(spark, path, 1, [("2020q1", "other")])
+    folder = Folder(spark, scratch)
+    assert not folder.taken("{}", "_releases", "0000000001.json")
+    assert not folder._renamed("{}", "_releases", "_attempt-x", "0000000001.json")
+    assert os.listdir(f"{scratch}/_releases") == ["0000000001.json"]
     assert _rows(spark, path) == [("2020q1", 1)]
 
 
-def test_damaged_index_is_an_error(spark, scratch):
+def test_damaged_release_is_an_error(spark, scratch):
     path = f"{scratch}/t"
     write_replacing(spark, _table(spark, [(1, "2020q1")]), path, "quarter", [], SCHEMA)
-    folder = f"{path}/current/version=1"
-    for name in os.listdir(folder):
-        if name.endswith(".parquet"):
-            with open(f"{folder}/{name}", "wb") as file:
-                file.write(b"damaged")
-    with pytest.raises(Exception):
+    with open(f"{scratch}/_releases/0000000001.json", "w") as file:
+        file.write("damaged")
+    with pytest.raises(ValueError):
         _rows(spark, path)
+
+
+@pytest.mark.parametrize("quarter", [None, "a/b", "a%b"])
+def test_a_quarter_that_cannot_name_a_folder_is_an_error(spark, scratch, quarter):
+    path = f"{scratch}/t"
+    with pytest.raises(ValueError, match="name a folder"):
+        write_replacing(spark, _table(spark, [(1, quarter)]), path, "quarter", [], SCHEMA)
+    assert _rows(spark, path) == []

@@ -16,6 +16,21 @@ from waveband.schemas import QUARTERS
 LOADED, NOT_LOADED = "Yes", "No"
 
 
+def listed_quarters(stored: DataFrame) -> list[str]:
+    """The quarters of a table, sorted. Of one that is stored by quarter they are the names of its folders; no data file is opened.
+
+    A folder without any row would count; no Spark job writes one.
+    """
+    spark, setting = stored.sparkSession, "spark.sql.optimizer.metadataOnly"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        found = stored.select("file_quarter").distinct().collect()
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+    return sorted(r[0] for r in found if r[0] is not None)
+
+
 def register_next_quarter(weights: DataFrame, dates: DataFrame, control: DataFrame) -> DataFrame:
     """The earliest quarter that has weights and a calendar entry but no control row.
 
@@ -23,7 +38,8 @@ def register_next_quarter(weights: DataFrame, dates: DataFrame, control: DataFra
     ``quarter_date`` is the quarter's first week. The weights are reduced to
     their distinct quarters before any join (a partial aggregate, so the raw
     weights are never shuffled); NULL weights count, as in the original.
-    Ties on the date are broken by the quarter name.
+    Ties on the date are broken by the quarter name. The build passes the
+    weights' quarters alone, from :func:`listed_quarters`.
     """
     quarters = weights.select("file_quarter").distinct()
     known = control.select("file_quarter").distinct()

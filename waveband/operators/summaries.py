@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from waveband.functions.expressions import (
     ANY_DIGITAL,
     DIGITAL_PLATFORMS,
+    STATION_RELABELS,
     age_band,
     case,
     platform_label,
@@ -238,8 +239,8 @@ def relabel_stations(df: DataFrame, column: str = "station") -> DataFrame:
 
 
 def old_names(df: DataFrame, column: str = "station") -> DataFrame:
-    """The rows whose station still has an old name."""
-    return df.where(relabel_station(column) != F.col(column))
+    """The rows whose station still has an old name; a list of names, so that files without them are skipped by their statistics."""
+    return df.where(F.col(column).isin([old for old, new in STATION_RELABELS if old != new]))
 
 
 def relabel_history(stored: DataFrame, new: DataFrame, touched: DataFrame, key: str = "quarter") -> DataFrame:

@@ -7,11 +7,10 @@ inserts the new rows. Two forms are provided:
   DataFrame (anti-join on the touched keys plus union). Exact, including NULL
   keys: a NULL quarter never matches ``IN``, so NULL-keyed target rows survive.
 * :func:`write_replacing` - the same on storage. Files are never changed: each
-  write puts its rows in a folder of its own (``data/run=…/<key>=…``), and then
-  adds one small version of the table's index (``current/version=n``), which says
-  for each quarter which run holds it. The index version is one file that appears
-  when its job commits, so a reader sees the table before or after, never between,
-  and a write that fails before leaves the table as it was. Work is in proportion
+  write puts its rows in a folder of its own (``data/run=…/<key>=…``), and a
+  release of the folder of tables (:mod:`waveband.sources.releases`) then says for
+  each quarter which run holds it. A reader sees the table before or after, never
+  between, and a write that fails leaves the table as it was. Work is in proportion
   to the touched quarters, not to the table's history.
 """
 
@@ -25,11 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waveband.sources.stored import read_if_there
+from waveband.sources.releases import Folder, Part, Release, commit, latest
 
-INDEX = T.StructType([
-    T.StructField("value", T.StringType()), T.StructField("run", T.StringType()), T.StructField("version", T.IntegerType()),
-])
 # characters Spark escapes in partition directory names
 _UNSAFE = re.compile(r"[\"#%'*/:=?\\\x00-\x1f\x7f{}\[\]^]")
 
@@ -49,52 +45,52 @@ def publish(src: DataFrame, dst: DataFrame, key: str) -> DataFrame:
     return replace_partitions(dst, src, key, src)
 
 
-def _index(spark: SparkSession, path: str) -> tuple[int, list[tuple[str, str]]]:
-    """The table's version (0: no table) and, for each quarter, the run that holds it."""
-    stored = read_if_there(spark, INDEX, f"{path}/current")
-    version = None if stored is None else stored.agg(F.max("version")).collect()[0][0]
-    if version is None:
-        return 0, []
-    rows = stored.where(F.col("version") == version).where("run IS NOT NULL").collect()
-    return version, sorted((r["value"], r["run"]) for r in rows)
+def split(path: str) -> tuple[str, str]:
+    """The folder of tables and the table's name."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return root, name
 
 
-def _add_version(spark: SparkSession, path: str, version: int, entries: list[tuple[str, str]]) -> None:
-    """Switch to a new index version; it is an error if another writer has added that version."""
-    rows = [(value, run) for value, run in entries] or [(None, None)]
-    index = spark.createDataFrame(rows, "value string, run string")
-    index.coalesce(1).write.mode("errorifexists").parquet(f"{path}/current/version={version}")
+def write_rows(spark: SparkSession, new: DataFrame, path: str, key: str, schema: T.StructType,
+               rebalance: bool = True) -> tuple[str, list[str]]:
+    """Write rows that no release names yet; returns their run and quarters.
 
-
-def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, touched: Iterable[str],
-                    schema: T.StructType) -> None:
-    """Replace the touched quarters of the table at ``path`` with ``new``.
-
-    ``new`` must hold only touched, non-NULL keys (the build scopes every table
-    with ``IN``, which never yields a NULL quarter). Rows are rebalanced by the
-    key, so that files have the advisory partition size: large quarters are split,
-    small ones share a task.
+    ``new`` must hold non-NULL keys only (the build scopes every table with ``IN``, which never yields
+    a NULL quarter). Rows are rebalanced by the key, so that files have the advisory partition size:
+    large quarters are split, small ones share a task; without that, each task writes a file for each of its quarters.
     """
-    path, run = path.rstrip("/"), uuid.uuid4().hex
-    data = f"{path}/data/run={run}"
-    version, entries = _index(spark, path)
-    new.select(*schema.fieldNames()).hint("rebalance", key).write.partitionBy(key).parquet(data)
-    written = spark.read.schema(schema).parquet(data).select(key).distinct().collect()
-    values = sorted(r[0] for r in written)
+    run = uuid.uuid4().hex
+    data = f"{path.rstrip('/')}/data/run={run}"
+    rows = new.select(*schema.fieldNames())
+    (rows.hint("rebalance", key) if rebalance else rows).write.partitionBy(key).parquet(data)
+    values = sorted(name.partition("=")[2] for name in Folder(spark, data).names() if name.startswith(f"{key}="))
     for value in values:
-        if value is None or _UNSAFE.search(value):
+        if value == "__HIVE_DEFAULT_PARTITION__" or _UNSAFE.search(value):
             raise ValueError(f"a quarter that can't name a folder: {value!r}")
+    return run, values
+
+
+def write_replacing(spark: SparkSession, new: DataFrame, path: str, key: str, touched: Iterable[str],
+                    schema: T.StructType) -> None:
+    """Replace the touched quarters of the table at ``path`` with ``new``, which must hold only such (see :func:`write_rows`)."""
+    run, values = write_rows(spark, new, path, key, schema)
+    root, name = split(path)
     gone = {v for v in touched if v is not None} | set(values)
-    kept = [(value, of) for value, of in entries if value not in gone]
-    _add_version(spark, path, version + 1, sorted(kept + [(value, run) for value in values]))
+    commit(spark, root, lambda release: release.replaced(name, gone, {v: Part(run) for v in values}))
 
 
-def read_table(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
-    """A table written by :func:`write_replacing` in its published column order; empty if there is none."""
-    path = path.rstrip("/")
-    _, entries = _index(spark, path)
-    if not entries:
+def read_parts(spark: SparkSession, path: str, key: str, schema: T.StructType, parts: dict[str, Part]) -> DataFrame:
+    """The rows of the given parts of a table, in its published column order."""
+    if not parts:
         return spark.createDataFrame([], schema)
-    folders = [f"{path}/data/run={run}/{key}={value}" for value, run in entries]
+    path = path.rstrip("/")
+    folders = [f"{path}/data/run={part.run}/{key}={value}" for value, part in sorted(parts.items())]
     stored = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders)
     return stored.select(*schema.fieldNames())
+
+
+def read_table(spark: SparkSession, path: str, key: str, schema: T.StructType, release: Release | None = None) -> DataFrame:
+    """A table of the folder's last release, or of the given one; empty if there is none."""
+    root, name = split(path)
+    release = latest(spark, root)[1] if release is None else release
+    return read_parts(spark, path, key, schema, release.tables.get(name, {}))

@@ -1,51 +1,46 @@
-"""The quarterly build job and the release-day publish job.
+"""The quarterly build job, the backfill in steps, and the release-day publish job.
 
 Order of work (all outputs are replace-by-quarter, so a rerun after a failure
 gives the same end state):
 
-1. register the next quarter that has weights (one row, appended to the
-   control table snapshot);
-2. snapshot the pending quarters once; every stage is scoped by that list;
+1. register the next quarter that has weights (one row; the quarters come from the
+   listing of the weights' folders);
+2. snapshot the control table once; every stage is scoped by its pending quarters;
 3. hand over the person side, the station metadata and the enriched diary rows
    (reduced to distinct rows with a repeat count in the same stage) as Parquet
    in the folder named by ``spark.checkpoint.dir`` (shared storage on a cluster).
    This cuts the lineage behind the large shuffle, and each later step reads only
-   its own columns;
+   its own columns; the folder goes when the job ends;
 4. the listening facts are the stored rows without the count and feed the
    three summaries; the sessions re-expand the count, so repeated diary rows stay
    repeated;
 5. check the strict rule (one staged quarter) before anything is written;
-6. write the four outputs, replacing the touched quarters; earlier quarters of the
-   two summaries in which a station still has an old name are rewritten with them;
-7. flip the control flag **last** (the original flips it before loading; doing
-   it last means a failed run leaves the quarter pending, not "loaded but
-   empty").
+6. write the rows of the four outputs, for the touched quarters; earlier quarters of the
+   two summaries in which a station still has an old name are written anew with them;
+7. one release switches the four outputs and the control flags together (the original
+   flips the flag before loading; here a run that fails leaves the quarter
+   pending and the outputs as they were, not "loaded but empty").
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from waveband.operators import (
-    append_quarter,
-    counted_facts,
-    mark_loaded,
-    read_table,
-    register_next_quarter,
-    relabel_stations,
-    write_replacing,
-)
-from waveband.operators.control import check_single_quarter
+
+from waveband.functions import STATION_RELABELS
+from waveband.operators import append_quarter, counted_facts, mark_loaded, register_next_quarter, relabel_stations
+from waveband.operators.control import check_single_quarter, listed_quarters
 from waveband.operators.summaries import old_names
+from waveband.operators.writes import read_parts, split, write_rows
 from waveband.plans.stages import Run
 from waveband.schemas import POPULATION, QUARTERS, SESSIONS, SUMMARY_1, SUMMARY_2
-from waveband.session import ensure_checkpoint_dir
-from waveband.sources.stored import handed_over, read_if_there
+from waveband.sources.releases import Part, Release, commit, latest
+from waveband.sources.stored import handed_over, handover_folder
 from waveband.sources.tables import SurveyTables
 
 # output table -> (partition key, columns in published order)
@@ -57,6 +52,8 @@ OUTPUTS = {
 }
 # the outputs whose stations are renamed, over the whole table
 RELABELLED = ("summary_table_1", "summary_table_2")
+# names the rules of renaming; a quarter written under them has no old name
+RULES = hashlib.sha256(repr(sorted(STATION_RELABELS)).encode()).hexdigest()[:12]
 # tables copied to the reporting area on release day
 PUBLISHED = ["summary_table_1", "summary_table_2", "population"]
 
@@ -87,74 +84,79 @@ def _distinct_keys(df: DataFrame, column: str) -> list[str]:
     return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
-# ---- control table storage: versions that are only ever added ------------------
+# ---- the control table: rows of a release -----------------------------------------
+
+ControlRows = list[list]  # [file_quarter, in_data, quarter_date as text or None]
+
+
+def _rows(control: DataFrame) -> ControlRows:
+    """The control table (one row for each survey quarter) as a release holds it."""
+    found = control.select(*QUARTERS.fieldNames()).coalesce(1).collect()
+    return sorted(([r[0], r[1], r[2] and r[2].isoformat()] for r in found), key=lambda r: [(v is not None, v or "") for v in r])
 
-_VERSIONED = T.StructType([*QUARTERS.fields, T.StructField("version", T.IntegerType())])
+
+def _frame(spark: SparkSession, rows: ControlRows) -> DataFrame:
+    return spark.createDataFrame([(q, flag, day and dt.date.fromisoformat(day)) for q, flag, day in rows], QUARTERS)
 
 
 def control_version(spark: SparkSession, path: str) -> int:
-    """The latest version of the control table at ``path``, 0 if there is none; a damaged table is an error."""
-    stored = read_if_there(spark, _VERSIONED, path)
-    return 0 if stored is None else stored.agg(F.max("version")).collect()[0][0] or 0
+    """The release that the control table at ``path`` is read from, 0 if there is no such table."""
+    root, name = split(path)
+    number, release = latest(spark, root)
+    return number if name in release.control else 0
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame | None:
-    """Latest version of the control table stored at ``path`` (None if there is none)."""
-    version = control_version(spark, path)
-    if not version:
-        return None
-    stored = spark.read.schema(_VERSIONED).parquet(path)
-    return stored.filter(F.col("version") == version).select(*QUARTERS.fieldNames())
+    """The control table at ``path`` as of the last release (None if there is none)."""
+    root, name = split(path)
+    rows = latest(spark, root)[1].control.get(name)
+    return None if rows is None else _frame(spark, rows)
 
 
 def write_control(spark: SparkSession, control: DataFrame, path: str) -> int:
-    """Add the control table as a new version, which must not exist; readers see it once the write commits."""
-    version = control_version(spark, path) + 1
-    control.select(*QUARTERS.fieldNames()).coalesce(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
-    return version
+    """Make ``control`` the control table at ``path``; returns the release that has it."""
+    root, name = split(path)
+    rows = _rows(control)
+    return commit(spark, root, lambda release: release.control.__setitem__(name, rows))
+
+
+def _merged(stored: ControlRows | None, before: ControlRows, after: ControlRows) -> ControlRows:
+    """What a run changed (from ``before`` to ``after``), made on the stored rows, which another run may have changed meanwhile."""
+    if stored is None:
+        return after
+    of = lambda rows, q: [r for r in rows if r[0] == q]
+    changed = {q for q in {r[0] for r in after} if of(before, q) != of(after, q) or not of(stored, q)}
+    return [r for r in stored if r[0] not in changed] + [r for r in after if r[0] in changed]
 
 
 # ---- the jobs ------------------------------------------------------------------
 
-def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str = "pending",
-          register: bool = True, strict: bool = False, control_path: str | None = None) -> BuildResult:
-    """Run the quarterly build over ``tables`` and write the outputs under ``out_root``.
+@dataclass
+class _Loaded:
+    """What a load has written, not yet named by a release."""
 
-    ``tables.quarters`` is the control table as it is now; the updated one is
-    written as a new version to ``control_path`` (default ``out_root/quarters``).
-    """
-    ensure_checkpoint_dir(spark)
-    control_path = control_path or f"{out_root}/quarters"
-    control = tables.quarters.select(*QUARTERS.fieldNames())
+    summary_quarters: list[str]
+    report_quarters: list[str]
+    control: ControlRows
+    changes: list[Callable[[Release], None]]
 
-    registered: list[str] = []
-    if register:
-        with _step(spark, "register"):
-            new_rows = register_next_quarter(tables.weights, tables.date_lookup, control).collect()  # one at most
-            if new_rows:
-                registered = [r["file_quarter"] for r in new_rows]
-                control = append_quarter(control, spark.createDataFrame(new_rows, QUARTERS))
 
-    # The control table is read once; every later step sees this state, whatever
-    # happens to the stored table.
-    with _step(spark, "snapshot control"):
-        control = handed_over(control, "control")
-        pending = _distinct_keys(control.where("in_data = 'No'"), "file_quarter")
-    run = Run(tables.replace(quarters=control), pending, mode)
-    if mode == "pending" and not pending:
-        # nothing registered and not loaded: the outputs stay as they are
-        version = write_control(spark, control, control_path)
-        return BuildResult(registered, pending, [], [], version, {})
+def _load(spark: SparkSession, tables: SurveyTables, control: ControlRows, quarters: list[str], mode: str, out_root: str,
+          strict: bool, work: str) -> _Loaded:
+    """Write the rows of the four outputs for the quarters in scope."""
+    frame = _frame(spark, control)
+    run = Run(tables.replace(quarters=frame), quarters, mode)
     if strict:
         with _step(spark, "strict check"):
             check_single_quarter(run.reports)
 
     with _step(spark, "hand over people and stations"):
-        people, metadata = handed_over(run.people, "people"), handed_over(run.metadata, "metadata")
-    run = Run(run.tables, pending, mode, metadata_override=metadata, people_override=people)
+        people, metadata = handed_over(run.people, "people", folder=work), handed_over(run.metadata, "metadata", folder=work)
+    run = Run(run.tables, quarters, mode, metadata_override=metadata, people_override=people)
     with _step(spark, "enrich and hand over facts"):
-        counted = handed_over(counted_facts(run.base), "facts", "file_quarter")
-    run = Run(run.tables, pending, mode, metadata_override=metadata, people_override=people, counted_override=counted)
+        # every later step reads all of the run's quarters, so a file for each task will do
+        counted = handed_over(counted_facts(run.base), "facts", folder=work)
+    run = Run(run.tables, quarters, mode, metadata_override=metadata, people_override=people, counted_override=counted)
 
     with _step(spark, "touched quarters"):
         summary_quarters = _distinct_keys(counted, "file_quarter")
@@ -165,45 +167,158 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
         "second_summary": (run.sessions, report_quarters),
         "population": (run.population, report_quarters),
     }
-    outputs = {}
+    release = latest(spark, out_root)[1]
+    changes: list[Callable[[Release], None]] = []
     for name, (df, touched) in results.items():
-        key, schema = OUTPUTS[name]
-        path = f"{out_root}/{name}"
         with _step(spark, f"write {name}"):
-            if name in RELABELLED:
-                df, touched = _with_relabelled_history(spark, df, path, key, schema, touched)
-            write_replacing(spark, df, path, key, touched, schema)
-        outputs[name] = path
-
+            changes.append(_written(spark, df, out_root, name, touched, release))
     with _step(spark, "mark loaded"):
-        version = write_control(spark, mark_loaded(control, run.reports), control_path)
-    return BuildResult(registered, pending, summary_quarters, report_quarters, version, outputs)
+        after = _rows(mark_loaded(frame, run.reports))
+    return _Loaded(summary_quarters, report_quarters, after, changes)
 
 
-def _with_relabelled_history(spark: SparkSession, new: DataFrame, path: str, key: str, schema: T.StructType,
-                             touched: list[str]) -> tuple[DataFrame, list[str]]:
-    """The new rows and those of untouched quarters that hold an old station name, renamed; all quarters to replace."""
-    history = read_table(spark, path, key, schema)
-    history = history.where(~F.col(key).isin(touched)) if touched else history
-    stale = _distinct_keys(old_names(history), key)
-    if not stale:
-        return new, touched
-    renamed = relabel_stations(history.where(F.col(key).isin(stale)))
-    return new.select(*schema.fieldNames()).unionByName(renamed), [*touched, *stale]
+def _written(spark: SparkSession, new: DataFrame, out_root: str, name: str, touched: list[str],
+             release: Release) -> Callable[[Release], None]:
+    """Write an output's rows; returns the change that names them.
+
+    Earlier quarters whose rows follow other rules of names are looked through for old names, by a filter that
+    Parquet's statistics serve; those that have one are written anew. All of them follow the rules then, so the next run
+    doesn't look at them again. A quarter that another run has replaced meanwhile is left as that run wrote it.
+    """
+    key, schema = OUTPUTS[name]
+    path, rules = f"{out_root}/{name}", RULES if name in RELABELLED else ""
+    earlier = {q: p for q, p in release.tables.get(name, {}).items() if q not in touched and p.rules != rules}
+    stale: dict[str, Part] = {}
+    if earlier:
+        found = _distinct_keys(old_names(read_parts(spark, path, key, schema, earlier)), key)
+        stale = {q: earlier[q] for q in found}
+    if stale:
+        renamed = relabel_stations(read_parts(spark, path, key, schema, stale))
+        new = new.select(*schema.fieldNames()).unionByName(renamed)
+    run, values = write_rows(spark, new, path, key, schema)
+    parts = {q: Part(run, rules=rules) for q in values}
+    gone = {q for q in [*touched, *values] if q not in stale}
+
+    def change(now: Release) -> None:
+        now.replaced(name, gone, {q: p for q, p in parts.items() if q not in stale})
+        for q, before in earlier.items():
+            if now.tables[name].get(q) == before:
+                now.tables[name][q] = parts[q] if q in stale else Part(before.run, before.of, rules)
+
+    return change
+
+
+def _released(spark: SparkSession, out_root: str, control_path: str, before: ControlRows, after: ControlRows,
+              changes: list[Callable[[Release], None]]) -> int:
+    """One release for the outputs and the control table; two, the control table's last, if that is kept elsewhere."""
+    root, name = split(control_path)
+
+    def outputs(release: Release) -> None:
+        for change in changes:
+            change(release)
+
+    def flags(release: Release) -> None:
+        release.control[name] = _merged(release.control.get(name), before, after)
+
+    if root == out_root.rstrip("/"):
+        return commit(spark, root, lambda release: (outputs(release), flags(release)))
+    if changes:
+        commit(spark, out_root, outputs)
+    return commit(spark, root, flags)
+
+
+def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str = "pending",
+          register: bool = True, strict: bool = False, control_path: str | None = None) -> BuildResult:
+    """Run the quarterly build over ``tables`` and write the outputs under ``out_root``.
+
+    ``tables.quarters`` is the control table as it is now; what the run changes in it is kept
+    in the release of ``control_path`` (default ``out_root/quarters``).
+    """
+    control_path = control_path or f"{out_root}/quarters"
+    registered: list[str] = []
+    control = tables.quarters.select(*QUARTERS.fieldNames())
+    with _step(spark, "snapshot control"):
+        before = _rows(control)
+    after = before
+    if register:
+        with _step(spark, "register"):
+            weighted = spark.createDataFrame([(q,) for q in listed_quarters(tables.weights)], "file_quarter string")
+            new_rows = register_next_quarter(weighted, tables.date_lookup, _frame(spark, before)).collect()  # one at most
+        if new_rows:
+            registered = [r["file_quarter"] for r in new_rows]
+            after = _rows(append_quarter(_frame(spark, before), spark.createDataFrame(new_rows, QUARTERS)))
+
+    # The control table is read once; every later step sees this state, whatever
+    # happens to the stored table.
+    pending = sorted({q for q, flag, _ in after if flag == "No" and q is not None})
+    if mode == "pending" and not pending:
+        # nothing registered and not loaded: the outputs stay as they are
+        version = _released(spark, out_root, control_path, before, after, [])
+        return BuildResult(registered, pending, [], [], version, {})
+    with handover_folder(spark) as work:
+        loaded = _load(spark, tables, after, pending, mode, out_root, strict, work)
+        with _step(spark, "release"):
+            version = _released(spark, out_root, control_path, before, loaded.control, loaded.changes)
+    outputs = {name: f"{out_root}/{name}" for name in OUTPUTS}
+    return BuildResult(registered, pending, loaded.summary_quarters, loaded.report_quarters, version, outputs)
+
+
+def backfill(spark: SparkSession, tables: SurveyTables, out_root: str, step: int = 4, name: str = "backfill",
+             control_path: str | None = None) -> BuildResult:
+    """Reload every quarter that isn't pending, ``step`` quarters at a time, each with a release of its own.
+
+    A release remembers the quarters that are done, under ``name``, until all are; so a backfill that
+    failed goes on, when it is run again, with those that are not. The end state is that of
+    ``build(mode="not_pending")``.
+    """
+    control_path = control_path or f"{out_root}/quarters"
+    rows = _rows(tables.quarters)
+    pending = {q for q, flag, _ in rows if flag == "No"}
+    with _step(spark, "list quarters"):
+        there = {q for t in (tables.replist, tables.listening, tables.weights) for q in listed_quarters(t)}
+    done = set(latest(spark, out_root)[1].done.get(name, []))
+    left = sorted(there - pending - done)
+    summary_quarters: list[str] = []
+    report_quarters: list[str] = []
+    version = latest(spark, out_root)[0]
+    for at in range(0, len(left), step):
+        quarters = left[at : at + step]
+        with handover_folder(spark) as work:
+            loaded = _load(spark, tables, rows, quarters, "pending", out_root, False, work)
+
+            def ledger(release: Release, quarters=quarters) -> None:
+                release.done[name] = sorted({*release.done.get(name, []), *quarters})
+
+            version = _released(spark, out_root, control_path, rows, loaded.control, [*loaded.changes, ledger])
+        rows = loaded.control
+        summary_quarters += loaded.summary_quarters
+        report_quarters += loaded.report_quarters
+    if left or done:
+        version = commit(spark, out_root, lambda release: release.done.pop(name, None))
+    return BuildResult([], sorted(pending), summary_quarters, report_quarters, version, {n: f"{out_root}/{n}" for n in OUTPUTS})
 
 
 def publish_outputs(spark: SparkSession, src_root: str, dst_root: str,
                     tables: list[str] | None = None) -> dict[str, list[str]]:
-    """Release day: copy every row of the built tables to the reporting area.
+    """Release day: the built tables go to the reporting area, all in one release.
 
     For each table the reporting copy loses the quarters present in the source
-    and receives all source rows; quarters only in the reporting copy stay.
+    and receives all source rows; quarters only in the reporting copy stay. Quarters
+    whose rows are a copy of the source's present run are there already and aren't copied again.
     """
-    copied = {}
-    for name in tables or PUBLISHED:
+    src, dst = latest(spark, src_root)[1], latest(spark, dst_root)[1]
+    names = tables or PUBLISHED
+    copies: dict[str, dict[str, Part]] = {}
+    for name in names:
         key, schema = OUTPUTS[name]
-        src = read_table(spark, f"{src_root}/{name}", key, schema)
-        touched = _distinct_keys(src, key)
-        write_replacing(spark, src, f"{dst_root}/{name}", key, touched, schema)
-        copied[name] = touched
-    return copied
+        there = dst.tables.get(name, {})
+        changed = {q: p for q, p in src.tables.get(name, {}).items() if q not in there or there[q].of != p.run}
+        if changed:
+            with _step(spark, f"publish {name}"):
+                rows = read_parts(spark, f"{src_root}/{name}", key, schema, changed)
+                # the files have their size already
+                run, _ = write_rows(spark, rows, f"{dst_root}/{name}", key, schema, rebalance=False)
+            copies[name] = {q: Part(run, p.run, p.rules) for q, p in changed.items()}
+    if copies:
+        commit(spark, dst_root, lambda release: [release.replaced(name, set(parts), parts) for name, parts in copies.items()] and None)
+    return {name: sorted(src.tables.get(name, {})) for name in names}
