@@ -16,38 +16,36 @@ from waveband.llm.shared import fresh_name, written
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go from the texts, rejected documents go altogether."""
+    """Failing lines go from the texts, rejected documents go altogether, and with them null and empty texts; repeated rows are judged one by one."""
     return quality_rules.clean(docs)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays; of rows that repeat an id, one.
+    """Of linked rows the first by id and text's hash stays; near copies share 80 percent of their five-word shingles.
 
-    Rows without an id, which link with nothing, all stay.
+    Rows are linked by themselves, not by their ids: of rows that repeat an id those with other texts are rows of
+    their own, and equal ones are one. Empty and null texts link with nothing. Rows without an id all stay.
     """
-    own, group = "doc_id", fresh_name(docs, "group")
-    first = (
-        jaccard_join.join(docs.select("doc_id", "text"))
-        .where("doc_id = component_id").select(F.col("doc_id").alias(group)).distinct()
-    )
-    kept = docs.join(first, docs[own] == first[group], "left_semi")
-    row, order = F.struct(*(F.col(c) for c in docs.columns)), F.coalesce("text", F.lit(""))
-    one = kept.groupBy(own).agg(F.min_by(row, order).alias(group)).select(f"{group}.*")
-    return one.select(*docs.columns).unionByName(docs.where(F.col(own).isNull()))
+    key, first = fresh_name(docs, "key"), fresh_name(docs, "first")
+    keyed = docs.where("doc_id IS NOT NULL").withColumn(key, F.struct("doc_id", F.coalesce(F.sha2("text", 256), F.lit("")).alias("hash")))
+    joined = jaccard_join.join(keyed.select(F.col(key).alias("doc_id"), "text"), words=5, percent=80)
+    firsts = joined.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
+    kept = keyed.join(firsts, keyed[key] == F.col(first), "left_semi").dropDuplicates([key])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of the benchmark go from the texts; the documents stay."""
+    """Passages of the benchmark go from the texts; every row stays, null and empty texts and repeated rows too."""
     return decontamination.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts becomes its kind."""
+    """Personal data in the texts becomes its kind; every row stays, null texts as they are."""
     return personal_data.mask(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Counts and digests of the ids, and of the text that they decode to."""
+    """Counts and digests of the ids, and of the text that they decode to, for every row; null counts as the empty text."""
     return sentencepiece_coding.round_trip(docs)
 
 
