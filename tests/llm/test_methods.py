@@ -109,6 +109,29 @@ def test_pools_need_no_more_than_any_partner_can_give(spark, percent):
         assert {r[0]: r[1] for r in rows.selectExpr("n", jaccard_join._need(pool, percent)).collect()} == want
 
 
+@pytest.mark.parametrize(("words", "edits"), [(120, 5), (40, 3)])
+def test_pairs_of_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch, words, edits):
+    """Components that are paired, and nodes that are, stay a small multiple of the group's size, not of its square."""
+    seen = {}
+    for name in ("_groups", "_across"):
+        real = getattr(jaccard_join, name)
+        monkeypatch.setattr(jaccard_join, name, lambda *a, real=real, name=name: seen.setdefault(name, real(*a)))
+    made = {}
+    for many in (300, 1200):
+        draw, seen_now = random.Random(many), seen.clear()
+        base = [f"w{draw.randrange(5000)}" for _ in range(words)]
+        texts = []
+        for i in range(many):
+            own = list(base)
+            for _ in range(draw.randint(0, edits)):
+                own[draw.randrange(words)] = f"x{draw.randrange(10**9)}"
+            texts.append((i, " ".join(own)))
+        jaccard_join.join(spark.createDataFrame(texts, "doc_id long, text string").repartition(8)).count()
+        made[many] = seen["_groups"].count(), seen["_across"].count()
+        assert seen_now is None and made[many][0] <= 8 * many and made[many][1] <= 3 * many, made
+    assert made[1200][0] <= 6 * made[300][0] + 1000
+
+
 def test_jaccard_join_of_short_texts_that_share_a_passage(spark):
     pick = random.Random(2)
     new = lambda n: [f"w{pick.randrange(10**9)}" for _ in range(n)]

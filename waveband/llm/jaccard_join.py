@@ -10,8 +10,9 @@ among the first ``n - overlap + l`` of each. The steps:
 2. Tokens of one node only are dropped. A linked node shares pool tokens with its partner, at
    least as many as the two pools have in common for any size of the partner; nodes with fewer
    shared ones go. The full sets of the others are written once.
-3. Groups of near copies: each node is compared with up to three other nodes, those of smallest
-   (seeded) hash among the sharers of its first tokens. Verified links make first components,
+3. Groups of near copies: each node is compared with up to three other nodes, leading sharers of its
+   first tokens: those with the fewest pool tokens of their own, which are nearest to what the group has in
+   common, with two (seeded) hashes for ties, and one by hash alone. Verified links make first components,
    at a cost linear in a group's size. Only links between components are still wanted; nodes whose
    tokens are not shared between components go as in step 2, by twice as many tokens.
 4. The rest are ordered by cost (how many nodes have a token), then by hash, and a node's prefix is
@@ -21,7 +22,10 @@ among the first ``n - overlap + l`` of each. The steps:
    size only, as its partner is no smaller.
    Every set also has a sketch of :data:`SKETCH_WORDS` 64-bit words: the parity of its tokens' buckets.
    A token that only one of two sets has turns one bit, so the bits that differ are at most the
-   tokens that differ; pairs with more than a link allows are dropped inside the join, not after it.
+   tokens that differ. Tokens that no other component has differ too. Components are paired first, by
+   bounds over their nodes: least and largest size, fewest tokens of their own, and the bits that all, or
+   none, of their sketches have; what differs in those differs in every pair of their nodes.
+   Pairs with more than a link allows are dropped inside the join, not after it.
 5. Candidates are verified on the full sets; final components come from all links. There is no
    cap on a token's documents, on candidates or on partners.
 
@@ -50,7 +54,7 @@ from waveband.llm.shared import written
 
 #: bits of the sketch that tells which rows' full sets are needed; it only saves work
 SKETCH_BITS = 1 << 22
-SKETCH_WORDS = 8
+SKETCH_WORDS = 32
 STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
 #: SQL of what a set of n needs, for a percentage
 _OVERLAP = "((n * {0} + 99) div 100)"
@@ -139,7 +143,7 @@ def _pools(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
 
 
 def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataFrame) -> DataFrame:
-    """``(node, tokens, sketch)`` of the given nodes; a sketch of fixed size keeps most other rows out of the shuffle.
+    """``(node, tokens, sketch, own)`` of the given nodes ``(node, own)``; a bitmap of fixed size keeps most other rows out of the shuffle.
 
     The sketch has one bit for each value of a node's low bits, so it is at most SKETCH_BITS large for any input.
     """
@@ -162,7 +166,8 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
                 chosen = [sets[i] for i in taken]
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[taken].view(np.int64)), _lists(chosen), _lists(_parities(chosen))], names=schema.names)
 
-    return source.mapInArrow(run, schema).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
+    first = [F.first(c).alias(c) for c in ("tokens", "sketch")]
+    return source.mapInArrow(run, schema).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(*first).join(nodes, "node")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,43 +179,80 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _star_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links of each node with one leading sharer of its first tokens for each seed."""
-    first = sets.select("node", F.explode(F.slice("tokens", 1, STAR_TOKENS)).alias("token"))
-    leads = [F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"].alias(f"lead_{seed}") for seed in STAR_SEEDS]
+    """Verified links of each node with one leading sharer of its first tokens for each order of leading."""
+    first = sets.select("node", "own", F.explode(F.slice("tokens", 1, STAR_TOKENS)).alias("token"))
+    orders = {seed: [F.xxhash64("node", F.lit(seed)), "node"] for seed in STAR_SEEDS}
+    for seed in STAR_SEEDS[:2]:
+        orders[seed].insert(0, "own")
+    leads = [F.min(F.struct(*order))["node"].alias(f"lead_{seed}") for seed, order in orders.items()]
     led = first.join(first.groupBy("token").agg(*leads), "token")
     each = F.explode(F.array(*(F.struct(F.lit(seed).alias("seed"), F.col(f"lead_{seed}").alias("lead")) for seed in STAR_SEEDS)))
     counted = led.select("node", each.alias("x")).select("node", "x.*").where("node <> lead").groupBy("node", "seed", "lead").count()
     best = counted.groupBy("node", "seed").agg(F.max(F.struct("count", "lead"))["lead"].alias("lead"))
-    pairs = best.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-    return _verified(pairs, sets, percent)
+    # the lead, which many share, comes last, so that its rows meet it in a join that AQE can split
+    return _verified(best.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), sets, percent)
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """By sizes, order (the smaller set is a, ties by node) and sketches; true where a sketch is missing."""
-    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    differ = sum((F.bit_count(F.col(f"sketch_{a}")[i].bitwiseXOR(F.col(f"sketch_{b}")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    ordered = (n_a < n_b) | ((n_a == n_b) & (F.col(f"node_{a}") < F.col(f"node_{b}")))
-    near = (100 * n_a >= percent * n_b) & (differ * (100 + percent) <= (n_a + n_b) * (100 - percent))
-    return ordered & near
+def _bits(of) -> Column:
+    return sum((F.bit_count(of(i)) for i in range(SKETCH_WORDS)), F.lit(0))
 
 
-def _across(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Node pairs of different components that share a token and may link, once for each token; the smaller set is a.
+def _may_link(percent: int) -> Column:
+    """Whether a node of a and a larger one of b may link; each is a node, or a component by its bounds.
 
-    Components are paired first, so the nodes of one never meet; a component of one node is tested at once.
+    ``low`` and ``high`` are bounds of the sizes, ``own`` of the tokens that no other component has, ``some`` has the bits that
+    any node's sketch has, ``every`` (null: as ``some``) those that all have. Of equal sizes the one in the smaller component is a.
     """
-    columns = ("comp", "node", "n", "l", "sketch")
-    named = lambda rows, x: rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns))
-    smaller, larger = prefixes.where("short"), prefixes
-    one = F.col("members") == 1
-    entity = lambda rows, x: rows.select(
-        "token", F.col("comp").alias(f"comp_{x}"), *(F.when(one, F.col(c)).alias(f"{c}_{x}") for c in ("node", "n", "sketch"))).distinct()
-    pair = F.col("comp_a") != F.col("comp_b")
-    groups = entity(smaller, "a").join(entity(larger, "b"), "token").where(pair & F.coalesce(_may_link("a", "b", percent), F.lit(True)))
-    # the nodes of a's component, against b at once where that is one node
-    of_a = groups.drop("node_a", "n_a", "sketch_a").join(named(smaller, "a"), ["token", "comp_a"]).where(
-        F.coalesce(_may_link("a", "b", percent), F.lit(True)))
-    return of_a.drop("node_b", "n_b", "sketch_b").join(named(larger, "b"), ["token", "comp_b"]).where(_may_link("a", "b", percent))
+    c = F.col
+    ordered = (c("low_a") < c("high_b")) | ((c("low_a") == c("high_b")) & (c("comp_a") < c("comp_b")))
+    sizes = (100 * c("high_a") >= percent * c("low_b")) & (100 * c("high_b") >= percent * c("low_a"))
+    allowed = (c("high_a") + c("high_b")) * (100 - percent)
+    every = lambda x: F.coalesce(f"every_{x}", f"some_{x}")
+    without = lambda x, y, i: every(x)[i].bitwiseAND(F.bitwise_not(c(f"some_{y}")[i]))
+    differ = _bits(lambda i: without("a", "b", i)) + _bits(lambda i: without("b", "a", i))
+    return ordered & sizes & ((c("own_a") + c("own_b")) * (100 + percent) <= allowed) & (differ * (100 + percent) <= allowed)
+
+
+_BOUNDS = ("low", "high", "own", "some", "every")
+
+
+def _bounded(rows: DataFrame, by: str) -> DataFrame:
+    """Bounds over the nodes of each component."""
+    words = range(SKETCH_WORDS)
+    found = rows.groupBy(by).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("own").alias("own"), (F.min("node") < F.max("node")).alias("several"),
+        *(F.bit_or(F.col("sketch")[i]).alias(f"some_{i}") for i in words), *(F.bit_and(F.col("sketch")[i]).alias(f"every_{i}") for i in words))
+    return found.select(by, "low", "high", "own", F.array(*(f"some_{i}" for i in words)).alias("some"),
+                        F.when(F.col("several"), F.array(*(f"every_{i}" for i in words))).alias("every"))
+
+
+def _named(rows: DataFrame, x: str, *columns: str) -> DataFrame:
+    """Each of the columns with ``_x`` behind its name, and the bounds: a component's, or those that a node is for itself."""
+    itself = {"low": F.col("n"), "high": F.col("n"), "own": F.col("own"), "some": F.col("sketch"), "every": F.lit(None).cast("array<bigint>")}
+    bounds = {b: F.col(b) if b in rows.columns else itself[b] for b in _BOUNDS}
+    return rows.select(*(F.col(c).alias(f"{c}_{x}") for c in columns), *(of.alias(f"{b}_{x}") for b, of in bounds.items()))
+
+
+def _groups(prefixes: DataFrame, comps: DataFrame, may: Column) -> DataFrame:
+    """The pairs of components that share a prefix token and may link by their bounds, once for each token."""
+    of = lambda rows, x: _named(rows.select("token", "comp").distinct().join(comps, "comp"), x, "token", "comp")
+    smaller, larger = of(prefixes.where("short"), "a"), of(prefixes, "b")
+    return smaller.join(larger, F.col("token_a") == F.col("token_b")).where((F.col("comp_a") != F.col("comp_b")) & may).select("comp_a", "comp_b")
+
+
+def _across(prefixes: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Node pairs of different components that may link, each once; the smaller set is a.
+
+    Components are paired first, so the nodes of one never meet.
+    """
+    may = _may_link(percent)
+    comps = written(_bounded(nodes, "comp"), "comps")
+    groups = written(_groups(prefixes, comps, may).distinct(), "groups")
+    node = lambda x: _named(nodes, x, "node", "comp")
+    # the nodes of a's component against b's bounds, then those of b's
+    of_a = groups.join(_named(comps, "b", "comp"), "comp_b").join(node("a"), "comp_a").where(may)
+    pairs = of_a.select("comp_a", "comp_b", "node_a", *(f"{b}_a" for b in _BOUNDS)).join(node("b"), "comp_b").where(may)
+    return pairs.select("node_a", "node_b")
 
 
 def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[int, int]) -> DataFrame:
@@ -222,8 +264,7 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     able = written(placed.join(able, "node"), "able")
     tokens = able.select("node", "comp", F.explode("tokens").alias("token"))
     costs = tokens.groupBy("token").agg(F.count("*").alias("cost"), (F.min("comp") < F.max("comp")).alias("live"))
-    members = able.groupBy("comp").agg(F.count("*").alias("members"))
-    held = able.join(members, "comp").select("node", "comp", "n", "sketch", "members")
+    held = able.select("node", "comp")
     own, by_node = Window.partitionBy("node").orderBy("cost", "token"), Window.partitionBy("node")
     ordered = (
         tokens.select("node", "token").join(costs, "token").withColumn("pos", F.row_number().over(own) - 1)
@@ -235,9 +276,13 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     )
     # as the smaller of a pair, a set of n shares at least 2 * percent * n / (100 + percent)
     short = f"pos < n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + l"
-    prefixes = ordered.select("token", "node", "l", F.expr(short).alias("short")).join(held, "node")
-    pairs = _across(written(prefixes, "prefixes"), percent)
-    found = pairs.groupBy("node_a", "node_b").agg(F.count("*").alias("shared"), F.first(F.least("l_a", "l_b")).alias("l")).where("shared >= l")
+    prefixes = written(ordered.select("token", "node", "n", "l", (F.col("n") - F.col("n_live")).alias("own"), F.expr(short).alias("short")).join(held, "node"), "prefixes")
+    firsts = prefixes.groupBy("node").agg(F.collect_list("token").alias("prefix"), *(F.first(c).alias(c) for c in ("n", "l", "own")))
+    nodes = written(firsts.join(able.select("node", "comp", "sketch"), "node"), "prefixes")
+    pairs = _across(prefixes, nodes, percent)
+    of = lambda x: nodes.select(F.col("node").alias(f"node_{x}"), F.col("prefix").alias(f"prefix_{x}"), F.col("l").alias(f"l_{x}"))
+    enough = F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("l_a", "l_b")
+    found = pairs.join(of("a"), "node_a").join(of("b"), "node_b").where(enough)
     return _verified(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
 
 
@@ -250,7 +295,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     # rows with equal sets bring the same tokens, so a node's count is a multiple of its rows
     hits = every.join(shared, "token").groupBy("node").agg(F.count("*").alias("n_hits"))
     sizes = pools.where("id IS NOT NULL AND n > 0").groupBy("node").agg(F.min("n").alias("n"), F.count("*").alias("n_rows"))
-    nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * {_need(_POOL, percent)}").select("node"), "nodes")
+    own = f"CAST({_POOL.format(percent)} - n_hits div n_rows AS INT) AS own"
+    nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * {_need(_POOL, percent)}").selectExpr("node", own), "nodes")
     sets = written(_full_sets(docs, doc_id, text, words, nodes), "sets")
 
     links = written(_star_links(sets, percent), "links")
@@ -261,6 +307,6 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     rows = pools.select("id", "n", "node")
     comp = F.coalesce("label", "node")
     placed = rows.join(labels, "node", "left").withColumn("comp", comp)
-    names = placed.where("id IS NOT NULL").groupBy("comp").agg(F.min("id").alias("first_id"))
+    names = written(placed.where("id IS NOT NULL").groupBy("comp").agg(F.min("id").alias("first_id")), "names")
     component = F.when(F.col("id").isNull(), None).when(F.col("n") == 0, F.col("id")).otherwise(F.col("first_id"))
     return placed.join(names, "comp", "left").select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"))
