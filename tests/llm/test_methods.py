@@ -15,7 +15,7 @@ from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 from tests.llm import brute  # noqa: E402
-from waveband.llm import flat, jaccard_join, license_scan, personal_data, sentencepiece_coding, url_filter  # noqa: E402
+from waveband.llm import decontamination, flat, jaccard_join, license_scan, personal_data, sentencepiece_coding, url_filter  # noqa: E402
 from waveband.llm.fm_index import FMIndex  # noqa: E402
 from waveband.llm.piece_bpe import PieceCoder  # noqa: E402
 from waveband.llm.queries import QUERIES  # noqa: E402
@@ -254,3 +254,38 @@ def test_canonical_licences_wrapped_or_not(spark):
         assert (r["licenses"], r["n_matches"], r["restricted"]) == (r["doc_id"], 1, "GPL" in r["doc_id"])
     assert {i for rule, _ in license_scan.ALL_RULES for i in rule} == set(license_scan.ALL_SENTENCES.values())
     assert all(license_scan._sentences(s.upper() + ".") == [s] for s in license_scan.ALL_SENTENCES)
+
+
+def test_very_many_spans_in_one_text(spark):
+    """What a text with n spans costs grows with n and little more: a text of 160,000 addresses is found and masked whole."""
+    many = 160_000
+    docs = spark.createDataFrame([(1, " ".join(f"u{i}@ex.org" for i in range(many)))], "doc_id long, text string")
+    assert personal_data.find(docs).collect()[0]["n_email"] == many
+    assert personal_data.mask(docs).collect()[0]["text"] == " ".join(["<EMAIL>"] * many)
+
+
+def test_running_values_equal_the_plain_ones(spark):
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(2)
+    rows = [[draw.randrange(9) for _ in range(n)] for n in (*range(12), 50, 1000)]
+    frame = spark.createDataFrame([(r,) for r in rows], "v array<int>")
+    for fold, plain in ((lambda a, b: a + b, int.__add__), (F.greatest, max)):
+        got = frame.select("v", personal_data._running(F.col("v"), fold).alias("r")).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r["r"] == list(itertools.accumulate(r["v"], plain, initial=0))[:-1]
+
+
+def test_benchmark_blocks_hold_every_item_once(spark):
+    items = [(k, " ".join(f"w{k % 40}x{j}" for j in range(k % 13))) for k in range(300)] + [(None, "lone words"), (7, None)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (10**6, 100, 3):
+        many, blocks = decontamination.window_blocks(frame, "item_id", "text", block_words)
+        found = list(blocks)
+        assert len(found) == many and (many == 1) == (block_words == 10**6)
+        names = [name for block in found for name in block.ids]
+        assert sorted(set(names), key=str) == sorted({"" if k is None else str(k) for k, t in items if t})
+        assert len(names) == len(set(names))

@@ -1,8 +1,9 @@
 """Benchmark decontamination with an FM-index per shard of documents.
 
 Benchmark items are cut into windows of ten consecutive words (an item of one to nine
-words is one window). The windows are broadcast in blocks of at most ``block_words``
-words; each task indexes its documents slice by slice, searches all windows backwards
+words is one window). Items are hashed by a Spark job and dealt by hash to blocks of about half of
+``block_words`` words (no more than those of one item, if that is larger); one block at a time comes to the
+driver, is broadcast for its pass over the documents, and goes. Each task indexes its documents slice by slice, searches all windows backwards
 through the wavelet ranks, locates the occurrences by sampled suffix positions and
 merges them into spans of words.
 
@@ -79,23 +80,35 @@ def _windows(items: list[tuple[str, np.ndarray]]) -> Windows:
     )
 
 
-def window_blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[Windows]:
-    """Windows of whole items, in blocks of at most ``block_words`` words (or one item); at least one block."""
-    items: list[tuple[str, np.ndarray]] = []
-    size, any_block = 0, False
-    for name, value in benchmark.select(F.col(item_id).cast("string"), text).toLocalIterator():
-        raw = (value or "").encode()
-        _, _, hashes = _words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        if not len(hashes):
-            continue
-        if items and size + len(hashes) > block_words:
-            any_block = True
-            yield _windows(items)
-            items, size = [], 0
-        items.append((name or "", hashes))
-        size += len(hashes)
-    if items or not any_block:
-        yield _windows(items)
+def _hashed(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    """``(item, n, words)`` of the items that have words: their hashes as bytes."""
+    source = benchmark.select(F.col(text).alias("text"), F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, data, offsets in flat.slices(batch.column(0)):
+                starts, _, hashes = _words(data, offsets)
+                bounds = flat.word_bounds(starts, offsets)
+                words = pa.array([hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(begin, end - begin), pa.array(np.diff(bounds)), words], names=["item", "n", "words"])
+
+    return source.mapInArrow(run, "item string, n long, words binary").where("n > 0")
+
+
+def window_blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> tuple[int, Iterator[Windows]]:
+    """How many blocks there are, and the windows of each in turn; at least one block."""
+    items = written(_hashed(benchmark, item_id, text), "items")
+    total = items.agg(F.sum("n")).collect()[0][0] or 0
+    many = 1 if total <= block_words else -(-2 * total // block_words)
+
+    def blocks() -> Iterator[Windows]:
+        for k in range(many):
+            # a block's hashes, some eight bytes for each of its words
+            rows = items.where(F.pmod(F.xxhash64("words"), F.lit(many)) == k).select("item", "words").collect()
+            rows.sort(key=lambda r: (r["item"], bytes(r["words"])))
+            yield _windows([(r["item"], np.frombuffer(r["words"], np.uint64)) for r in rows])
+
+    return many, blocks()
 
 
 def _occurrences(symbols: np.ndarray, row: np.ndarray, windows: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, int, list[np.ndarray]]]:
@@ -167,12 +180,13 @@ def _passes(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item
     With ``cut`` the last pass removes the spans from the texts, and sets the column of that name (if there) to the length.
     """
     words, spans, items = (fresh_name(docs, n) for n in ("n_words", "spans", "items"))
-    blocks = [docs.sparkSession.sparkContext.broadcast(w) for w in window_blocks(benchmark, item_id, item_text, block_words)]
+    many, blocks = window_blocks(benchmark, item_id, item_text, block_words)
     added = [T.StructField(words, T.LongType()), T.StructField(spans, SPANS), T.StructField(items, ITEMS)]
     n, at = len(docs.columns), docs.columns.index(text)
     out = docs
-    for k, block in enumerate(blocks):
-        final = k == len(blocks) - 1
+    for k, windows_ in enumerate(blocks):
+        block = docs.sparkSession.sparkContext.broadcast(windows_)
+        final = k == many - 1
         kept = [i for i in range(n) if keep_text or not final or i != at]
         schema = T.StructType([docs.schema.fields[i] for i in kept] + added)
         sized = docs.columns.index(cut) if final and cut in docs.columns else None
@@ -215,6 +229,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item
         out = out.mapInArrow(run, schema)
         if not final:
             out = written(out, "windows")
+            block.destroy()
     return out, words, spans, items
 
 

@@ -13,7 +13,8 @@ a match can only begin at the start of a run of its first class or where the las
 How positions come from built-in functions: the matches are marked with a control character
 on both sides (the text's own ones are first turned into another control character, which no
 pattern has), the marked text is split there, and running lengths give the offsets. Offsets
-are in code points, ends exclusive.
+are in code points, ends exclusive. Running values are taken in blocks of the root of their number, so
+n spans of one text cost n times that root at most, and a masked text is put together once from its parts.
 
 Defined cases: null text is the empty text and has no spans; spans of different kinds may
 overlap and are all listed, by start, then kind; rows are judged one by one, so repeated rows
@@ -23,6 +24,7 @@ of the first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -97,25 +99,48 @@ def _confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each of the whole numbers the fold of those before it, from 0; block by block, as each step copies what it adds to."""
+    def steps(block: Column, first: Column) -> Column:
+        start = F.struct(first.alias("now"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            block, start, lambda s, v: F.struct(fold(s["now"], v).cast("int").alias("now"), F.array_append(s["out"], s["now"]).alias("out")), lambda s: s["out"])
+
+    def blocked(v: Column) -> Column:
+        root = F.ceil(F.sqrt(F.size(v))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(v), root), lambda i: F.slice(v, i, root))
+
+    def joined(blocks: Column) -> Column:
+        zero = F.lit(0).cast("int")
+        folded = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda x, v: fold(x, v).cast("int")))
+        return F.flatten(F.zip_with(blocks, steps(folded, zero), steps))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, _let(blocked(v), joined)).otherwise(F.array().cast("array<int>")))
+
+
 def _spans_of(kind: Kind, rank: int, text: Column, window: int, least: float) -> Column:
     """The kind's spans in a text without the mark."""
-    parts = F.split(F.regexp_replace(text, kind.pattern, f"{_MARK}$0{_MARK}"), _MARK)
+    marked = F.split(F.regexp_replace(text, kind.pattern, f"{_MARK}$0{_MARK}"), _MARK)
     empty = F.array().cast(SPAN)
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.lit("").alias("before"), empty.alias("spans"))
 
-    def step(state: Column, part: Column) -> Column:
-        end = (state["at"] + F.length(part)).cast("int")
-        near = F.lower(F.substring(state["before"], -window, window)).rlike(rf"(?<![a-z])(?:{kind.context})")
+    def span(parts: Column, starts: Column, i: Column) -> Column:
+        near = F.lower(F.substring(parts[i - 1], -window, window)).rlike(rf"(?<![a-z])(?:{kind.context})")
         score = F.round(F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_SCORE).otherwise(0.0)), 3)
-        span = F.struct(
-            state["at"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), end.alias("end"), score.alias("score"))
-        holds = (state["i"] % 2 == 1) & _confirmed(kind.name, part) & (F.lit(kind.base) | (score >= least))
-        return F.struct(
-            end.alias("at"), (state["i"] + 1).alias("i"), part.alias("before"),
-            F.when(holds, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).cast(SPAN).alias("spans"),
-        )
+        made = F.struct(
+            starts[i].alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), (starts[i] + F.length(parts[i])).cast("int").alias("end"), score.alias("score"))
+        return F.when(_confirmed(kind.name, parts[i]) & (F.lit(kind.base) | (score >= least)), made)
+
+    def spans(parts: Column) -> Column:
+        starts = _running(F.transform(parts, lambda part: F.length(part)), lambda at, size: at + size)
+        each = _let(starts, lambda at: F.transform(F.sequence(F.lit(1), F.size(parts) - 1, F.lit(2)), lambda i: span(parts, at, i)))
+        return F.when(F.size(parts) > 1, F.filter(each, lambda s: s.isNotNull()).cast(SPAN)).otherwise(empty)
 
-    return F.when(text.rlike(kind.needs), F.aggregate(parts, start, step, lambda s: s["spans"])).otherwise(empty)
+    return F.when(text.rlike(kind.needs), _let(marked, spans)).otherwise(empty)
 
 
 def with_spans(docs: DataFrame, name: str, text: str = "text", window: int = 40, least: float = 0.6) -> DataFrame:
@@ -146,17 +171,18 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", window: i
     """``docs`` with every span replaced by its kind in angle brackets; ``length`` follows where it is a column."""
     name = fresh_name(docs, "found")
     listed = with_spans(docs, name, text, window, least)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, span: Column) -> Column:
-        between = F.substr(F.col(text), state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["start"] < state["at"], state["out"])
-            .otherwise(F.concat(state["out"], between, F.lit("<"), F.upper(span["kind"]), F.lit(">"))).alias("out"),
-        )
-
-    cut = F.aggregate(F.col(name), start, step, lambda s: F.concat(s["out"], F.substr(F.col(text), s["at"] + 1, F.length(text))))
+    # the furthest end before each span; a span that starts behind it is the first of those that it overlaps with
+    reached = _running(F.transform(name, lambda s: s["end"]), F.greatest)
+    zipped = lambda at: F.transform(name, lambda s, k: F.struct(at[k].alias("at"), s["start"].alias("start"), s["kind"].alias("kind")))
+    first = F.filter(_let(reached, zipped), lambda s: s["start"] >= s["at"])
+    last = F.array_max(F.transform(name, lambda s: s["end"]))
+
+    def put_together(chars: Column) -> Column:
+        between = lambda a, n: F.array_join(F.slice(chars, a + 1, n), "")
+        parts = F.transform(first, lambda s: F.concat(between(s["at"], s["start"] - s["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        return F.concat(F.array_join(parts, ""), between(last, F.size(chars)))
+
+    cut = _let(F.regexp_extract_all(F.col(text), F.lit("(?s)."), F.lit(0)), put_together)
     changed = F.size(name) > 0
     # a column of its own first: in one select, Spark would take the new text for the one that the lambdas read
     masked = fresh_name(listed, "masked")
