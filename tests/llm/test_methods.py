@@ -249,6 +249,10 @@ def test_canonical_licences_wrapped_or_not(spark):
                 lines = [begin + line for part in text.split("\n") for line in (textwrap.wrap(part, width, break_long_words=False, break_on_hyphens=False) or [""])]
                 rows.append((name, "\n".join(["a line before", *lines, "a line behind"])))
     rows.append(("MIT", "a line\nReleased under the MIT License\nand another"))
+    for holder in ("Example Widgets Ltd", "the University of Somewhere", "Jean-Luc O'Neill and the other authors"):
+        for width in (25, 70, 10**6):
+            text = TEXTS["BSD-3-Clause"].replace("the copyright holder", holder)
+            rows.append(("BSD-3-Clause", "\n".join(line for part in text.split("\n") for line in (textwrap.wrap(part, width, break_long_words=False) or [""]))))
     docs = spark.createDataFrame(rows, "doc_id string, text string")
     for r in license_scan.scan(docs).collect():
         assert (r["licenses"], r["n_matches"], r["restricted"]) == (r["doc_id"], 1, "GPL" in r["doc_id"])
@@ -256,6 +260,28 @@ def test_canonical_licences_wrapped_or_not(spark):
     assert all(license_scan._sentences(s.upper() + ".") == [s] for s in license_scan.ALL_SENTENCES)
 
 
+def test_the_licence_query_knows_the_whole_rule_set(spark, tmp_path):
+    """Canonical texts, wrapped and with a holder's name, through the query and through its SQL."""
+    import duckdb
+
+    from waveband.llm.oracle import ORACLE_SQL
+
+    texts = [t.replace("the copyright holder", "Some Holder Inc") for t in TEXTS.values()]
+    texts += ["\n".join(line for part in t.split("\n") for line in (textwrap.wrap(part, 30) or [""])) for t in texts]
+    texts += ["", "one;\n;\n\ntwo: three.\n \n#\nfour", "Released under the MIT License", " a.b c:d ;", "x.\n\n.\ny;z\r\nw.", None, "Neither the name of nor the names of its contributors."]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    got = {tuple(r.asDict().items()) for r in QUERIES["op8_license_scan"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    done = con.execute(ORACLE_SQL["op8_license_scan"])
+    names = [d[0] for d in done.description]
+    want = {tuple(zip(names, row, strict=True)) for row in done.fetchall()}
+    assert {tuple(sorted(x)) for x in got} == {tuple(sorted(x)) for x in want}
+    by_id = {dict(x)["doc_id"]: dict(x)["licenses"] for x in got}
+    assert [by_id[k] for k in range(2 * len(TEXTS))] == list(TEXTS) * 2
+
+
 def test_very_many_spans_in_one_text(spark):
     """What a text with n spans costs grows with n and little more: a text of 160,000 addresses is found and masked whole."""
     many = 160_000

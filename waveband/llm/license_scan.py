@@ -7,10 +7,8 @@ an ordered sequence of identifiers: it fits where its identifiers stand one afte
 the text's identifiers. The longest rule at a position wins, and matching goes on behind it.
 Sentences of licences that are wrapped over several lines are joined: from each line on, the longest
 run of lines of a paragraph that is a known sentence counts as that one sentence.
-
-The query has a fixed contract, whose SQL cuts at every line end and knows :data:`SENTENCES` and
-:data:`RULES` only; all other callers get :data:`ALL_SENTENCES`, :data:`ALL_RULES` and joined lines.
-Sentences must be equal: one that names a holder of its own is not recognised.
+A holder's own name, of up to twelve words, stands for "the copyright holder" in the sentence that begins
+"Neither the name of"; all other sentences must be equal.
 
 Defined cases: null and empty texts have no sentences and match nothing; the same licence found
 twice counts twice in ``n_matches`` and is named once; rows are judged one by one, so repeated
@@ -51,7 +49,7 @@ RULES = (
     (("cc-by-4-notice",), "CC-BY-4.0"),
     (("mit-short",), "MIT"),
     (("mit-grant", "mit-warranty"), "MIT"),
-    (("mit-grant",), "MIT-grant-only"),
+    (("mit-grant",), "MIT"),
     (("apache2-notice",), "Apache-2.0"),
     (("apache2-notice", "apache2-compliance"), "Apache-2.0"),
     (("bsd-grant",), "BSD-2-Clause"),
@@ -114,7 +112,6 @@ _ADVERTISING = "all advertising materials mentioning features or use of this sof
 _ENDORSE = "may be used to endorse or promote products derived from this software without specific prior written permission"
 _NAMES = (
     f"neither the name of the copyright holder nor the names of its contributors {_ENDORSE}",
-    f"neither the name of the university nor the names of its contributors {_ENDORSE}",
     f"nor the names of its contributors {_ENDORSE}",  # behind a name that ends in "Inc."
 )
 _APACHE = "licensed under the apache license version 2 0 the license"
@@ -128,7 +125,7 @@ def _canonical() -> Iterator[tuple[str, tuple[str, ...]]]:
     yield from _creative_commons()
     yield "MIT", _MIT
     yield "MIT", (_MIT[0], _MIT[2])
-    yield "MIT-grant-only", _MIT[:1]
+    yield "MIT", _MIT[:1]
     yield "MIT", ("licensed under the mit license",)
     yield "BSD-2-Clause", _BSD
     yield "BSD-2-Clause", _BSD[:1]
@@ -179,23 +176,31 @@ def _sentences(text: str) -> list[str]:
     return [s for part in _CUT.split(text) if (s := _plain(part))]
 
 
-def _joined(text: str, known: dict[str, str], starts: set[str]) -> list[str]:
+#: What a sentence with a holder's name says around it, and the name it is known by.
+NAMED, NAMED_BY, HOLDER = "neither the name of ", " nor the names of its contributors", "the copyright holder"
+HOLDER_WORDS = 12
+
+
+def parts_pattern(sentences: Iterable[str]) -> str:
+    """A pattern for the sentences of a paragraph, whose plain lines stand between line feeds of their own: known ones over any lines, else a line."""
+    blank = "(?: |\n\n)"
+    named = f"{NAMED}{HOLDER}{NAMED_BY}"
+    gap = f"{NAMED}{{0}}{NAMED_BY[1:]}".replace(" ", blank).format(f"(?:[^ \n]+{blank}){{1,{HOLDER_WORDS}}}")
+    known = [x.replace(named, "{0}").replace(" ", blank).replace("{0}", gap) for x in sorted(sentences, key=lambda x: (-x.count(" "), x))]
+    return "\n(?:" + "|".join(known) + ")\n|\n[^\n]*\n"
+
+
+GAP = re.compile(f"{NAMED}(?:[^ ]+ ){{1,{HOLDER_WORDS}}}{NAMED_BY[1:]}")
+
+
+def _joined(text: str, parts: re.Pattern) -> list[str]:
     """As :func:`_sentences`, with known sentences joined that go over several lines of a paragraph."""
     found = []
     for unit in _END.split(text):
-        lines = [_plain(line) for line in unit.split("\n")]
-        lines = [line for line in lines if line]
-        at = 0
-        while at < len(lines):
-            run, stop, behind = lines[at], at + 1, at + 1
-            best = run
-            while run in starts and stop < len(lines):
-                run, stop = f"{run} {lines[stop]}", stop + 1
-                if run in known:
-                    best, behind = run, stop
-            found.append(best)
-            at = behind
-    return found
+        lines = [line for part in unit.split("\n") if (line := _plain(part))]
+        if lines:
+            found += [x[1:-1].replace("\n\n", " ") for x in parts.findall("\n" + "\n\n".join(lines) + "\n")]
+    return [GAP.sub(f"{NAMED}{HOLDER}{NAMED_BY}", x) if x.startswith(NAMED) else x for x in found]
 
 
 def _matches(ids: list[str], rules: tuple[tuple[tuple[str, ...], str], ...] = RULES) -> list[str]:
@@ -210,17 +215,18 @@ def _matches(ids: list[str], rules: tuple[tuple[tuple[str, ...], str], ...] = RU
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", sentences: dict[str, str] = ALL_SENTENCES,
-         rules: tuple[tuple[tuple[str, ...], str], ...] = ALL_RULES, restricted: tuple[str, ...] = ALL_RESTRICTED, wrapped: bool = True) -> DataFrame:
-    """Columns ``keep`` of every row with :data:`RESULT`; ``wrapped``: known sentences may go over several lines."""
-    starts = {" ".join(words[:n]) for words in (s.split(" ") for s in sentences) for n in range(1, len(words))}
+         rules: tuple[tuple[tuple[str, ...], str], ...] = ALL_RULES, restricted: tuple[str, ...] = ALL_RESTRICTED) -> DataFrame:
+    """Columns ``keep`` of every row with :data:`RESULT`."""
+    pattern = parts_pattern(sentences)
     source = docs.select(text, *keep)
     schema = T.StructType([*source.schema.fields[1:], *RESULT.fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = re.compile(pattern)
         for batch in batches:
             rows = []
             for value in pc.fill_null(batch.column(0), ""):
-                parts = _joined(value.as_py(), sentences, starts) if wrapped else _sentences(value.as_py())
+                parts = _joined(value.as_py(), known)
                 ids = [sentences[s] for s in parts if s in sentences]
                 found = _matches(ids, rules)
                 rows.append((len(parts), len(found), ",".join(ids), ",".join(sorted(set(found))), any(n in restricted for n in found)))

@@ -156,25 +156,39 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM m
 """
 
-_KNOWN = "CASE x " + " ".join(f"WHEN '{s}' THEN '{i}'" for s, i in license_scan.SENTENCES.items()) + " END"
-_LICENSE = "CASE r " + " ".join(f"WHEN '{','.join(r)},' THEN '{n}'" for r, n in license_scan.RULES) + " END"
-_SEQUENCES = "|".join(sorted((",".join(r) + "," for r, _ in license_scan.RULES), key=lambda x: (-x.count(","), x))) + "|[a-z0-9-]+,"
+_KNOWN = ", ".join(f"('{s}', '{i}')" for s, i in license_scan.ALL_SENTENCES.items())
+_LICENSE = "CASE r " + " ".join(f"WHEN '{','.join(r)},' THEN '{n}'" for r, n in license_scan.ALL_RULES) + " END"
+_SEQUENCES = "|".join(sorted((",".join(r) + "," for r, _ in license_scan.ALL_RULES), key=lambda x: (-x.count(","), x))) + "|[a-z0-9-]+,"
+_RESTRICTED = ", ".join(f"'{n}'" for n in license_scan.ALL_RESTRICTED)
+_NAMED = license_scan.NAMED + license_scan.HOLDER + license_scan.NAMED_BY
 
 OP8 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-s AS (
-  SELECT rid, doc_id, list_filter(list_transform(
-      string_split(regexp_replace(regexp_replace(t, '[.;:]([\x20\t\r\n])', chr(10) || '\1', 'g'), '[.;:]$', ''), chr(10)),
+u AS (
+  SELECT rid, generate_subscripts(us, 1) AS unit, unnest(us) AS u FROM (
+    SELECT rid, string_split(regexp_replace(regexp_replace(regexp_replace(t, '[.;:]([\x20\t\r\n])', chr(11) || '\1', 'g'), '[.;:]$', ''),
+      '\n([^0-9A-Za-z\x{{80}}-\x{{10FFFF}}\n]*\n)+', chr(11), 'g'), chr(11)) AS us FROM d)),
+l AS (
+  SELECT rid, unit, list_filter(list_transform(string_split(u, chr(10)),
       lambda x: translate(trim(regexp_replace(x, '[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
-    lambda x: x <> '') AS ss
-  FROM d),
-i AS (SELECT *, list_filter(list_transform(ss, lambda x: {_KNOWN}), lambda x: x IS NOT NULL) AS ids FROM s),
+    lambda x: x <> '') AS ls FROM u),
+p AS (
+  SELECT rid, unit, regexp_extract_all(chr(10) || array_to_string(ls, chr(10) || chr(10)) || chr(10), '{license_scan.parts_pattern(license_scan.ALL_SENTENCES)}') AS ps
+  FROM l WHERE len(ls) > 0),
+s AS (
+  SELECT rid, unit, generate_subscripts(ps, 1) AS pos,
+    regexp_replace(trim(replace(unnest(ps), chr(10) || chr(10), ' '), chr(10)), '^{license_scan.GAP.pattern}', '{_NAMED}') AS s FROM p),
+k(s, id) AS (VALUES {_KNOWN}),
+i AS (
+  SELECT rid, count(*) AS n_sentences, coalesce(list(id ORDER BY unit, pos) FILTER (id IS NOT NULL), []) AS ids
+  FROM s LEFT JOIN k USING (s) GROUP BY rid),
 m AS (
-  SELECT *, list_filter(list_transform(regexp_extract_all(array_to_string(ids, ',') || ',', '{_SEQUENCES}'), lambda r: {_LICENSE}), lambda x: x IS NOT NULL) AS found
-  FROM i)
-SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_sentences, CAST(len(found) AS BIGINT) AS n_matches, array_to_string(ids, ',') AS sentence_ids,
+  SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(ids, []) AS ids,
+    list_filter(list_transform(regexp_extract_all(array_to_string(coalesce(ids, []), ',') || ',', '{_SEQUENCES}'), lambda r: {_LICENSE}), lambda x: x IS NOT NULL) AS found
+  FROM d LEFT JOIN i USING (rid))
+SELECT doc_id, n_sentences, CAST(len(found) AS BIGINT) AS n_matches, array_to_string(ids, ',') AS sentence_ids,
   array_to_string(list_sort(list_distinct(found)), ',') AS licenses,
-  len(list_filter(found, lambda x: x IN ('CC-BY-NC-4.0', 'GPL', 'GPL-3.0'))) > 0 AS restricted
+  len(list_filter(found, lambda x: x IN ({_RESTRICTED}))) > 0 AS restricted
 FROM m
 """
 
