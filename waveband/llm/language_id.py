@@ -8,7 +8,7 @@ One-versus-rest kernel ridge regression on those gives one column of weights for
 so scoring a batch is two matrix products.
 
 The training sample is bounded: the ``per_language`` (300, at most 1000) labelled rows of each
-language with the smallest hash of the id. Only text is an input of a prediction.
+language with the smallest hash of the id, and of what a repeated id brings the different rows. Only text is an input of a prediction.
 
 Defined cases: null text or one without a letter is ``und`` with score 0; so is every row if
 there is no labelled row to learn from; equal scores go to the language first in order; rows are
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waveband.llm import flat, samples
+from waveband.llm.shared import written
 
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 13
@@ -76,8 +77,9 @@ def predict(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), doc_id: str =
             per_language: int = 300, landmarks: int = 128, ridge: float = 0.1) -> DataFrame:
     """Columns ``keep``, ``lang_pred`` and ``score`` of every row; learnt from the rows that aren't held out."""
     with_letter = F.col(text).rlike(r"\p{L}")
-    chosen = docs.where(samples.bounded(docs, doc_id, lang, per_language) & with_letter).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang"), samples.order_hash(doc_id).alias("hash"))
+    found = docs.where(samples.bounded(docs, doc_id, lang, per_language) & with_letter).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("id"))
+    chosen = samples.different(written(found, "sample"), "lang", "id", "text", per_language).select("text", "lang", "hash")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,7 @@ The labelled vectors are broadcast; each block of documents is multiplied with a
 cosines are exact, and the ``neighbours`` nearest vote, each by a power of its similarity.
 
 The labelled sample is bounded: the ``per_label`` (at most 1000) rows of each label with the smallest
-hash of the id; votes are weighted back to the labels' shares in the labelled rows. Labels,
+hash of the id, and of what a repeated id brings the different rows of smallest hash; votes are weighted back to the labels' shares in the labelled rows. Labels,
 language, source and id are never inputs of a score.
 
 Defined cases: null and empty texts have shape terms only and are scored like others; without a
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waveband.llm import flat, samples
+from waveband.llm.shared import written
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 11
@@ -101,7 +102,8 @@ def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
     totals = {r["label"]: r["count"] for r in known.where(~samples.held_out("id")).groupBy("label").count().collect()}
     chosen = known.where(samples.bounded(known, "id", "label", per_label)).distinct()  # a bounded table, so it is broadcast
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("text", "label", samples.order_hash("id").alias("hash"))
+    found = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    texts = samples.different(written(found, "sample"), "label", "id", "text", per_label).select("text", "label", "hash")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
