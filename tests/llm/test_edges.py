@@ -192,3 +192,67 @@ def test_warc(spark):
     empty = new_folder(spark, "test-warc")
     warc.write(pages.limit(0), empty)
     assert warc.resolve(warc.read(spark, empty)).count() == 0
+
+
+def _plain_verdicts(rows):
+    """``(id, original or None, digest)`` of each row by counting."""
+    firsts = {}
+    for id_, _, html in rows:
+        if id_ is not None:
+            firsts[html or ""] = min(id_, firsts.get(html or "", id_))
+    named = lambda id_, html: firsts[html] if id_ is not None and firsts[html] != id_ else None
+    return sorted(((id_, named(id_, html or ""), warc._digest((html or "").encode())) for id_, _, html in rows), key=str)
+
+
+def test_warc_with_bitmaps_of_any_size(spark):
+    """Bitmaps of 64 bits are full of rows that only look like revisits; a third of the rows has one payload."""
+    rows = [(i, f"u{i}", "hot" if i % 3 == 0 else f"text {i % 200}") for i in range(600)] + [(None, "x", "hot"), (3, "y", "other"), (7, None, None), (8, None, "")]
+    pages = spark.createDataFrame([(*r, "a", "b", 1) for r in rows], "page_id long, url string, html string, digest string, original string, size int").repartition(5, "page_id")
+    for words in (1, 1 << 18):
+        path = new_folder(spark, "test-warc")
+        warc.write(pages, path, words=words)
+        got = warc.read(spark, path).collect()
+        assert sorted(((r["record_id"], r["refers_to"], r["payload_digest"]) for r in got), key=str) == _plain_verdicts(rows)
+        assert all(warc._digest(bytes(r["payload"])) == r["payload_digest"] for r in got if r["record_type"] == "response")
+        assert all(bytes(r["payload"]) == b"" for r in got if r["record_type"] == "revisit")
+
+
+def test_warc_files_are_bounded_by_bytes(spark):
+    import gzip
+    import os
+
+    rows = [(i, f"u{i}", f"{i} " * (300_000 if i % 50 == 0 else 10)) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = new_folder(spark, "test-warc")
+    warc.write(pages, path, records_per_file=40, file_bytes=2_000_000)
+    local = path.removeprefix("file://")
+    sizes = [len(gzip.open(os.path.join(local, f)).read()) for f in os.listdir(local) if f.endswith(".gz")]
+    assert len(sizes) >= 7 and max(sizes) < 2_200_000
+    got = {r["record_id"]: bytes(r["payload"]).decode() for r in warc.read(spark, path).collect()}
+    assert got == {i: html for i, _, html in rows}
+
+
+def test_warc_headers_of_revisits(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "http://b/", "x")], "page_id long, url string, html string")
+    path = new_folder(spark, "test-warc")
+    warc.write(pages, path)
+    text = "".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+    assert "WARC-Refers-To-Target-URI: http://a/\r\n" in text and f"WARC-Refers-To-Date: {warc.DATE}\r\n" in text
+
+
+def test_warc_shuffles_no_payload(spark):
+    pages = spark.createDataFrame([(i, f"u{i}", "same" if i % 3 == 0 else f"{i}") for i in range(300)], "page_id long, url string, html string")
+    digested = warc.with_digests(pages)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are too large for it
+    try:
+        plan = warc.records(digested, digested.drop("payload"))._jdf.queryExecution().toString()
+        moved = warc.revisits(digested.drop("payload"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    physical = plan[plan.index("== Physical Plan"):]
+    assert "payload" in physical and "SortMergeJoin" not in physical  # only bits of the bitmap meet the payloads
+    assert physical.count("Exchange hashpartitioning") == 1
+    bits = physical[physical.index("Exchange hashpartitioning") : physical.index("\n   +- ")]
+    assert "FileScan" in bits and "payload" not in bits
+    assert "Exchange hashpartitioning(digest" in moved
