@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waveband.functions.expressions import broadcast_day_end, household_id
+from waveband.operators.fanout import JoinCounts
 from waveband.schemas import FACT_COLUMNS, LISTENING, METADATA_COLUMNS, SESSION_COLUMNS
 
 PERSON_COLUMNS = ["sample_point", "age_15plus", "age", "sex"]
@@ -69,17 +70,19 @@ def listening_with_people(listening: DataFrame, individuals: DataFrame) -> DataF
     )
 
 
-def person_attributes(individuals: DataFrame, weights: DataFrame, households: DataFrame) -> DataFrame:
+def _counted(df: DataFrame, point: str, counts: JoinCounts | None) -> DataFrame:
+    return df if counts is None else counts.counted(df, point)
+
+
+def person_attributes(individuals: DataFrame, weights: DataFrame, households: DataFrame,
+                      counts: JoinCounts | None = None) -> DataFrame:
     """Individuals x weights (per reporting period), with household region and grade."""
     people = individuals.select("file_quarter", "respid", *PERSON_COLUMNS)
     w = weights.filter(F.col("weight").isNotNull()).select("file_quarter", "respid", "reporting_period", "weight")
     hh = households.select("file_quarter", "hhid", "bbc_regions", "household_social_grade")
-    return (
-        people.join(w, ["respid", "file_quarter"], "inner")
-        .withColumn("hhid", household_id("respid"))
-        .join(hh, ["hhid", "file_quarter"], "left")
-        .drop("hhid")
-    )
+    weighted = people.join(w, ["respid", "file_quarter"], "inner").withColumn("hhid", household_id("respid"))
+    found = _counted(weighted, "people", counts).join(hh, ["hhid", "file_quarter"], "left").drop("hhid")
+    return _counted(found, "people with households", counts)
 
 
 def diary_base(listening: DataFrame, people: DataFrame, metadata: DataFrame, reports: DataFrame) -> DataFrame:
@@ -126,7 +129,7 @@ def expand_copies(counted: DataFrame) -> DataFrame:
     return counted.select(*FACT_COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
 
 
-def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame) -> DataFrame:
+def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame, counts: JoinCounts | None = None) -> DataFrame:
     """The second summary: enriched diary rows (not de-duplicated) with time-slot ids.
 
     The end time is moved from the broadcast-day '28:00' to '04:00' before the
@@ -145,10 +148,10 @@ def session_facts(base: DataFrame, slots: DataFrame, control: DataFrame) -> Data
     qd = control.select("file_quarter", "quarter_date")
     same_day = F.col("_st_hour") <= F.col("_en_hour")
     rows = base.select(*[broadcast_day_end("hhmm_end").alias(c) if c == "hhmm_end" else F.col(c) for c in FACT_COLUMNS])
+    started = _counted(_counted(rows, "sessions", counts).join(st, "hhmm_start", "left"), "sessions with starts", counts)
+    ended = _counted(started.join(en, "hhmm_end", "left"), "sessions with ends", counts)
     return (
-        rows
-        .join(st, "hhmm_start", "left")
-        .join(en, "hhmm_end", "left")
+        ended
         .join(qd, "file_quarter", "inner")
         .withColumn("optional_start_id", F.when(same_day, F.col("_st_slot_id")).otherwise(F.col("_st_clock_id")))
         .withColumn("optional_end_id", F.when(same_day, F.col("_en_slot_id")).otherwise(F.col("_en_clock_id")))

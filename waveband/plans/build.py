@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waveband.functions import STATION_RELABELS
 from waveband.operators import append_quarter, counted_facts, mark_loaded, register_next_quarter, relabel_stations
 from waveband.operators.control import check_single_quarter, listed_quarters
+from waveband.operators.fanout import FanOut, JoinCounts
 from waveband.operators.summaries import old_names
 from waveband.operators.writes import read_parts, split, write_rows
 from waveband.plans.stages import Run
@@ -66,6 +67,8 @@ class BuildResult:
     report_quarters: list[str]
     control_version: int
     outputs: dict[str, str] = field(default_factory=dict)
+    # lookups that repeat keys and so have multiplied rows, by name
+    fan_outs: dict[str, list[FanOut]] = field(default_factory=dict)
 
 
 @contextmanager
@@ -139,13 +142,14 @@ class _Loaded:
     report_quarters: list[str]
     control: ControlRows
     changes: list[Callable[[Release], None]]
+    fan_outs: dict[str, FanOut]
 
 
 def _load(spark: SparkSession, tables: SurveyTables, control: ControlRows, quarters: list[str], mode: str, out_root: str,
           strict: bool, work: str) -> _Loaded:
     """Write the rows of the four outputs for the quarters in scope."""
-    frame = _frame(spark, control)
-    run = Run(tables.replace(quarters=frame), quarters, mode)
+    frame, counts = _frame(spark, control), JoinCounts()
+    run = Run(tables.replace(quarters=frame), quarters, mode, counts=counts)
     if strict:
         with _step(spark, "strict check"):
             check_single_quarter(run.reports)
@@ -156,7 +160,7 @@ def _load(spark: SparkSession, tables: SurveyTables, control: ControlRows, quart
     with _step(spark, "enrich and hand over facts"):
         # every later step reads all of the run's quarters, so a file for each task will do
         counted = handed_over(counted_facts(run.base), "facts", folder=work)
-    run = Run(run.tables, quarters, mode, metadata_override=metadata, people_override=people, counted_override=counted)
+    run = Run(run.tables, quarters, mode, metadata_override=metadata, people_override=people, counted_override=counted, counts=counts)
 
     with _step(spark, "touched quarters"):
         summary_quarters = _distinct_keys(counted, "file_quarter")
@@ -174,7 +178,24 @@ def _load(spark: SparkSession, tables: SurveyTables, control: ControlRows, quart
             changes.append(_written(spark, df, out_root, name, touched, release))
     with _step(spark, "mark loaded"):
         after = _rows(mark_loaded(frame, run.reports))
-    return _Loaded(summary_quarters, report_quarters, after, changes)
+    with _step(spark, "look for fan-outs"):
+        fan_outs = _fan_outs(run, counts, control, mode)
+    return _Loaded(summary_quarters, report_quarters, after, changes, fan_outs)
+
+
+def _fan_outs(run: Run, counts: JoinCounts, control: ControlRows, mode: str) -> dict[str, FanOut]:
+    """The lookups of a run that gave more than one row for a key."""
+    slots = run.tables.slots
+    found = {
+        "households": counts.fan_out("people", "people with households", run.households, ["hhid", "file_quarter"]),
+        "slots (start)": counts.fan_out("sessions", "sessions with starts", slots, ["slot_time"]),
+        "slots (end)": counts.fan_out("sessions with starts", "sessions with ends", slots, ["slot_time"]),
+    }
+    # the control rows are here already
+    named = [q for q, _, _ in control if q is not None and (q in run.quarters) == (mode == "pending")]
+    if len(named) > len(set(named)):
+        found["control"] = FanOut(len(set(named)), len(named), sum(named.count(q) > 1 for q in set(named)))
+    return {name: fan for name, fan in found.items() if fan}
 
 
 def _written(spark: SparkSession, new: DataFrame, out_root: str, name: str, touched: list[str],
@@ -260,7 +281,8 @@ def build(spark: SparkSession, tables: SurveyTables, out_root: str, mode: str =
         with _step(spark, "release"):
             version = _released(spark, out_root, control_path, before, loaded.control, loaded.changes)
     outputs = {name: f"{out_root}/{name}" for name in OUTPUTS}
-    return BuildResult(registered, pending, loaded.summary_quarters, loaded.report_quarters, version, outputs)
+    fan_outs = {lookup: [fan] for lookup, fan in loaded.fan_outs.items()}
+    return BuildResult(registered, pending, loaded.summary_quarters, loaded.report_quarters, version, outputs, fan_outs)
 
 
 def backfill(spark: SparkSession, tables: SurveyTables, out_root: str, step: int = 4, name: str = "backfill",
@@ -280,6 +302,7 @@ def backfill(spark: SparkSession, tables: SurveyTables, out_root: str, step: int
     left = sorted(there - pending - done)
     summary_quarters: list[str] = []
     report_quarters: list[str] = []
+    fan_outs: dict[str, list[FanOut]] = {}
     version = latest(spark, out_root)[0]
     for at in range(0, len(left), step):
         quarters = left[at : at + step]
@@ -293,9 +316,11 @@ def backfill(spark: SparkSession, tables: SurveyTables, out_root: str, step: int
         rows = loaded.control
         summary_quarters += loaded.summary_quarters
         report_quarters += loaded.report_quarters
+        for lookup, fan in loaded.fan_outs.items():
+            fan_outs.setdefault(lookup, []).append(fan)
     if left or done:
         version = commit(spark, out_root, lambda release: release.done.pop(name, None))
-    return BuildResult([], sorted(pending), summary_quarters, report_quarters, version, {n: f"{out_root}/{n}" for n in OUTPUTS})
+    return BuildResult([], sorted(pending), summary_quarters, report_quarters, version, {n: f"{out_root}/{n}" for n in OUTPUTS}, fan_outs)
 
 
 def publish_outputs(spark: SparkSession, src_root: str, dst_root: str,

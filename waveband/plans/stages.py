@@ -36,6 +36,7 @@ from waveband.operators import (
     stage_weights,
     station_metadata,
 )
+from waveband.operators.fanout import JoinCounts
 from waveband.operators.summaries import (
     PERSON_CUTS,
     cut_summary,
@@ -57,6 +58,8 @@ class Run:
     metadata_override: DataFrame | None = field(default=None, repr=False)
     people_override: DataFrame | None = field(default=None, repr=False)
     counted_override: DataFrame | None = field(default=None, repr=False)
+    # where the build counts rows around lookup joins
+    counts: JoinCounts | None = field(default=None, repr=False)
 
     # ---- staging -------------------------------------------------------------
     @cached_property
@@ -115,7 +118,7 @@ class Run:
     def people(self) -> DataFrame:
         if self.people_override is not None:
             return self.people_override
-        return person_attributes(self.individuals, self.weights, self.households)
+        return person_attributes(self.individuals, self.weights, self.households, self.counts)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -130,7 +133,7 @@ class Run:
     @cached_property
     def sessions(self) -> DataFrame:
         base = expand_copies(self.counted_override) if self.counted_override is not None else self.base
-        return session_facts(base, self.tables.slots, self.control)
+        return session_facts(base, self.tables.slots, self.control, self.counts)
 
     # ---- summaries -----------------------------------------------------------
     @cached_property
