@@ -92,7 +92,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local[") and sc.master != "local":
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/ABFS) for checkpoints"
         )
