@@ -1,14 +1,17 @@
 """Toxicity by logistic regression with the FTRL-proximal rule.
 
 Features are the hashed word n-grams (one and two words) and skip-grams (two words with one between
-them) of a text, present or not, in ``2 ** BITS`` buckets. Words are the runs of ASCII letters, digits
+them) of a text, in ``2 ** BITS`` buckets. Words are the runs of ASCII letters, digits
 and all non-ASCII characters after lower-casing A-Z; a word longer than four (six) bytes also counts by
-its first four (six), so that endings of the same stem share a weight. Each coordinate has a rate of its
+its first four (six), so that endings of the same stem share a weight. A feature's value is the root of its
+occurrences for each word of the text (so that a long text has no more weight than a short one, and a stem
+that clean texts have once by chance isn't one that makes up a fiftieth of a text), times ``SCALE``; the share is
+taken as a power of two, down to ``2 ** -LEVELS``. Each coordinate has a rate of its
 own, from the sum of its squared gradients, and L1 keeps most weights at zero: what is broadcast is a list of
 the others, and a score is the logistic function of their sum over a text's features and a bias.
 
 The labelled sample is bounded: the ``per_label`` (2000) rows of each label with the smallest hash of the
-id, at most 2 ** BITS bits of features each. A row of the rarer label weighs ``balance`` times (as a power)
+id, at most 2 ** BITS half bytes of features each (131 KB, so 524 MB if all texts were that long). A row of the rarer label weighs ``balance`` times (as a power)
 what the other label has more. The sample is gone through ``epochs`` times in a seeded order.
 Labels, language, source and id are never inputs of a score; rows whose
 crc32 of the id, modulo 3, is 1 are never learnt from.
@@ -34,6 +37,9 @@ from waveband.llm.shared import written
 
 BITS = 18
 STEMS = (4, 6)
+#: shares of a text are told apart down to 2 ** -LEVELS
+LEVELS = 14
+SCALE = 10.0
 #: words that may stand between the two of a pair: none for n-grams, one for skip-grams
 SKIPS = (0, 1)
 
@@ -60,32 +66,53 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield row[:n][own], bucket(words[:n][own] * np.uint64(3) + flat.mix(second[own] + np.uint64(skip + 2)))
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of the features of each text, each once, in order."""
+def _levels(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """How often the number of words can be halved without getting below the count, at most ``LEVELS`` times."""
+    level = np.zeros(len(count), np.int64)
+    for k in range(1, LEVELS + 1):
+        level += n_words >= count << k
+    return level
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and level of the features of each text, each once, in order."""
     n = len(offsets) - 1
+    parts = _parts(data, offsets)
     if n == 1:
-        there = np.zeros(1 << BITS, bool)
-        for _, bucket in _parts(data, offsets):
-            there[bucket] = True
-        buckets = np.flatnonzero(there)
-        return np.zeros(len(buckets), np.int64), buckets
-    found = np.unique(np.concatenate([(row << BITS) | bucket for row, bucket in _parts(data, offsets)]))
-    return found >> BITS, found & ((1 << BITS) - 1)
-
-
-def _packed(buckets: np.ndarray) -> bytes:
-    """A text's features as numbers, or as one bit for each bucket if that is shorter."""
-    if 4 * len(buckets) < 1 << (BITS - 3):
-        return buckets.astype("<i4").tobytes()
+        many, n_words = np.zeros(1 << BITS, np.int64), None
+        for _, bucket in parts:
+            n_words = len(bucket) if n_words is None else n_words  # the words come first
+            many += np.bincount(bucket, minlength=1 << BITS)
+        buckets = np.flatnonzero(many)
+        return np.zeros(len(buckets), np.int64), buckets, _levels(many[buckets], np.full(len(buckets), n_words))
+    keys = [(row << BITS) | bucket for row, bucket in parts]
+    n_words = np.bincount(keys[0] >> BITS, minlength=n)
+    found, many = np.unique(np.concatenate(keys), return_counts=True)
+    row = found >> BITS
+    return row, found & ((1 << BITS) - 1), _levels(many, n_words[row])
+
+
+def _value(level: np.ndarray) -> np.ndarray:
+    return SCALE * np.sqrt(0.5**level)
+
+
+def _packed(buckets: np.ndarray, level: np.ndarray) -> bytes:
+    """A text's features as numbers, or as half a byte for each bucket (0 if it isn't there) if that is shorter."""
+    if 4 * len(buckets) < 1 << (BITS - 1):
+        return (buckets << 4 | level).astype("<i4").tobytes()
     there = np.zeros(1 << BITS, np.uint8)
-    there[buckets] = 1
-    return np.packbits(there).tobytes()
+    there[buckets] = level + 1
+    return (there[::2] << 4 | there[1::2]).tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    if len(data) < 1 << (BITS - 3):
-        return np.frombuffer(data, "<i4").astype(np.int64)
-    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if len(data) < 1 << (BITS - 1):
+        both = np.frombuffer(data, "<i4").astype(np.int64)
+        return both >> 4, both & 15
+    half = np.frombuffer(data, np.uint8)
+    there = np.stack([half >> 4, half & 15], axis=1).ravel()
+    buckets = np.flatnonzero(there)
+    return buckets, there[buckets].astype(np.int64) - 1
 
 
 def _weight(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
@@ -93,9 +120,9 @@ def _weight(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float,
     return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((beta + np.sqrt(n)) / alpha + l2))
 
 
-def train(texts: list[np.ndarray], labels: list[int], epochs: int, alpha: float, beta: float, l1: float, l2: float,
+def train(texts: list[bytes], labels: list[int], epochs: int, alpha: float, beta: float, l1: float, l2: float,
           balance: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Buckets and values of the weights that aren't zero, and the bias. The last coordinate is the bias, without L1 and L2."""
+    """Buckets and values of the weights that aren't zero, and the bias, from packed texts. The last coordinate is the bias, without L1 and L2."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     many = [max(1, labels.count(k)) for k in (0, 1)]
@@ -104,10 +131,10 @@ def train(texts: list[np.ndarray], labels: list[int], epochs: int, alpha: float,
     order = np.random.default_rng(1)
     for _ in range(epochs):
         for i in order.permutation(len(texts)):
-            own = texts[i]
+            own, level = _unpacked(texts[i])
+            at, value = np.append(own, size), np.append(_value(level), 1.0)
             now = np.append(_weight(z[own], n[own], alpha, beta, l1, l2), bias())
-            gradient = (1 / (1 + np.exp(-np.clip(now.sum(), -35, 35))) - labels[i]) * weigh[labels[i]]
-            at = np.append(own, size)
+            gradient = (1 / (1 + np.exp(-np.clip(now @ value, -35, 35))) - labels[i]) * weigh[labels[i]] * value
             grown = n[at] + gradient * gradient
             z[at] += gradient - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * now
             n[at] = grown
@@ -117,7 +144,7 @@ def train(texts: list[np.ndarray], labels: list[int], epochs: int, alpha: float,
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic", per_label: int = 2000, epochs: int = 10, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
+          label: str = "toxic", per_label: int = 2000, epochs: int = 10, alpha: float = 3.0, beta: float = 1.0, l1: float = 8.0,
           l2: float = 1.0, balance: float = 0.5) -> DataFrame:
     """Columns ``keep`` and ``score`` of every row: how likely the label is 1."""
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
@@ -128,16 +155,16 @@ def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, data, offsets in flat.slices(batch.column(0)):
-                row, bucket = _features(data, offsets)
+                row, bucket, level = _features(data, offsets)
                 cuts = np.searchsorted(row, np.arange(end - begin + 1))
-                packed = [_packed(bucket[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                packed = [_packed(bucket[a:b], level[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(packed, pa.binary())], names=["label", "hash", "features"])
 
     rows = sorted(sample.mapInArrow(features, "label int, hash long, features binary").collect())
     model = None
     if rows:
-        model = train([_unpacked(bytes(r["features"])) for r in rows], [r["label"] for r in rows], epochs, alpha, beta, l1, l2, balance)
+        model = train([bytes(r["features"]) for r in rows], [r["label"] for r in rows], epochs, alpha, beta, l1, l2, balance)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the weights that aren't zero, 2 ** BITS at most
 
     source = docs.select(text, *keep)
@@ -151,8 +178,8 @@ def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",
             for begin, end, data, offsets in flat.slices(batch.column(0)):
                 scores = np.full(end - begin, 0.5)
                 if shared.value is not None:
-                    row, bucket = _features(data, offsets)
-                    total = np.bincount(row, weights[bucket], minlength=end - begin) + shared.value[2]
+                    row, bucket, level = _features(data, offsets)
+                    total = np.bincount(row, weights[bucket] * _value(level), minlength=end - begin) + shared.value[2]
                     scores = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
                 kept = [batch.column(i + 1).slice(begin, end - begin) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], names=schema.names)
