@@ -79,12 +79,26 @@ def cleaned(text: str | None, rules: quality_rules.Rules = quality_rules.Rules()
     if len(words) < rules.min_words or 100 * len(again) > rules.repeat_percent * len(words):
         return None
     left, seen = [], set()
-    for line in text.split("\n"):
+    lines = text.split("\n")
+    menu: set[int] = set()
+    run: list[int] = []
+    for k, line in [*enumerate(lines), (-1, "A sentence ends the last run.")]:
+        if not BLANK.findall(line):
+            continue
+        last = BLANK.findall(line)[-1][-1]
+        if len(BLANK.findall(line)) <= rules.menu_words and (ord(last) > 127 or last.isalnum()):
+            run.append(k)
+            continue
+        if len(run) >= rules.menu_lines:
+            menu.update(run)
+        run = []
+    for k, line in enumerate(lines):
         w = BLANK.findall(line)
         marks = sum(c in "#*$%&|<>!" for c in line)
         fails = bool(w) and (
             (marks >= rules.min_marks and 100 * marks >= rules.marks_percent * len(w))
-            or sum(x in ("|", ">", "»") for x in w) >= rules.min_bars
+            or sum(x in quality_rules.BARS for x in w) >= rules.min_bars
+            or k in menu
             or line in seen
             or (len(w) <= rules.max_phrase_words and any(p in lower(line) for p in quality_rules.BOILERPLATE))
         )

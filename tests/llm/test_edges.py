@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import duckdb
 import pytest
 
 pytest.importorskip("waveband.llm")
@@ -20,7 +21,9 @@ from waveband.llm import (  # noqa: E402
     url_filter,
     warc,
 )
+from waveband.llm.oracle import ORACLE_SQL  # noqa: E402
 from waveband.llm.shared import new_folder  # noqa: E402
+from tests.llm import brute  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, spans string, n_words long, _spans int, found string, grp int"
 PROSE = " ".join(f"word{i} and the other{i % 7}" for i in range(40))
@@ -73,6 +76,37 @@ def test_lines_that_fail_go_from_the_text(spark):
     assert one["text"] == f"{good}\nOne line.\n" and one["n_chars"] == len(good) + 11
 
 
+def test_menus_and_furniture_of_four_languages_go(spark):
+    good = PROSE + "."
+    menu = ["Start", "Über uns", "", "Café", "Kontakt 24", "Alle Themen"]
+    pages = {
+        1: ([good, *menu, "One line more."], [good, "", "One line more."]),
+        2: ([good, *menu[:4], "One line more."], None),  # three items are no menu
+        3: ([good, *menu[:4], "A stop.", *menu[4:]], None),  # nor are five with a sentence between them
+        4: ([good, "Home · News • Sport", "Start / Mode / Reisen / Wetter", "a/b / c"], [good, "Home · News • Sport", "a/b / c"]),
+        5: ([good, "© Verlag - Alle Rechte vorbehalten", "Tous droits réservés.", "Lea la Política de privacidad", "Conditions d'utilisation"], [good]),
+        6: ([*menu, *menu, *([good] * 1)], [good, "", ""]),
+        7: ([good, "Alpha Beta", "Gamma"], None),
+        8: (["Delta", "Epsilon", "Zeta", good], None),  # the menu of one text doesn't reach into the next
+    }
+    docs = spark.createDataFrame([(i, "\n".join(lines)) for i, (lines, _) in pages.items()], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["text"] for r in quality_rules.clean(docs).collect()}
+    for i, (lines, left) in pages.items():
+        assert got[i] == brute.cleaned("\n".join(lines)), i
+        if left is None:
+            assert got[i] == "\n".join(lines)
+        elif i != 6:
+            assert got[i] == "\n".join(left)
+    assert "Start" not in got[6] and good in got[6]
+    judged = quality_rules.judge(docs).toPandas()
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(ORACLE_SQL["op9_quality_rules"]).df()
+    assert sorted(want.columns) == sorted(judged.columns)
+    names = sorted(judged.columns)
+    assert judged.sort_values("doc_id")[names].values.tolist() == want.sort_values("doc_id")[names].values.tolist()
+
+
 def test_decontamination(docs, none, benchmark):
     for block_words in (decontamination.BLOCK_WORDS, 3):
         got = decontamination.locate(docs, benchmark, block_words=block_words).collect()

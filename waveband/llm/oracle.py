@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from waveband.llm import license_scan, quality_rules
 
-_PHRASES = "|".join(quality_rules.BOILERPLATE)
+_PHRASES = "|".join(quality_rules.BOILERPLATE).replace("'", "''")
+_BARS = ", ".join(f"'{bar}'" for bar in quality_rules.BARS)
 _BLANK = r"[\x20\x09-\x0D]+"
 _RULES = quality_rules.Rules()
 
@@ -25,15 +26,21 @@ m AS (
     length(regexp_replace(s, '{_BLANK}', '', 'g')) AS chars,
     row_number() OVER (PARTITION BY rid, s ORDER BY pos) > 1 AS again
   FROM l),
+menu AS (
+  SELECT *, sum(CASE WHEN item AND before THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY pos) AS run
+  FROM (SELECT *, coalesce(lag(item) OVER (PARTITION BY rid ORDER BY pos), false) AS before
+        FROM (SELECT *, len(ws) <= {_RULES.menu_words} AND regexp_matches(ws[-1], '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]$') AS item
+              FROM m WHERE len(ws) > 0))),
 v AS (
   SELECT *, len(ws) AS n, (
       (marks >= {_RULES.min_marks} AND 100 * marks >= {_RULES.marks_percent} * len(ws))
-      OR len(list_filter(ws, lambda x: x IN ('|', '>', '»'))) >= {_RULES.min_bars}
+      OR len(list_filter(ws, lambda x: x IN ({_BARS}))) >= {_RULES.min_bars}
+      OR (item AND count(*) OVER (PARTITION BY rid, run) >= {_RULES.menu_lines})
       OR (again AND len(ws) >= {_RULES.min_repeat_words})
       OR (len(ws) <= {_RULES.max_phrase_words}
           AND regexp_matches(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_PHRASES}'))
     ) AS fails
-  FROM m WHERE len(ws) > 0),
+  FROM menu),
 per AS (
   SELECT rid, count(*) AS n_lines, count(*) FILTER (fails) AS n_lines_removed, count(*) FILTER (again) AS n_dup_lines,
     sum(chars) FILTER (NOT fails) AS chars_left

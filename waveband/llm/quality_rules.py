@@ -5,7 +5,9 @@ A line (between ``\\n``) that has words fails by the first of three rules that f
 
 * punctuation: at least ``min_marks`` characters of ``[#*$%&|<>!]``, and at least
   ``marks_percent`` of them for each 100 words;
-* navigation: at least ``min_bars`` lone separator words (``|``, ``>`` or ``»``);
+* navigation: at least ``min_bars`` lone separator words (:data:`BARS`), or the line stands in a
+  menu: ``menu_lines`` or more lines in a row (lines without words don't count) of at most
+  ``menu_words`` words that end in a letter, a digit or a character beyond ASCII, not in a stop;
 * boilerplate: it equals an earlier line of the text and has ``min_repeat_words``
   words or more, or has at most ``max_phrase_words`` words and holds a phrase of
   :data:`BOILERPLATE`.
@@ -35,7 +37,9 @@ from waveband.llm import flat
 #: Marks of the base rule, and those that count for a line.
 SYMBOLS = b"#*$%&|<>"
 MARKS = b"#*$%&|<>!"
-#: Phrases of page furniture, matched in lower-cased (A-Z) lines.
+#: Lone words that part the items of a menu.
+BARS = ("|", ">", "/", "»", "›", "·", "•")
+#: Phrases of page furniture in four languages, matched in lower-cased (A-Z) lines.
 BOILERPLATE = (
     "all rights reserved",
     "cookie policy",
@@ -45,6 +49,27 @@ BOILERPLATE = (
     "skip to content",
     "terms of use",
     "use of cookies",
+    "alle rechte vorbehalten",
+    "allgemeine nutzungsbedingungen",
+    "cookie-richtlinie",
+    "javascript aktivieren",
+    "newsletter abonnieren",
+    "verwendung von cookies",
+    "zum inhalt springen",
+    "abonnez-vous",
+    "aller au contenu",
+    "activer javascript",
+    "conditions d'utilisation",
+    "politique de confidentialité",
+    "tous droits réservés",
+    "utilisation de cookies",
+    "habilite javascript",
+    "ir al contenido",
+    "política de cookies",
+    "política de privacidad",
+    "suscríbete a nuestro",
+    "términos de uso",
+    "todos los derechos reservados",
 )
 WINDOW = 8
 
@@ -54,6 +79,8 @@ class Rules:
     min_marks: int = 6
     marks_percent: int = 40
     min_bars: int = 3
+    menu_lines: int = 5
+    menu_words: int = 3
     min_repeat_words: int = 1
     max_phrase_words: int = 30
     keep_percent: int = 50
@@ -84,6 +111,26 @@ def _between(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return sums[ends] - sums[starts]
 
 
+def _lone(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: tuple[str, ...]) -> np.ndarray:
+    """The starts of those words that equal one of a few."""
+    found = []
+    for word in words:
+        code = word.encode()
+        at = starts[ends - starts == len(code)]
+        for k, byte in enumerate(code):
+            at = at[data[at + k] == byte]
+        found.append(at)
+    return np.concatenate(found)
+
+
+def _in_menu(item: np.ndarray, row: np.ndarray, least: int) -> np.ndarray:
+    """Of lines in order, those that stand with ``least`` items or more of their row in a row."""
+    new = np.ones(len(item), bool)
+    new[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1])
+    run = np.cumsum(new) - 1
+    return item & (np.bincount(run, minlength=1)[run] >= least)
+
+
 def _repeated_words(words: list[bytes]) -> int:
     """Words inside 8-word windows that the text has twice or more."""
     first: dict[tuple[bytes, ...], int] = {}
@@ -129,11 +176,7 @@ def _measure(column: pa.Array, rules: Rules) -> Iterator[tuple[int, int, dict[st
         line_words = np.searchsorted(starts, line_end) - np.searchsorted(starts, line_start)
         marks = _between(_MARK[data], line_start, line_end)
         bar = np.zeros(len(data) + 1, bool)
-        short = ends - starts
-        lone = starts[short == 1]
-        bar[lone[(data[lone] == 0x7C) | (data[lone] == 0x3E)]] = True
-        pair = starts[short == 2]
-        bar[pair[(data[pair] == 0xC2) & (data[pair + 1] == 0xBB)]] = True  # »
+        bar[_lone(data, starts, ends, BARS)] = True
         bars = _between(bar[: len(data)], line_start, line_end)
 
         hashes = flat.word_hashes(data, line_start, line_end)
@@ -150,6 +193,9 @@ def _measure(column: pa.Array, rules: Rules) -> Iterator[tuple[int, int, dict[st
 
         fails = (marks >= rules.min_marks) & (100 * marks >= rules.marks_percent * line_words)
         fails |= bars >= rules.min_bars
+        last = data[ends[np.searchsorted(starts, line_end[worded]) - 1] - 1]  # the last byte of each line's last word
+        item = (line_words[worded] <= rules.menu_words) & flat.ALNUM[flat.LOWER[last]]
+        fails[worded] |= _in_menu(item, line_row[worded], rules.menu_lines)
         fails |= repeat & (line_words >= rules.min_repeat_words)
         low = flat.LOWER[data].tobytes()
         for phrase in BOILERPLATE:
