@@ -2,7 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Apart from the list of
 pending quarters, which is read first, they are lazy; ``publish_stored`` and
-``build_not_pending`` run a job that stores tables, and return what it stored. All of
+``build_not_pending`` run a job that stores tables, and return what it stored. The
+queries that put a run's rows into those of an earlier load hand the enriched diary rows
+over first, as the build does, so that both loads read them instead of joining anew. All of
 them read the whole derived tables; the run's scope is the control table's pending
 quarters (14 of 27 fixture quarters), as in a production run.
 """
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waveband.operators import (
+    counted_facts,
     mark_loaded,
     pending_quarters,
     publish,
@@ -32,6 +35,7 @@ from waveband.plans.stages import Run
 from waveband.schemas import SUMMARY_1, SUMMARY_2
 from waveband.session import ensure_checkpoint_dir
 from waveband.sources.fixture import SILENT_QUARTER, survey_fixture
+from waveband.sources.stored import handed_over
 from waveband.sources.tables import SurveyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +55,22 @@ def _stale_run(run: Run) -> Run:
     return Run(run.tables, registered_quarters(run.tables.quarters), "pending")
 
 
+def _two_loads(spark: SparkSession, sf_dir: str, *lookups: str) -> tuple[Run, Run]:
+    """The pending run and the earlier load, both on the enriched diary rows of the registered quarters, handed over once.
+
+    Every stage is scoped and joined by quarter, so a run's rows are those of the larger run for its quarters. The
+    small tables (and ``lookups``) are handed over too, so that joins with them are planned by their size.
+    """
+    tables = _tables(spark, sf_dir)
+    tables = tables.replace(**{name: handed_over(getattr(tables, name), name) for name in ("quarters", "replist", *lookups)})
+    run = Run(tables, pending_quarters(tables.quarters))
+    stale = _stale_run(run)
+    people, metadata = handed_over(stale.people, "people"), handed_over(stale.metadata, "metadata")
+    enriched = Run(tables, stale.quarters, people_override=people, metadata_override=metadata)
+    counted = handed_over(counted_facts(enriched.base), "facts")
+    return Run(tables, run.quarters, counted_override=scope_quarters(counted, run.quarters)), Run(tables, stale.quarters, counted_override=counted)
+
+
 def q_register_next_quarter(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return register_next_quarter(t.weights, t.date_lookup, t.quarters)
@@ -67,21 +87,21 @@ def q_scope_not_pending(spark, sf_dir):
 
 
 def q_replace_partitions(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    target = _stale_run(run).demographic_summary(relabel=False)
+    run, stale = _two_loads(spark, sf_dir)
+    target = stale.demographic_summary(relabel=False)
     touched = run.facts.select(F.col("file_quarter").alias("quarter"))
     return replace_partitions(target, run.demographic_summary(), "quarter", touched)
 
 
 def q_publish_summary(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    reporting = _stale_run(run).demographic_summary(relabel=False)
+    run, stale = _two_loads(spark, sf_dir)
+    reporting = stale.demographic_summary(relabel=False)
     return publish(run.demographic_summary(), reporting, "quarter")
 
 
 def q_publish_slot_summary(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    reporting = _stale_run(run).slot_summary(relabel=False)
+    run, stale = _two_loads(spark, sf_dir)
+    reporting = stale.slot_summary(relabel=False)
     return publish(run.slot_summary(), reporting, "quarter")
 
 
@@ -91,14 +111,14 @@ def q_publish_population(spark, sf_dir):
 
 
 def q_relabel_history(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    stored = _stale_run(run).demographic_summary(relabel=False)
+    run, stale = _two_loads(spark, sf_dir)
+    stored = stale.demographic_summary(relabel=False)
     return relabel_history(stored, run.demographic_summary(), run.facts.select(F.col("file_quarter").alias("quarter")))
 
 
 def q_relabel_slot_history(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    stored = _stale_run(run).slot_summary(relabel=False)
+    run, stale = _two_loads(spark, sf_dir)
+    stored = stale.slot_summary(relabel=False)
     return relabel_history(stored, run.slot_summary(), run.facts.select(F.col("file_quarter").alias("quarter")))
 
 
@@ -109,8 +129,8 @@ def _left_over(stale: DataFrame) -> DataFrame:
 
 
 def q_replace_sessions(spark, sf_dir):
-    run = fixture_run(spark, sf_dir)
-    return replace_partitions(_left_over(_stale_run(run).sessions), run.sessions, "file_quarter", run.reports)
+    run, stale = _two_loads(spark, sf_dir, "slots")
+    return replace_partitions(_left_over(stale.sessions), run.sessions, "file_quarter", run.reports)
 
 
 def q_replace_population(spark, sf_dir):
@@ -124,9 +144,9 @@ def _root(spark: SparkSession, name: str) -> str:
 
 def q_publish_stored(spark, sf_dir):
     """Stored tables: an earlier load in the reporting area, then the new build's table read back and published."""
-    run, name = fixture_run(spark, sf_dir), "summary_table_2"
+    (run, stale), name = _two_loads(spark, sf_dir), "summary_table_2"
     src, dst = _root(spark, "built"), _root(spark, "reporting")
-    for root, df in ((src, run.slot_summary()), (dst, _stale_run(run).slot_summary(relabel=False))):
+    for root, df in ((src, run.slot_summary()), (dst, stale.slot_summary(relabel=False))):
         write_replacing(spark, df, f"{root}/{name}", "quarter", [], SUMMARY_2)
     publish_outputs(spark, src, dst, [name])
     return read_table(spark, f"{dst}/{name}", "quarter", SUMMARY_2)

@@ -10,6 +10,10 @@ The job relies on three engine features rather than hand-written scheduling:
 * Broadcasts are bounded by bytes: up front by file sizes (Spark multiplies the
   sizes of a join's sides, so a joined table counts as large), and at run time,
   by AQE, by the measured size of a shuffle.
+* A task's memory is bounded by what it reads. One row of the facts becomes up to forty in the
+  hash maps of the summaries, some hundred times the bytes that were shuffled, so AQE coalesces
+  to 8 MB, not more, and scans read 32 MB. AQE can only merge the partitions that a shuffle begins with,
+  so :func:`size_shuffles` has their number follow the size of the input.
 * The session time zone is pinned to UTC so date functions do not depend on
   the machine.
 """
@@ -28,11 +32,11 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "32MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove reliable-checkpoint files once the checkpointed DataFrame is gone
@@ -41,6 +45,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+#: Bytes of the stored tables for each partition that a shuffle begins with; a shuffle of the diary is two to three times its files.
+STORED_BYTES_PER_PARTITION = 3_000_000
+
 
 def get_session(
     master: str | None = None,
@@ -50,9 +57,9 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    On a cluster call it without ``master``; the launcher supplies it and
-    ``spark.sql.shuffle.partitions`` should be sized to the data (about one
-    partition per 128 MB of shuffled data). Locally pass ``local[N]``.
+    On a cluster call it without ``master``; the launcher supplies it. The shuffles are
+    sized by :func:`size_shuffles`, and ``spark.sql.shuffle.partitions`` is the least
+    that they begin with. Locally pass ``local[N]``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -76,6 +83,23 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Have shuffles begin with a partition for each :data:`STORED_BYTES_PER_PARTITION` of the tables at ``paths``.
+
+    AQE merges those that turn out small, so a task's share stays the same however large the tables are.
+    The number is at least ``spark.sql.shuffle.partitions``; returns it.
+    """
+    stored = 0
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(at):
+            stored += files.getContentSummary(at).getLength()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored // STORED_BYTES_PER_PARTITION))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only where the session has none.
 

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waveband.schemas import INPUT_SCHEMAS
+from waveband.session import size_shuffles
 from waveband.sources.tables import SurveyTables
 
 # ---- fixed values of the derived fixture -----------------------------------
@@ -81,6 +82,7 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def survey_fixture(spark: SparkSession, sf_dir: str) -> SurveyTables:
+    size_shuffles(spark, *(f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem", "customer")))
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", _file_quarter(F.col("o_orderdate")).alias("file_quarter")
     )
