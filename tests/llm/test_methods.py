@@ -132,6 +132,40 @@ def test_pairs_of_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch,
     assert made[1200][0] <= 6 * made[300][0] + 1000
 
 
+def _shared_edits(draw, many):
+    """Near copies that each have some of twelve edits, and one of their own: few link with any one of them, many with each other."""
+    base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    texts = []
+    for _ in range(many):
+        own = list(base)
+        for k in range(12):
+            if draw.random() < 0.5:
+                own[6 + 12 * k] = f"y{k}"
+        own[draw.randrange(150)] = f"x{draw.randrange(10**9)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_pairs_of_near_copies_with_shared_edits_grow_with_the_group(spark, monkeypatch):
+    """Components are joined in rounds before they are paired, so links inside a group are not verified by the square."""
+    made, real = [], jaccard_join._across
+    monkeypatch.setattr(jaccard_join, "_across", lambda *a: made.append(real(*a)) or made[-1])
+    texts = _shared_edits(random.Random(5), 1200)
+    got = jaccard_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8), words=5, percent=80)
+    assert len({r["component_id"] for r in got.collect()}) < 100 and made[0].count() < 1200
+
+
+@pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 90)])
+def test_rounds_give_the_components_of_all_pairs(spark, monkeypatch, words, percent):
+    monkeypatch.setattr(jaccard_join, "CROWD", 2)
+    monkeypatch.setattr(jaccard_join, "LEAST_JOINED", 0.5)  # two rounds or three
+    pick = random.Random(8)
+    texts = _shared_edits(pick, 60) + _near_copies(pick, 3, 10, 60) + ["a b", "", "a b c d e", "a b c d e f", *_shared_edits(pick, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4, "doc_id")
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.join(docs, words=words, percent=percent).collect()}
+    assert got == brute.components(dict(enumerate(texts)), words=words, percent=percent)
+
+
 def test_jaccard_join_of_short_texts_that_share_a_passage(spark):
     pick = random.Random(2)
     new = lambda n: [f"w{pick.randrange(10**9)}" for _ in range(n)]

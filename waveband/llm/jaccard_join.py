@@ -26,6 +26,10 @@ among the first ``n - overlap + l`` of each. The steps:
    bounds over their nodes: least and largest size, fewest tokens of their own, and the bits that all, or
    none, of their sketches have; what differs in those differs in every pair of their nodes.
    Pairs with more than a link allows are dropped inside the join, not after it.
+   Before they are paired, components that share a token with more than :data:`CROWD` others are joined in rounds: a set's
+   least tokens in each of some buckets make :data:`BANDS` keys, which near sets have in common far more often than others, and a
+   node is compared with at most six leaders of its keys from other components. A round's cost is linear in the nodes, and
+   components that it joins are no longer paired; rounds end when few are. The pairing after them takes all that is left.
 5. Candidates are verified on the full sets; final components come from all links. There is no
    cap on a token's documents, on candidates or on partners.
 
@@ -56,6 +60,10 @@ from waveband.llm.shared import written
 SKETCH_BITS = 1 << 22
 SKETCH_WORDS = 32
 STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
+#: components with a token of more components than this are joined in rounds first; a round that joins no more than this share of them is the last
+CROWD, LEAST_JOINED = 16, 0.05
+#: keys of a set, and the buckets whose least tokens make one key
+BANDS, BAND_BUCKETS = 8, 16
 #: SQL of what a set of n needs, for a percentage
 _OVERLAP = "((n * {0} + 99) div 100)"
 _POOL = "least(n, (n - ((n * {0} + 99) div 100) + 1) + (n - ((n * {0} + 99) div 100) + 1) div 2 + 8)"
@@ -122,6 +130,20 @@ def _parities(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.packbits(o.astype(np.uint8), bitorder="little").view(np.uint64) for o in odd]
 
 
+def _bands(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set BANDS hashes, each of its least tokens in BAND_BUCKETS buckets of their own (0 for an empty bucket)."""
+    n, found = BANDS * BAND_BUCKETS, []
+    for s in sets:
+        least = np.zeros(n, np.uint64)
+        buckets, first = np.unique(flat.mix(s) & np.uint64(n - 1), return_index=True)  # a set is sorted, so the first is the least
+        least[buckets.astype(np.int64)] = s[first]
+        keys = np.arange(BANDS, dtype=np.uint64)
+        for column in least.reshape(BANDS, BAND_BUCKETS).T:
+            keys = flat.mix(keys * np.uint64(3) + column)
+        found.append(keys)
+    return found
+
+
 def _pools(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     source = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("id"))
     schema = T.StructType([source.schema["id"], T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("pool", T.ArrayType(T.LongType()))])
@@ -143,7 +165,7 @@ def _pools(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
 
 
 def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataFrame) -> DataFrame:
-    """``(node, tokens, sketch, own)`` of the given nodes ``(node, own)``; a bitmap of fixed size keeps most other rows out of the shuffle.
+    """``(node, tokens, sketch, bands, own)`` of the given nodes ``(node, own)``; a bitmap of fixed size keeps most other rows out of the shuffle.
 
     The sketch has one bit for each value of a node's low bits, so it is at most SKETCH_BITS large for any input.
     """
@@ -154,7 +176,7 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
     sketch = docs.sparkSession.sparkContext.broadcast(marked.view(np.uint64))
     source = docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text"))
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", longs), T.StructField("sketch", longs)])
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", longs), T.StructField("sketch", longs), T.StructField("bands", longs)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,9 +186,9 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
                 seen = {int(hashes[i]): i for i in taken}  # equal sets of a slice once
                 taken = np.array(sorted(seen.values()), np.int64)
                 chosen = [sets[i] for i in taken]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[taken].view(np.int64)), _lists(chosen), _lists(_parities(chosen))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[taken].view(np.int64)), _lists(chosen), _lists(_parities(chosen)), _lists(_bands(chosen))], names=schema.names)
 
-    first = [F.first(c).alias(c) for c in ("tokens", "sketch")]
+    first = [F.first(c).alias(c) for c in ("tokens", "sketch", "bands")]
     return source.mapInArrow(run, schema).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(*first).join(nodes, "node")
 
 
@@ -240,6 +262,63 @@ def _groups(prefixes: DataFrame, comps: DataFrame, may: Column) -> DataFrame:
     return smaller.join(larger, F.col("token_a") == F.col("token_b")).where((F.col("comp_a") != F.col("comp_b")) & may).select("comp_a", "comp_b")
 
 
+def _shared(rows: DataFrame, least: int) -> DataFrame:
+    """The rows ``(token, node, comp)`` of those tokens that at least so many components share."""
+    shared = rows.select("token", "comp").distinct().groupBy("token").count().where(F.col("count") >= least)
+    return rows.select("token", "node", "comp").join(shared.select("token"), "token")
+
+
+def _led(keyed: DataFrame, at: int) -> DataFrame:
+    """``(a, b)``: nodes with leaders of their tokens (here keys) from other components, at most two for each seed, in the round ``at``.
+
+    A token is led by its components of least and largest hash, so one of the two at least isn't the node's own.
+    """
+    leads = []
+    for seed in STAR_SEEDS:
+        by = F.struct(F.xxhash64("comp", F.lit(at), F.lit(seed)), "comp", F.xxhash64("node", F.lit(at)), "node")
+        leads += [F.min(by).alias(f"least_{seed}"), F.max(by).alias(f"most_{seed}")]
+    of = [f"{end}_{seed}" for seed in STAR_SEEDS for end in ("least", "most")]
+    led = keyed.join(keyed.groupBy("token").agg(*leads), "token")
+    each = F.array(*(F.when(F.col(c)["comp"] != F.col("comp"), F.struct(F.lit(k).alias("k"), F.col(c)["node"].alias("lead"))) for k, c in enumerate(of)))
+    counted = led.select("node", F.explode(each).alias("x")).where("x IS NOT NULL").groupBy("node", "x.k", "x.lead").count()
+    best = counted.groupBy("node", "k").agg(F.max(F.struct("count", "lead"))["lead"].alias("lead"))
+    # the lead, which many share, comes last, so that its rows meet it in a join that AQE can split
+    return best.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The components' new labels ``(node, label)``, where they have one, as ``comp``."""
+    of = labels.select(F.col("node").alias("comp"), "label")
+    return rows.join(of, "comp", "left").withColumn("comp", F.coalesce("label", "comp")).select(*rows.columns)
+
+
+def _rounds(prefixes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Verified links between components of nodes with crowded tokens, and the labels of the components that they join.
+
+    Both are None where no token is crowded. What the rounds don't find is left to the pairing.
+    """
+    links, joined, at = None, None, 0
+    crowd = _shared(prefixes, CROWD + 1).select("node", "comp").distinct()
+    keyed = written(_shared(crowd.join(sets.select("node", "bands"), "node").select("node", "comp", F.explode("bands").alias("token")), 2), "keyed")
+    while not keyed.isEmpty():
+        comps = keyed.select("node", "comp").distinct()
+        found = written(_verified(_led(keyed, at), sets, percent), "links")
+        links = found if links is None else links.union(found)
+        # as links between the components
+        of = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"))  # noqa: E731, B023
+        labels = smallest_reachable(found.join(of("a"), "a").join(of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        if joined is None:
+            joined = labels
+        else:
+            later = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            known = joined.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+            joined = written(known.union(labels.join(joined, "node", "left_anti")), "labels")
+        if labels.where("node <> label").count() <= LEAST_JOINED * comps.select("comp").distinct().count():
+            break
+        keyed, at = written(_shared(_relabelled(keyed, labels), 2), "keyed"), at + 1
+    return links, joined
+
+
 def _across(prefixes: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Node pairs of different components that may link, each once; the smaller set is a.
 
@@ -279,11 +358,17 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     prefixes = written(ordered.select("token", "node", "n", "l", (F.col("n") - F.col("n_live")).alias("own"), F.expr(short).alias("short")).join(held, "node"), "prefixes")
     firsts = prefixes.groupBy("node").agg(F.collect_list("token").alias("prefix"), *(F.first(c).alias(c) for c in ("n", "l", "own")))
     nodes = written(firsts.join(able.select("node", "comp", "sketch"), "node"), "prefixes")
+    links, joined = _rounds(prefixes, sets, percent)
+    if joined is not None:
+        prefixes, nodes = (written(_relabelled(rows, joined), "prefixes") for rows in (prefixes, nodes))
+        between = prefixes.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+        prefixes = prefixes.join(between, "token")
     pairs = _across(prefixes, nodes, percent)
     of = lambda x: nodes.select(F.col("node").alias(f"node_{x}"), F.col("prefix").alias(f"prefix_{x}"), F.col("l").alias(f"l_{x}"))
     enough = F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("l_a", "l_b")
     found = pairs.join(of("a"), "node_a").join(of("b"), "node_b").where(enough)
-    return _verified(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
+    rest = _verified(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
+    return rest if links is None else links.union(rest)
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90,
