@@ -60,8 +60,9 @@ from waveband.llm.shared import written
 SKETCH_BITS = 1 << 22
 SKETCH_WORDS = 32
 STAR_TOKENS, STAR_SEEDS = 16, (1, 2, 3)
-#: components with a token of more components than this are joined in rounds first; a round that joins no more than this share of them is the last
-CROWD, LEAST_JOINED = 16, 0.05
+#: components with a token of more components than this are joined in rounds first; a round that joins no more than this share of them is the
+#: last: the pairing, which goes by the square, would be spared a third of its work or less by a further one
+CROWD, LEAST_JOINED = 16, 0.2
 #: keys of a set, and the buckets whose least tokens make one key
 BANDS, BAND_BUCKETS = 8, 16
 #: SQL of what a set of n needs, for a percentage
@@ -193,11 +194,11 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, words: int, nodes: DataF
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets link."""
+    """The pairs, of nodes ``a`` and ``b``, whose sets link."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return pairs.join(left, "a").join(right, "b").where(100 * shared >= percent * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(100 * shared >= percent * (F.size("of_a") + F.size("of_b") - shared)).select(*pairs.columns)
 
 
 def _star_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -209,7 +210,8 @@ def _star_links(sets: DataFrame, percent: int) -> DataFrame:
     leads = [F.min(F.struct(*order))["node"].alias(f"lead_{seed}") for seed, order in orders.items()]
     led = first.join(first.groupBy("token").agg(*leads), "token")
     each = F.explode(F.array(*(F.struct(F.lit(seed).alias("seed"), F.col(f"lead_{seed}").alias("lead")) for seed in STAR_SEEDS)))
-    counted = led.select("node", each.alias("x")).select("node", "x.*").where("node <> lead").groupBy("node", "seed", "lead").count()
+    # dealt by node once, for all that follows
+    counted = led.select("node", each.alias("x")).select("node", "x.*").where("node <> lead").repartition("node").groupBy("node", "seed", "lead").count()
     best = counted.groupBy("node", "seed").agg(F.max(F.struct("count", "lead"))["lead"].alias("lead"))
     # the lead, which many share, comes last, so that its rows meet it in a join that AQE can split
     return _verified(best.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), sets, percent)
@@ -262,14 +264,19 @@ def _groups(prefixes: DataFrame, comps: DataFrame, may: Column) -> DataFrame:
     return smaller.join(larger, F.col("token_a") == F.col("token_b")).where((F.col("comp_a") != F.col("comp_b")) & may).select("comp_a", "comp_b")
 
 
-def _shared(rows: DataFrame, least: int) -> DataFrame:
-    """The rows ``(token, node, comp)`` of those tokens that at least so many components share."""
-    shared = rows.select("token", "comp").distinct().groupBy("token").count().where(F.col("count") >= least)
-    return rows.select("token", "node", "comp").join(shared.select("token"), "token")
+def _between(rows: DataFrame) -> DataFrame:
+    """The tokens of the rows that several components share."""
+    return rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+
+
+def _crowded(rows: DataFrame) -> DataFrame:
+    """The rows ``(token, node, comp)`` of those tokens that more than CROWD components share."""
+    crowded = rows.select("token", "comp").distinct().groupBy("token").count().where(F.col("count") > CROWD)
+    return rows.select("token", "node", "comp").join(crowded.select("token"), "token")
 
 
 def _led(keyed: DataFrame, at: int) -> DataFrame:
-    """``(a, b)``: nodes with leaders of their tokens (here keys) from other components, at most two for each seed, in the round ``at``.
+    """``(a, comp_a, b, comp_b)``: nodes with leaders of their tokens (here keys) from other components, at most two for each seed, in the round ``at``.
 
     A token is led by its components of least and largest hash, so one of the two at least isn't the node's own.
     """
@@ -279,44 +286,53 @@ def _led(keyed: DataFrame, at: int) -> DataFrame:
         leads += [F.min(by).alias(f"least_{seed}"), F.max(by).alias(f"most_{seed}")]
     of = [f"{end}_{seed}" for seed in STAR_SEEDS for end in ("least", "most")]
     led = keyed.join(keyed.groupBy("token").agg(*leads), "token")
-    each = F.array(*(F.when(F.col(c)["comp"] != F.col("comp"), F.struct(F.lit(k).alias("k"), F.col(c)["node"].alias("lead"))) for k, c in enumerate(of)))
-    counted = led.select("node", F.explode(each).alias("x")).where("x IS NOT NULL").groupBy("node", "x.k", "x.lead").count()
-    best = counted.groupBy("node", "k").agg(F.max(F.struct("count", "lead"))["lead"].alias("lead"))
+    lead = lambda c: F.struct(F.col(c)["node"].alias("b"), F.col(c)["comp"].alias("comp_b"))
+    each = F.array(*(F.when(F.col(c)["comp"] != F.col("comp"), F.struct(F.lit(k).alias("k"), lead(c).alias("lead"))) for k, c in enumerate(of)))
+    counted = led.select("node", "comp", F.explode(each).alias("x")).where("x IS NOT NULL").repartition("node").groupBy("node", "comp", "x.k", "x.lead").count()
+    best = counted.groupBy("node", "comp", "k").agg(F.max(F.struct("count", "lead"))["lead"].alias("lead"))
     # the lead, which many share, comes last, so that its rows meet it in a join that AQE can split
-    return best.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+    return best.select(F.col("node").alias("a"), F.col("comp").alias("comp_a"), "lead.b", "lead.comp_b").distinct()
+
 
+def _relabelled(rows: DataFrame, labels: DataFrame, column: str = "comp") -> DataFrame:
+    """The components' new labels ``(comp, label)``, where they have one, as the column."""
+    of = labels.select(F.col("comp").alias(column), F.col("label").alias("_label"))
+    return rows.join(of, column, "left").withColumn(column, F.coalesce("_label", column)).select(*rows.columns)
 
-def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The components' new labels ``(node, label)``, where they have one, as ``comp``."""
-    of = labels.select(F.col("node").alias("comp"), "label")
-    return rows.join(of, "comp", "left").withColumn("comp", F.coalesce("label", "comp")).select(*rows.columns)
+
+def _hooked(links: DataFrame) -> DataFrame:
+    """``(comp, label)``: for each linked component the smallest that it reaches in one step, or in two by that one's own smallest.
+
+    Not the smallest reachable: what a round leaves apart is left to the next one, and to the components of all links at the end.
+    """
+    both = links.select(F.col("comp_a").alias("comp"), F.col("comp_b").alias("near"))
+    both = both.union(both.select(F.col("near").alias("comp"), F.col("comp").alias("near")))
+    one = both.groupBy("comp").agg(F.min("near").alias("near")).select("comp", F.least("comp", "near").alias("label"))
+    return _relabelled(one, one, "label")
 
 
 def _rounds(prefixes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Verified links between components of nodes with crowded tokens, and the labels of the components that they join.
+    """Verified links between components of nodes with crowded tokens, and the labels ``(comp, label)`` of these components.
 
-    Both are None where no token is crowded. What the rounds don't find is left to the pairing.
+    Both are None where no token is crowded. What the rounds don't find is left to the pairing. A round writes its links
+    and the labels, no more; its rows are the first ones under the labels so far.
     """
-    links, joined, at = None, None, 0
-    crowd = _shared(prefixes, CROWD + 1).select("node", "comp").distinct()
-    keyed = written(_shared(crowd.join(sets.select("node", "bands"), "node").select("node", "comp", F.explode("bands").alias("token")), 2), "keyed")
-    while not keyed.isEmpty():
-        comps = keyed.select("node", "comp").distinct()
-        found = written(_verified(_led(keyed, at), sets, percent), "links")
-        links = found if links is None else links.union(found)
-        # as links between the components
-        of = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"))  # noqa: E731, B023
-        labels = smallest_reachable(found.join(of("a"), "a").join(of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-        if joined is None:
-            joined = labels
-        else:
-            later = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            known = joined.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
-            joined = written(known.union(labels.join(joined, "node", "left_anti")), "labels")
-        if labels.where("node <> label").count() <= LEAST_JOINED * comps.select("comp").distinct().count():
-            break
-        keyed, at = written(_shared(_relabelled(keyed, labels), 2), "keyed"), at + 1
-    return links, joined
+    links, at = None, 0
+    crowd = _crowded(prefixes).select("node", "comp").distinct()
+    banded = crowd.join(sets.select("node", "bands"), "node").select("node", "comp", F.explode("bands").alias("token"))
+    keyed = written(banded.join(_between(banded), "token").select("token", "node", "comp"), "keyed")
+    joined = written(keyed.select("comp", F.col("comp").alias("label")).distinct(), "labels")
+    before = joined.count()
+    if not before:
+        return None, None
+    while True:
+        found = written(_verified(_led(_relabelled(keyed, joined) if at else keyed, at), sets, percent), "links")
+        links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
+        joined = written(_relabelled(joined, _hooked(found), "label"), "labels")
+        after = joined.where("comp = label").count()
+        if before - after <= LEAST_JOINED * before:
+            return links, joined
+        before, at = after, at + 1
 
 
 def _across(prefixes: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -338,8 +354,7 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     """Verified links between nodes of different components."""
     placed = sets.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("comp"), F.size("tokens").cast("long").alias("n"), "tokens", "sketch")
     pooled = placed.select("node", "comp", "n", F.explode(F.expr(f"slice(tokens, 1, CAST({_SECOND.format(percent)} AS INT))")).alias("token"))
-    live = pooled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    able = pooled.join(live, "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_need(_SECOND, percent)}").select("node")
+    able = pooled.join(_between(pooled), "token").groupBy("node", "n").agg(F.count("*").alias("n_live")).where(f"n_live >= {_need(_SECOND, percent)}").select("node")
     able = written(placed.join(able, "node"), "able")
     tokens = able.select("node", "comp", F.explode("tokens").alias("token"))
     costs = tokens.groupBy("token").agg(F.count("*").alias("cost"), (F.min("comp") < F.max("comp")).alias("live"))
@@ -361,8 +376,7 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     links, joined = _rounds(prefixes, sets, percent)
     if joined is not None:
         prefixes, nodes = (written(_relabelled(rows, joined), "prefixes") for rows in (prefixes, nodes))
-        between = prefixes.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-        prefixes = prefixes.join(between, "token")
+        prefixes = prefixes.join(_between(prefixes), "token")
     pairs = _across(prefixes, nodes, percent)
     of = lambda x: nodes.select(F.col("node").alias(f"node_{x}"), F.col("prefix").alias(f"prefix_{x}"), F.col("l").alias(f"l_{x}"))
     enough = F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("l_a", "l_b")
