@@ -144,3 +144,20 @@ def test_queries_work_in_a_later_session(spark):
     run = Run(survey_fixture(spark, SF_SMALL), ["1998q1"])
     assert run.demographic_summary().count() > 0
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_control_table_is_broadcast_to_the_outputs(spark, scratch, monkeypatch):
+    """Dealt by quarter for a join with the control table, one task would hold all of a quarter's rows."""
+    from waveband.plans import build as jobs
+
+    plans, written = {}, jobs._written
+
+    def seen(session, new, out_root, name, *more):
+        plans[name] = new._jdf.queryExecution().executedPlan().toString()
+        return written(session, new, out_root, name, *more)
+
+    monkeypatch.setattr(jobs, "_written", seen)
+    build(spark, _two_quarters(spark), f"{scratch}/out", register=False)
+    assert set(plans) == set(OUTPUTS)
+    for text in plans.values():
+        assert "BroadcastHashJoin [file_quarter" in text and "SortMergeJoin [file_quarter" not in text, text

@@ -148,7 +148,10 @@ class _Loaded:
 def _load(spark: SparkSession, tables: SurveyTables, control: ControlRows, quarters: list[str], mode: str, out_root: str,
           strict: bool, work: str) -> _Loaded:
     """Write the rows of the four outputs for the quarters in scope."""
-    frame, counts = _frame(spark, control), JoinCounts()
+    with _step(spark, "hand over control"):
+        # joins with a stored table are planned by its size, so this one is broadcast; dealt by quarter, a task would hold a whole quarter
+        frame = handed_over(_frame(spark, control), "control", folder=work)
+    counts = JoinCounts()
     run = Run(tables.replace(quarters=frame), quarters, mode, counts=counts)
     if strict:
         with _step(spark, "strict check"):
