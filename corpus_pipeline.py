@@ -26,11 +26,13 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows are linked by themselves, not by their ids: of rows that repeat an id those with other texts are rows of
     their own, and equal ones are one. Empty and null texts link with nothing. Rows without an id all stay.
     """
-    key, first = fresh_name(docs, "key"), fresh_name(docs, "first")
-    keyed = docs.where("doc_id IS NOT NULL").withColumn(key, F.struct("doc_id", F.coalesce(F.sha2("text", 256), F.lit("")).alias("hash")))
-    joined = jaccard_join.join(keyed.select(F.col(key).alias("doc_id"), "text"), words=5, percent=80)
-    firsts = joined.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
-    kept = keyed.join(firsts, keyed[key] == F.col(first), "left_semi").dropDuplicates([key])
+    hashed, first, first_hash = (fresh_name(docs, name) for name in ("hash", "first", "first_hash"))
+    keyed = docs.where("doc_id IS NOT NULL").withColumn(hashed, F.coalesce(F.sha2("text", 256), F.lit("")))
+    joined = jaccard_join.join(keyed.select(F.struct("doc_id", F.col(hashed).alias("hash")).alias("doc_id"), "text"), words=5, percent=80)
+    firsts = joined.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias(first), F.col("doc_id.hash").alias(first_hash)).distinct()
+    # equal rows go first, and by plain columns, so that the semi join finds the texts dealt by its keys: they are shuffled once
+    single = keyed.dropDuplicates(["doc_id", hashed])
+    kept = single.join(firsts, (single["doc_id"] == F.col(first)) & (single[hashed] == F.col(first_hash)), "left_semi")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -368,3 +368,32 @@ def test_benchmark_blocks_hold_every_item_once(spark):
         names = [name for block in found for name in block.ids]
         assert sorted(set(names), key=str) == sorted({"" if k is None else str(k) for k, t in items if t})
         assert len(names) == len(set(names))
+
+
+def test_links_within_a_component_go_after_a_round(spark, monkeypatch):
+    """Components of a chain, a group with three leaders, and scattered links; and of a group that has met no link is left."""
+    tables, write = [], components.written
+
+    def counted(df, name):
+        found = write(df, name)
+        tables.append((name, found.count()))
+        return found
+
+    monkeypatch.setattr(components, "written", counted)
+    group = [(n, lead) for n in range(3, 300) for lead in (0, 1, 2)] + [(0, 1), (1, 2), (7, 7)]
+    found = components.smallest_reachable(spark.createDataFrame(group, "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(n, 0) for n in range(300)}
+    links = [n for name, n in tables if name == "links"]
+    assert links[0] == len(group) - 1 and len(links) > 1 and links[1] == 0
+
+    dice = random.Random(5)
+    chain = [(n, n + 1) for n in range(1000, 1120)]
+    hubs = [(3000 + n, 2000 + n % 40) for n in range(200)] + [(3000 + n, 2000 + dice.randrange(40)) for n in range(30)]
+    scattered = [(dice.randrange(-80, 80) * 7, dice.randrange(-80, 80) * 7) for _ in range(70)]
+    pairs = chain + hubs + scattered
+    label = {n: n for pair in pairs for n in pair}
+    for _ in range(len(label)):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    expected = {(n, of) for n, of in label.items() if any(n in (a, b) and a != b for a, b in pairs)}
+    assert {tuple(r) for r in components.smallest_reachable(spark.createDataFrame(pairs, "a long, b long")).collect()} == expected

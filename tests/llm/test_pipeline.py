@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
 
@@ -74,3 +75,22 @@ def test_near_copies_go(spark):
     far = [("x" if k % 20 == 7 else w) for k, w in enumerate(words)]
     docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate((words, edited, far))], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF).collect()) == [0, 2]
+
+
+def test_texts_are_shuffled_once_to_keep_one_of_each_group(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # as with tables that are too large for it
+    before = {k: spark.conf.get(k) for k in settings}
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        query = kept.select("*")._jdf.queryExecution()
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        blocks = query.explainString(mode).split("\n\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # a partial aggregate has a text as the value of first
+    dealt = [b for b in blocks if re.search(r"\) Exchange\nInput \[\d+\]: \[.*\b(text|valueSet)#", b)]
+    assert len(dealt) == 1, "\n\n".join(dealt)

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waveband.llm import flat
-from waveband.llm.components import smallest_reachable
+from waveband.llm.components import relabelled, smallest_reachable
 from waveband.llm.shared import written
 
 #: bits of the sketch that tells which rows' full sets are needed; it only saves work
@@ -296,8 +296,7 @@ def _led(keyed: DataFrame, at: int) -> DataFrame:
 
 def _relabelled(rows: DataFrame, labels: DataFrame, column: str = "comp") -> DataFrame:
     """The components' new labels ``(comp, label)``, where they have one, as the column."""
-    of = labels.select(F.col("comp").alias(column), F.col("label").alias("_label"))
-    return rows.join(of, column, "left").withColumn(column, F.coalesce("_label", column)).select(*rows.columns)
+    return relabelled(rows, labels.select(F.col("comp").alias("node"), "label"), column)
 
 
 def _hooked(links: DataFrame) -> DataFrame:
@@ -385,6 +384,12 @@ def _cross_links(sets: DataFrame, labels: DataFrame, percent: int, steps: tuple[
     return rest if links is None else links.union(rest)
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, label)``: the components of ``labels`` with those of ``links`` between them, which are taken by component."""
+    further = smallest_reachable(relabelled(relabelled(links, labels, "a"), labels, "b"))
+    return relabelled(labels, further, "label").union(further.join(labels, "node", "left_anti"))
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90,
          steps: tuple[int, int] = (8, 64)) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row: the smallest id that its links reach."""
@@ -398,10 +403,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     nodes = written(hits.join(sizes, "node").where(f"n_hits >= n_rows * {_need(_POOL, percent)}").selectExpr("node", own), "nodes")
     sets = written(_full_sets(docs, doc_id, text, words, nodes), "sets")
 
-    links = written(_star_links(sets, percent), "links")
-    labels = smallest_reachable(links)
-    links = written(links.union(_cross_links(sets, labels, percent, steps)), "links")
-    labels = smallest_reachable(links)
+    labels = smallest_reachable(_star_links(sets, percent))
+    labels = _merged(labels, _cross_links(sets, labels, percent, steps))
 
     rows = pools.select("id", "n", "node")
     comp = F.coalesce("label", "node")
